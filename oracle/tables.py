@@ -16,7 +16,7 @@ def define(name: str, sql: str) -> None:
 
 def _needed(sql: str, seen: list[str]) -> None:
     for name in CTES:
-        if name not in seen and re.search(rf"\b{name}\b", sql):
+        if name not in seen and re.search(rf"\b(from|join)\s+{name}\b", sql):
             _needed(CTES[name], seen)
             if name not in seen:
                 seen.append(name)
@@ -356,3 +356,325 @@ from (select * replace (try_cast(shipping_limit_date as timestamp) as shipping_l
 left join silver_products p on oi.product_id = p.product_id
 left join silver_sellers s on oi.seller_id = s.seller_id
 """)
+
+# ---- wide order table -------------------------------------------------------------------------
+
+define("first_items", """
+select order_id, {picks} from raw_items where order_id is not null group by order_id
+""".replace("{picks}", ", ".join(
+    f"first({c} order by order_item_id nulls last, product_id nulls first, seller_id nulls first, price, freight_value) "
+    f"filter ({c} is not null) as {c}" for c in ["product_id", "seller_id", "price", "freight_value"]
+)))
+
+define("enriched", """
+select o.*, p.total_payment, p.num_installments, p.primary_payment_type, r.review_score, f.product_id, f.seller_id,
+  f.price, f.freight_value, c.customer_state, s.seller_state, d.product_weight_g, d.product_volume_cm3, d.product_photos_qty,
+  case when r.review_score >= 4 then 1 else 0 end as is_good_review
+from silver_orders o
+left join silver_payments p on p.order_id = o.order_id
+left join silver_reviews r on r.order_id = o.order_id
+left join first_items f on f.order_id = o.order_id
+left join silver_customers c on c.customer_id = o.customer_id
+left join silver_sellers s on s.seller_id = f.seller_id
+left join silver_products d on d.product_id = f.product_id
+""")
+
+define("bought", "select * from enriched where order_purchase_timestamp is not null")
+
+define("overview", """
+select * from bought
+where order_purchase_timestamp >= (select min(cast(order_purchase_timestamp as date)) from bought)
+  and order_purchase_timestamp <= (select cast(max(cast(order_purchase_timestamp as date)) as timestamp) from bought)
+  and order_status = 'delivered'
+""")
+
+define("delivered", "select * from bought where order_status = 'delivered'")
+
+define("sold", "select * from enriched where order_status = 'delivered' and seller_id is not null and seller_state is not null")
+
+define("points", """
+select order_id, delivery_days, review_score, total_payment from delivered
+where delivery_days is not null and review_score is not null and total_payment is not null and delivery_days <= 60
+""")
+
+define("board", f"""
+select seller_id, count(order_id) as order_count, coalesce(sum(total_payment), 0) as revenue,
+  sum(delivery_days) as days, count(delivery_days) as days_n, sum(review_score) as score, count(review_score) as score_n,
+  sum(delivery_days) / count(delivery_days) as avg_delivery_days, sum(review_score) / count(review_score) as avg_review_score,
+  min(seller_state) as seller_state, {region_case('min(seller_state)', 'null')} as region
+from sold group by seller_id having count(order_id) >= 10
+""")
+
+# ---- reports ----------------------------------------------------------------------------------
+
+define("revenue_fact", "select * from fact_orders where order_status not in ('canceled', 'unavailable')")
+
+define("monthly_base", f"""
+select cast(date_trunc('month', purchased_at) as date) as period_start, count(distinct order_id) as order_count,
+  count(distinct customer_key) as unique_customers, sum(payment_amount) as gmv,
+  {half_up('sum(payment_amount)', 'count(payment_amount)', 2)} as avg_order_value,
+  {half_up('sum(review_score)', 'count(review_score)', 2)} as avg_review_score,
+  {half_up('sum(case when is_late then 1 else 0 end) * 100', 'count(*)', 1)} as late_delivery_pct
+from revenue_fact where purchased_at is not null group by 1
+""")
+
+define("growth", f"""
+select *, {half_up_pct('gmv - prev_month_gmv', 'prev_month_gmv')} as mom_gmv_growth_pct,
+  {half_up('sum3', 'n3', 2)} as rolling_3m_avg_gmv
+from (select *, lag(gmv) over (order by period_start) as prev_month_gmv,
+        lag(order_count) over (order by period_start) as prev_month_orders,
+        sum(gmv) over (order by period_start rows between 2 preceding and current row) as sum3,
+        count(gmv) over (order by period_start rows between 2 preceding and current row) as n3
+      from monthly_base)
+""")
+
+define("by_state", f"""
+select customer_state, customer_region, order_count, total_gmv,
+  {half_up('total_gmv', 'order_count', 2)} as avg_order_value,
+  {half_up_pct('total_gmv', '(select sum(payment_amount) from revenue_fact f join dim_customers c on f.customer_key = c.customer_key)')} as gmv_share_pct
+from (select c.customer_state, c.customer_region, count(distinct o.order_id) as order_count, sum(o.payment_amount) as total_gmv
+      from revenue_fact o join dim_customers c on o.customer_key = c.customer_key group by 1, 2)
+""")
+
+define("rfm_raw", """
+select c.customer_unique_id, max(o.purchased_at) as last_purchase, count(distinct o.order_id) as frequency,
+  sum(o.payment_amount) as monetary
+from revenue_fact o join dim_customers c on o.customer_key = c.customer_key
+where o.payment_amount > 0 and o.purchased_at is not null group by 1
+""")
+
+define("rfm_days", """
+select customer_unique_id, datediff('day', last_purchase, (select max(last_purchase) from rfm_raw)) as recency_days,
+  frequency, monetary from rfm_raw
+""")
+
+define("rfm_scored", """
+select *, ntile(5) over (order by recency_days desc, customer_unique_id) as r_score,
+  ntile(5) over (order by frequency, customer_unique_id) as f_score,
+  ntile(5) over (order by monetary, customer_unique_id) as m_score
+from rfm_days
+""")
+
+define("rfm_full", """
+select customer_unique_id, recency_days, frequency, monetary, r_score, f_score, m_score,
+  cast(r_score as varchar) || cast(f_score as varchar) || cast(m_score as varchar) as rfm_cell,
+  r_score + f_score + m_score as rfm_total,
+  case when r_score >= 4 and f_score >= 4 and m_score >= 4 then 'Champions'
+       when f_score >= 3 and m_score >= 3 then 'Loyal Customers'
+       when r_score >= 4 and f_score <= 2 then 'Recent Customers'
+       when r_score >= 3 and f_score >= 2 and m_score >= 2 then 'Potential Loyalists'
+       when r_score <= 2 and f_score >= 3 and m_score >= 3 then 'At Risk'
+       when r_score <= 2 and f_score >= 4 then 'Cannot Lose Them'
+       when r_score between 2 and 3 and f_score <= 2 then 'Needs Attention'
+       when r_score <= 2 and f_score <= 2 and m_score <= 2 then 'Lost' else 'Other' end as segment_name
+from rfm_scored
+""")
+
+define("rfm_summary", f"""
+select segment_name, count(*) as customer_count, {half_up('sum(recency_days)', 'count(*)', 1)} as avg_recency_days,
+  {half_up('sum(frequency)', 'count(*)', 2)} as avg_frequency, {half_up('sum(monetary)', 'count(*)', 2)} as avg_monetary,
+  cast(sum(monetary) as double) as total_monetary,
+  {half_up_pct('count(*)', '(select count(*) from rfm_full)')} as pct_of_customers
+from rfm_full group by segment_name
+""")
+
+define("first_purchase", """
+select c.customer_unique_id, cast(date_trunc('month', min(o.purchased_at)) as date) as cohort_month
+from revenue_fact o join dim_customers c on o.customer_key = c.customer_key
+where o.purchased_at is not null group by 1
+""")
+
+define("activity", """
+select distinct c.customer_unique_id, cast(date_trunc('month', o.purchased_at) as date) as order_month, fp.cohort_month
+from revenue_fact o join dim_customers c on o.customer_key = c.customer_key
+join first_purchase fp on fp.customer_unique_id = c.customer_unique_id
+where o.purchased_at is not null
+""")
+
+define("cohort_counts", """
+select cohort_month, datediff('month', cohort_month, order_month) as months_since_first_order,
+  count(distinct customer_unique_id) as active_customers
+from activity group by 1, 2
+""")
+
+define("retention", f"""
+select strftime(n.cohort_month, '%Y-%m') as cohort_label, s.active_customers as cohort_size, n.months_since_first_order,
+  n.active_customers, {half_up_pct('n.active_customers', 's.active_customers')} as retention_rate_pct
+from cohort_counts n join cohort_counts s on n.cohort_month = s.cohort_month and s.months_since_first_order = 0
+""")
+
+define("seller_totals", f"""
+select s.seller_id, s.seller_city, s.seller_state, s.seller_region, count(distinct so.order_id) as total_orders,
+  sum(so.price) as total_revenue, {half_up('sum(so.price)', 'count(so.price)', 2)} as avg_item_price,
+  sum(so.freight_value) as total_freight, {half_up('sum(o.review_score)', 'count(o.review_score)', 2)} as avg_review_score,
+  count(case when o.review_score is not null then 1 end) as review_count,
+  {half_up('sum(o.delivery_days)', 'count(o.delivery_days)', 1)} as avg_delivery_days,
+  cast(sum(case when o.is_late then 1 else 0 end) as bigint) as late_orders,
+  count(distinct case when o.is_late then o.order_id end) as late_by_order,
+  {half_up('(count(distinct so.order_id) - sum(case when o.is_late then 1 else 0 end)) * 100', 'count(distinct so.order_id)', 2)} as on_time_rate_pct,
+  {half_up('(count(distinct so.order_id) - count(distinct case when o.is_late then o.order_id end)) * 100', 'count(distinct so.order_id)', 2)} as on_time_by_order
+from dim_sellers s join raw_items so on s.seller_id = so.seller_id join revenue_fact o on so.order_id = o.order_id
+group by 1, 2, 3, 4
+""")
+
+define("seller_scores", """
+select *, round(coalesce(avg_review_score, 0) * 8 + coalesce(on_time_rate_pct, 0) * 0.4
+    + ln(total_orders + 1) / nullif(ln((select max(total_orders) from seller_totals) + 1), 0) * 20, 2) as reliability_score
+from seller_totals
+""")
+
+define("seller_card", """
+select *, rank() over (order by total_revenue desc nulls first) as revenue_rank,
+  rank() over (order by total_orders desc nulls first) as volume_rank,
+  dense_rank() over (order by avg_review_score desc nulls first) as review_rank,
+  rank() over (order by on_time_rate_pct desc nulls first) as ontime_rank,
+  rank() over (order by reliability_score desc nulls first) as reliability_rank
+from seller_scores
+""")
+
+define("seller_state_summary", f"""
+select *, rank() over (order by round(mean_review, 9) desc nulls first) as state_review_rank
+from (select seller_state, seller_region, count(distinct seller_id) as seller_count,
+        {half_up('sum(cast(avg_review_score as decimal(18,2)))', 'count(avg_review_score)', 2)} as state_avg_review,
+        {half_up('sum(cast(on_time_rate_pct as decimal(18,2)))', 'count(on_time_rate_pct)', 2)} as state_ontime_pct,
+        cast(sum(total_revenue) as double) as state_total_revenue, avg(avg_review_score) as mean_review
+      from seller_scores group by 1, 2)
+""")
+
+define("customer_states", f"""
+select customer_state, count(order_id) as order_count, coalesce(sum(total_payment), 0) as revenue,
+  sum(review_score) / count(review_score) as avg_review_score, sum(delivery_days) / count(delivery_days) as avg_delivery_days,
+  sum(review_score) as score, count(review_score) as score_n, sum(delivery_days) as days, count(delivery_days) as days_n,
+  {state_name_case('customer_state')} as state_name, {region_case('customer_state', 'null')} as region
+from bought where customer_state is not null group by customer_state
+""")
+
+define("seller_states", """
+select seller_state, count(order_id) as order_count, coalesce(sum(total_payment), 0) as revenue,
+  sum(delivery_days) / count(delivery_days) as avg_delivery_days
+from bought where seller_state is not null group by seller_state
+""")
+
+define("heat", """
+select customer_state, seller_state, sum(delivery_days) / count(delivery_days) as avg_delivery_days from bought
+where customer_state in (select customer_state from customer_states order by order_count desc, customer_state limit 10)
+  and seller_state in (select seller_state from seller_states order by order_count desc, seller_state limit 10)
+group by 1, 2
+""")
+
+define("page_rfm_raw", """
+select customer_id, max(order_purchase_timestamp) as last_order, count(distinct order_id) as frequency,
+  coalesce(sum(total_payment), 0) as monetary
+from delivered where customer_id is not null group by 1
+""")
+
+define("page_rfm_days", """
+select customer_id, floor((epoch((select max(last_order) from page_rfm_raw)) - epoch(last_order) + 86400) / 86400) as recency,
+  frequency, monetary from page_rfm_raw
+""")
+
+define("page_rfm_pct", """
+select *, (rank() over (order by recency) + (count(*) over (partition by recency) - 1) / 2) / count(*) over () as r,
+  (rank() over (order by frequency) + (count(*) over (partition by frequency) - 1) / 2) / count(*) over () as f,
+  (rank() over (order by monetary) + (count(*) over (partition by monetary) - 1) / 2) / count(*) over () as m
+from page_rfm_days
+""")
+
+define("page_rfm", """
+select *, recency_score + frequency_score + monetary_score as rfm_score,
+  case when recency_score + frequency_score + monetary_score >= 10 then 'Champions'
+       when recency_score + frequency_score + monetary_score >= 7 then 'Loyal'
+       when recency_score + frequency_score + monetary_score >= 5 then 'At Risk' else 'Lost' end as segment
+from (select customer_id, cast(recency as bigint) as recency, frequency, monetary,
+        5 - case when r <= 0.25 then 1 when r <= 0.5 then 2 when r <= 0.75 then 3 else 4 end as recency_score,
+        case when f <= 0.25 then 1 when f <= 0.5 then 2 when f <= 0.75 then 3 else 4 end as frequency_score,
+        case when m <= 0.25 then 1 when m <= 0.5 then 2 when m <= 0.75 then 3 else 4 end as monetary_score
+      from page_rfm_pct)
+""")
+
+# ---- features ---------------------------------------------------------------------------------
+
+define("centroids", """
+select geolocation_zip_code_prefix as zip_prefix, median(geolocation_lat) as lat, median(geolocation_lng) as lng
+from raw_geolocation group by 1
+""")
+
+define("item_totals", """
+select order_id, count(order_item_id) as item_count, sum(price) as total_price, sum(freight_value) as total_freight
+from raw_items where order_id is not null group by 1
+""")
+
+define("wide", """
+select e.*, r.review_comment_message, r.review_comment_title, c.customer_zip_code_prefix, s.seller_zip_code_prefix,
+  d.product_category_name, t.item_count, t.total_price, t.total_freight,
+  cz.lat as cust_lat, cz.lng as cust_lng, sz.lat as sell_lat, sz.lng as sell_lng
+from enriched e
+left join silver_reviews r on r.order_id = e.order_id
+left join silver_customers c on c.customer_id = e.customer_id
+left join silver_sellers s on s.seller_id = e.seller_id
+left join silver_products d on d.product_id = e.product_id
+left join item_totals t on t.order_id = e.order_id
+left join centroids cz on cz.zip_prefix = c.customer_zip_code_prefix
+left join centroids sz on sz.zip_prefix = s.seller_zip_code_prefix
+""")
+
+define("frequent_categories", """
+select product_category_name from wide where product_category_name is not null
+group by 1 order by count(*) desc, product_category_name limit 20
+""")
+
+HAVERSINE = (
+    "2 * 6371.0 * asin(sqrt(least(greatest(power(sin((radians(sell_lat) - radians(cust_lat)) / 2), 2) + cos(radians(cust_lat)) "
+    "* cos(radians(sell_lat)) * power(sin((radians(sell_lng) - radians(cust_lng)) / 2), 2), 0), 1)))"
+)
+
+
+def half_even(amount: str, rows: str, places: int) -> str:
+    """amount / rows for amounts >= 0 in whole-number arithmetic, ties to the even neighbour."""
+    scaled = f"(cast(({amount}) * 100 as hugeint) * {10 ** places})"
+    whole = f"(cast({rows} as hugeint) * 100)"
+    floor, twice = f"({scaled} // {whole})", f"(2 * ({scaled} % {whole}))"
+    up = f"(case when {twice} > {whole} or ({twice} = {whole} and {floor} % 2 = 1) then 1 else 0 end)"
+    return f"(case when ({rows}) = 0 then null else ({floor} + {up}) / {float(10 ** places)} end)"
+
+
+def half_even_ratio(part: str, whole: str, places: int) -> str:
+    """part / whole for two amounts with two decimals, ties to the even neighbour."""
+    scaled = f"(cast(({part}) * 100 as hugeint) * {10 ** places})"
+    cents = f"cast(({whole}) * 100 as hugeint)"
+    floor, twice = f"({scaled} // {cents})", f"(2 * ({scaled} % {cents}))"
+    up = f"(case when {twice} > {cents} or ({twice} = {cents} and {floor} % 2 = 1) then 1 else 0 end)"
+    return f"(case when ({whole}) = 0 then null else ({floor} + {up}) / {float(10 ** places)} end)"
+
+
+define("features", f"""
+select *, case when product_category_name in (select product_category_name from frequent_categories)
+    then product_category_name else 'other' end as product_category,
+  {half_even_ratio('total_freight', 'total_price + total_freight', 4)} as freight_ratio,
+  case when cust_lat is not null and sell_lat is not null then {HAVERSINE} end as distance_km,
+  length(coalesce(review_comment_message, '')) + length(coalesce(review_comment_title, '')) as comment_length,
+  case when length(coalesce(review_comment_message, '')) + length(coalesce(review_comment_title, '')) > 0 then 1 else 0 end as has_comment,
+  case when seller_id is not null then avg(delivery_days) over earlier end as seller_avg_delivery,
+  case when seller_id is not null then avg(review_score) over earlier end as seller_avg_review
+from wide
+window earlier as (partition by seller_id order by order_purchase_timestamp nulls last, order_id
+  rows between unbounded preceding and 1 preceding)
+""")
+
+define("delivery_training", "select * from features where delivery_days is not null and order_status = 'delivered'")
+
+define("review_training", """
+select *, case when is_late then 1 else 0 end as is_late_int, case when review_score >= 4 then 1 else 0 end as label
+from features where review_score is not null
+""")
+
+define("day_predictions", """
+select order_id, cast(delivery_days as double) as label, cast(10 + cast(order_id as bigint) % 20 as double) as prediction
+from silver_orders where order_status = 'delivered' and delivery_days is not null
+""")
+
+define("class_predictions", """
+select order_id, case when review_score >= 4 then 1 else 0 end as label,
+  case when delivery_delay_days = 0 then 1 else 0 end as prediction
+from enriched where review_score is not null
+""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -142,6 +143,17 @@ def feature_importance(spark: SparkSession, model: PipelineModel, used: Sequence
     return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
 
 
+def fit(stages: list, estimator, df: DataFrame) -> PipelineModel:
+    """Fitted stages and model. A model that holds a training summary is saved and read back: the
+    summary refers to the session, which executors cannot be sent."""
+    model = Pipeline(stages=[*stages, estimator]).fit(df)
+    if not getattr(model.stages[-1], "hasSummary", False):
+        return model
+    path = f"{checkpoint_folder(df.sparkSession)}/models/{uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def evaluate_candidates(
     train: DataFrame, test: DataFrame, task: Task, candidates: dict[str, object]
 ) -> tuple[dict[str, PipelineModel], dict[str, dict[str, float]]]:
@@ -150,7 +162,7 @@ def evaluate_candidates(
     stages, _ = preparation(train, task)
     fitted, results = {}, {}
     for name, estimator in candidates.items():
-        fitted[name] = Pipeline(stages=[*stages, estimator]).fit(train)
+        fitted[name] = fit(stages, estimator, train)
         results[name] = measure(fitted[name].transform(test)).first().asDict()  # one row of metrics
     return fitted, results
 
@@ -179,7 +191,7 @@ def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Traine
 
     everything = with_class_weights(marked) if task.greater_is_better else marked
     stages, used = preparation(everything, task)
-    final = Pipeline(stages=[*stages, candidates[best]]).fit(everything)
+    final = fit(stages, candidates[best], everything)
 
     sizes = marked.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
     cells = [[r["predicted_0"], r["predicted_1"]] for r in confusion.orderBy("actual").collect()] if confusion else None

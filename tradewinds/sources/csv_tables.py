@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds.schemas import RAW
 
@@ -45,6 +45,26 @@ def read_as_text(spark: SparkSession, path: str, table: str) -> DataFrame:
     return _reader(spark, table).option("inferSchema", False).csv(path)
 
 
+def malformed_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One row: whether the table is there and how many of its lines have too few or too many fields."""
+    exists = path_exists(spark, path)
+    result = spark.range(1).select(F.lit(table).alias("file_name"), F.lit(exists).alias("file_exists"))
+    if not exists:
+        return result.withColumn("malformed_rows", F.lit(None).cast("bigint"))
+    header = read_as_text(spark, path, table).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt"]])
+    lines = _reader(spark, table).schema(text).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
+    # Spark refuses a scan of nothing but the corrupt text, so a data column is looked at as well
+    broken = F.col("_corrupt").isNotNull() | (F.length(F.col(f"`{header[0]}`")) < 0)
+    return result.withColumn("malformed_rows", lines.agg(F.count_if(broken)).scalar())
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV that reads back as it was, spaces and quotes included."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **keep).csv(path)
+
+
 def _snapshot_path(folder: str, table: str) -> str:
     return f"{folder}/{table}"
 

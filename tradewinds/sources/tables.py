@@ -43,16 +43,24 @@ def warehouse_columns(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def load_table(df: DataFrame, name: str, *, mode: str = "overwrite") -> int:
-    """Replace a warehouse table; returns the rows written, counted while writing."""
+def load_table(df: DataFrame, name: str, *, mode: str = "overwrite", folder: str | None = None) -> int:
+    """Replace a warehouse table; returns the rows written, counted while writing.
+
+    The table is managed by the catalog unless a folder is given for its files.
+    """
     seen = Observation()
     rows = warehouse_columns(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode(mode).saveAsTable(name)
+    writer = rows.write.mode(mode)
+    (writer.option("path", f"{folder}/{name}") if folder else writer).saveAsTable(name)
     return seen.get["rows"]
 
 
 def load_all(
-    spark: SparkSession, tables: Mapping[str, DataFrame | None], *, names: Mapping[str, str] = WAREHOUSE_NAMES
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame | None],
+    *,
+    names: Mapping[str, str] = WAREHOUSE_NAMES,
+    folder: str | None = None,
 ) -> DataFrame:
     """Load every given table. An absent one is skipped, a failing one counts -1, the rest go on."""
     results = []
@@ -61,7 +69,7 @@ def load_all(
         if df is None:
             continue
         try:
-            results.append((name, load_table(df, name)))
+            results.append((name, load_table(df, name, folder=folder)))
         except Exception:  # any failure of one table must not stop the others
             results.append((name, -1))
     return spark.createDataFrame(results, LOADED)
