@@ -254,7 +254,7 @@ EXPECTED: dict[str, str] = {
         from raw_items""",
     "p27_comments": "select order_id, comment_length, has_comment from features",
     "p28_distance": "select order_id, round(distance_km, 6) as distance_km from features",
-    "p29_late_flag": "select order_id, case when is_late then 1 else 0 end as is_late_int from silver_orders",
+    "p29_late_flag": "select order_id, cast(coalesce(is_late, false) as bigint) as is_late_int from silver_orders",
     "p30_item_value": "select order_id, order_item_id, cast(price + freight_value as double) as total from raw_items",
     "p31_page_filters": """
         select 'overview' as "table", count(*) as rows from overview
@@ -443,7 +443,7 @@ EXPECTED: dict[str, str] = {
     "m11_classification_metrics": _F1,
     "m12_confusion_matrix": """select a.actual, count(*) filter (prediction = 0 and label = a.actual) as predicted_0,
         count(*) filter (prediction = 1 and label = a.actual) as predicted_1
-        from class_predictions cross join (select unnest([0, 1]) as actual) a group by 1""",
+        from class_predictions cross join (select cast(unnest([0, 1]) as bigint) as actual) a group by 1""",
     "m13_class_balance": """select round(sum(label) / count(*) * 100, 8) as good_pct, round((1 - sum(label) / count(*)) * 100, 8) as bad_pct
         from review_training""",
     "m16_prepare_scoring": """select order_id, case when seller_state in ('MG', 'RJ') then seller_state else 'unknown' end as seller_state,

@@ -133,17 +133,17 @@ from lineitem
 """)
 
 define("raw_items", """
-select cast(l_orderkey as varchar) as order_id, l_linenumber as order_item_id,
+select cast(l_orderkey as varchar) as order_id, cast(l_linenumber as bigint) as order_item_id,
   case when (l_partkey + l_linenumber) % 41 = 0 then null else cast(l_partkey as varchar) end as product_id,
   cast(l_suppkey as varchar) as seller_id, cast(l_shipdate as varchar) as shipping_limit_date, price, freight_value
 from base_items
 """)
 
 define("raw_payments", """
-select cast(l_orderkey as varchar) as order_id, l_linenumber as payment_sequential,
+select cast(l_orderkey as varchar) as order_id, cast(l_linenumber as bigint) as payment_sequential,
   case when l_partkey % 29 = 0 then null when l_returnflag = 'A' then 'credit_card' when l_returnflag = 'N' then 'boleto'
        when l_linestatus = 'F' then 'voucher' else 'debit_card' end as payment_type,
-  case when l_partkey % 31 = 0 then null else cast(l_quantity as integer) % 15 end as payment_installments,
+  case when l_partkey % 31 = 0 then null else cast(l_quantity as bigint) % 15 end as payment_installments,
   cast(case when l_discount = 0 then 0 else price + freight_value end as decimal(18,2)) as payment_value
 from base_items where l_orderkey % 53 <> 0
 """)
@@ -161,9 +161,9 @@ from base_items where l_linenumber <= 2 and l_orderkey % 11 <> 0
 define("raw_products", """
 select cast(p_partkey as varchar) as product_id,
   case when p_partkey % 23 = 0 then null else ' ' || p_type || '_' || p_brand || ' ' end as product_category_name,
-  case when p_partkey % 7 = 0 then null else cast(length(p_name) as integer) end as product_name_lenght,
-  case when p_partkey % 7 = 0 then null else p_size * 10 end as product_description_lenght,
-  case when p_partkey % 6 = 0 or copy = 1 then null else cast(p_partkey % 6 as integer) end as product_photos_qty,
+  case when p_partkey % 7 = 0 then null else cast(length(p_name) as bigint) end as product_name_lenght,
+  case when p_partkey % 7 = 0 then null else cast(p_size * 10 as bigint) end as product_description_lenght,
+  case when p_partkey % 6 = 0 or copy = 1 then null else cast(p_partkey % 6 as bigint) end as product_photos_qty,
   case when p_partkey % 31 = 0 then null else cast(p_size * 100 as double) end as product_weight_g,
   cast(10 + p_size as double) as product_length_cm, cast(2 + p_partkey % 20 as double) as product_height_cm,
   cast(6 + p_partkey % 15 as double) as product_width_cm
@@ -261,7 +261,7 @@ left join (select *, row_number() over (partition by order_id order by type_tota
 """)
 
 define("typed_reviews", """
-select review_id, order_id, try_cast(review_score as integer) as review_score,
+select review_id, order_id, try_cast(review_score as bigint) as review_score,
   coalesce(review_comment_title, '') as review_comment_title, coalesce(review_comment_message, '') as review_comment_message,
   try_cast(review_creation_date as timestamp) as review_creation_date,
   try_cast(review_answer_timestamp as timestamp) as review_answer_timestamp
@@ -369,7 +369,7 @@ select order_id, {picks} from raw_items where order_id is not null group by orde
 define("enriched", """
 select o.*, p.total_payment, p.num_installments, p.primary_payment_type, r.review_score, f.product_id, f.seller_id,
   f.price, f.freight_value, c.customer_state, s.seller_state, d.product_weight_g, d.product_volume_cm3, d.product_photos_qty,
-  case when r.review_score >= 4 then 1 else 0 end as is_good_review
+  cast(r.review_score >= 4 and r.review_score is not null as bigint) as is_good_review
 from silver_orders o
 left join silver_payments p on p.order_id = o.order_id
 left join silver_reviews r on r.order_id = o.order_id
@@ -586,9 +586,9 @@ select *, recency_score + frequency_score + monetary_score as rfm_score,
        when recency_score + frequency_score + monetary_score >= 7 then 'Loyal'
        when recency_score + frequency_score + monetary_score >= 5 then 'At Risk' else 'Lost' end as segment
 from (select customer_id, cast(recency as bigint) as recency, frequency, monetary,
-        5 - case when r <= 0.25 then 1 when r <= 0.5 then 2 when r <= 0.75 then 3 else 4 end as recency_score,
-        case when f <= 0.25 then 1 when f <= 0.5 then 2 when f <= 0.75 then 3 else 4 end as frequency_score,
-        case when m <= 0.25 then 1 when m <= 0.5 then 2 when m <= 0.75 then 3 else 4 end as monetary_score
+        cast(5 - case when r <= 0.25 then 1 when r <= 0.5 then 2 when r <= 0.75 then 3 else 4 end as bigint) as recency_score,
+        cast(case when f <= 0.25 then 1 when f <= 0.5 then 2 when f <= 0.75 then 3 else 4 end as bigint) as frequency_score,
+        cast(case when m <= 0.25 then 1 when m <= 0.5 then 2 when m <= 0.75 then 3 else 4 end as bigint) as monetary_score
       from page_rfm_pct)
 """)
 
@@ -653,7 +653,7 @@ select *, case when product_category_name in (select product_category_name from
   {half_even_ratio('total_freight', 'total_price + total_freight', 4)} as freight_ratio,
   case when cust_lat is not null and sell_lat is not null then {HAVERSINE} end as distance_km,
   length(coalesce(review_comment_message, '')) + length(coalesce(review_comment_title, '')) as comment_length,
-  case when length(coalesce(review_comment_message, '')) + length(coalesce(review_comment_title, '')) > 0 then 1 else 0 end as has_comment,
+  cast(length(coalesce(review_comment_message, '')) + length(coalesce(review_comment_title, '')) > 0 as bigint) as has_comment,
   case when seller_id is not null then avg(delivery_days) over earlier end as seller_avg_delivery,
   case when seller_id is not null then avg(review_score) over earlier end as seller_avg_review
 from wide
@@ -664,7 +664,7 @@ window earlier as (partition by seller_id order by order_purchase_timestamp null
 define("delivery_training", "select * from features where delivery_days is not null and order_status = 'delivered'")
 
 define("review_training", """
-select *, case when is_late then 1 else 0 end as is_late_int, case when review_score >= 4 then 1 else 0 end as label
+select *, cast(coalesce(is_late, false) as bigint) as is_late_int, cast(review_score >= 4 as bigint) as label
 from features where review_score is not null
 """)
 
@@ -674,7 +674,6 @@ from silver_orders where order_status = 'delivered' and delivery_days is not nul
 """)
 
 define("class_predictions", """
-select order_id, case when review_score >= 4 then 1 else 0 end as label,
-  case when delivery_delay_days = 0 then 1 else 0 end as prediction
+select order_id, cast(review_score >= 4 as bigint) as label, cast(delivery_delay_days = 0 as bigint) as prediction
 from enriched where review_score is not null
 """)

@@ -31,36 +31,43 @@ def feature_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return group_medians(long, by=["feature"], value="value")
 
 
+def _test_rows(classes: DataFrame, test_share: float) -> DataFrame:
+    """Test rows per class (columns `_class`, `_n`): the training rows, all rows minus the upper
+    rounded test share, go to the classes by largest remainder."""
+    everything = Window.partitionBy()  # one row per class
+    total = F.sum("_n").over(everything)
+    train_rows = total - F.ceil(total * F.lit(test_share))
+    shares = classes.select(
+        "_class", "_n", train_rows.alias("_train"), (F.col("_n") * train_rows / total).alias("_exact")
+    ).withColumn("_whole", F.floor("_exact").cast("bigint"))
+    by_remainder = Window.orderBy((F.col("_exact") - F.col("_whole")).desc(), F.col("_class").asc())
+    left_over = F.col("_train") - F.sum("_whole").over(everything)
+    extra = (F.row_number().over(by_remainder) <= left_over).cast("bigint")
+    return shares.select("_class", (F.col("_n") - F.col("_whole") - extra).alias("_test"))
+
+
 def split(
     df: DataFrame, *, test_share: float = 0.2, seed: int = 42, stratify: str | None = None, key: str = "order_id"
 ) -> DataFrame:
     """Add `is_test`: exactly the upper rounded share of the rows, in a repeatable random order.
 
-    With `stratify` every class keeps its share: training rows are shared out by largest remainder.
+    With `stratify` every class keeps its share. Only ids are sorted, to find the last test row of
+    each class; the rows themselves are compared with it where they are.
     """
-    by = [stratify] if stratify else []
+    label = F.col(stratify).cast("string") if stratify else F.lit("all")
+    drawn = df.select(label.alias("_class"), shuffled_key(key, seed).alias("_draw"), F.col(key).alias("_id"))
     placed = running_totals(
-        df, by=by, order=[shuffled_key(key, seed).asc(), F.col(key).asc()],
+        drawn, by=["_class"], order=[F.col("_draw").asc(), F.col("_id").asc()],
         sums={"_rows": F.lit(1).cast("bigint")},
     )
-    if not stratify:
-        test_rows = F.ceil(F.col("_rows_total") * F.lit(test_share))
-        return placed.withColumn("is_test", F.col("_rows_before") < test_rows).select(*df.columns, "is_test")
-
-    everything = Window.partitionBy()  # one row per class
-    classes = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(everything)
-    train_rows = total - F.ceil(total * F.lit(test_share))
-    shares = classes.select(
-        F.col(stratify).alias("_class"), "_n", (F.col("_n") * train_rows / total).alias("_exact"),
-        train_rows.alias("_train"),
-    ).withColumn("_whole", F.floor("_exact").cast("bigint"))
-    by_remainder = Window.orderBy((F.col("_exact") - F.col("_whole")).desc(), F.col("_class").asc())
-    left_over = F.col("_train") - F.sum("_whole").over(everything)
-    extra = (F.row_number().over(by_remainder) <= left_over).cast("bigint")
-    test_rows = shares.select("_class", (F.col("_n") - F.col("_whole") - extra).alias("_test"))
-    joined = placed.join(F.broadcast(test_rows), F.col(stratify).eqNullSafe(F.col("_class")))
-    return joined.withColumn("is_test", F.col("_rows_before") < F.col("_test")).select(*df.columns, "is_test")
+    classes = drawn.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = F.broadcast(_test_rows(classes, test_share))
+    last = placed.join(sizes, "_class").filter(F.col("_rows_before") == F.col("_test") - 1).select(
+        F.col("_class").alias("_of"), F.struct("_draw", "_id").alias("_last")
+    )
+    row = F.struct(shuffled_key(key, seed).alias("_draw"), F.col(key).alias("_id"))
+    marked = df.join(F.broadcast(last), label == F.col("_of"), "left")  # one row per class
+    return marked.withColumn("is_test", F.coalesce(row <= F.col("_last"), F.lit(False))).drop("_of", "_last")
 
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewinds.functions import comment_length, flag_to_int, freight_ratio, haversine_km
 from tradewinds.operators.materialise import materialise
 from tradewinds.operators.ordered import group_medians, running_totals
-from tradewinds.operators.relational import top_k, value_counts
-from tradewinds.plans.dashboard import first_items
+from tradewinds.operators.relational import top_k
+from tradewinds.plans.dashboard import first_item_columns
 
 BOUGHT = "order_purchase_timestamp"
 
@@ -32,13 +32,23 @@ REVIEW_LABELS = ["product_category"]
 REVIEW_TARGET = "is_good_review"
 
 
-def item_totals(items: DataFrame) -> DataFrame:
-    """Items, price and freight per order."""
-    return items.filter("order_id is not null").groupBy("order_id").agg(
+def item_total_columns() -> list[Column]:
+    return [
         F.count("order_item_id").alias("item_count"),
         F.coalesce(F.sum("price"), F.lit(0)).alias("total_price"),
         F.coalesce(F.sum("freight_value"), F.lit(0)).alias("total_freight"),
-    )
+    ]
+
+
+def item_totals(items: DataFrame) -> DataFrame:
+    """Items, price and freight per order."""
+    return items.filter("order_id is not null").groupBy("order_id").agg(*item_total_columns())
+
+
+def order_lines(items: DataFrame) -> DataFrame:
+    """First item and totals per order in one pass over the items."""
+    known = items.filter("order_id is not null")
+    return known.groupBy("order_id").agg(*first_item_columns(), *item_total_columns())
 
 
 def geo_centroids(geo: DataFrame) -> DataFrame:
@@ -66,9 +76,8 @@ def with_centroid(df: DataFrame, zip_column: str, centroids: DataFrame, prefix:
     return df.join(side, zip_column, "left")
 
 
-def joined_orders(silver: Mapping[str, DataFrame], centroids: DataFrame) -> DataFrame:
-    """Orders with payment, review, customer, first item, seller, product and item totals."""
-    items = silver["items"]
+def joined_orders(silver: Mapping[str, DataFrame], lines: DataFrame, centroids: DataFrame) -> DataFrame:
+    """Orders with payment, review, items, customer, seller, product and both zip centroids."""
     review = silver["reviews"].select(
         "order_id", "review_score", "review_comment_message", "review_comment_title"
     )
@@ -87,23 +96,28 @@ def joined_orders(silver: Mapping[str, DataFrame], centroids: DataFrame) -> Data
         silver["orders"]
         .join(silver["payments"], "order_id", "left")
         .join(review, "order_id", "left")
-        .join(first_items(items), "order_id", "left")
-        .join(item_totals(items), "order_id", "left")
+        .join(lines, "order_id", "left")
         .join(customer, "customer_id", "left")
         .join(seller, "seller_id", "left")
         .join(product, "product_id", "left")
     )
 
 
-def with_seller_history(df: DataFrame) -> DataFrame:
-    """Mean delivery days and score of the seller's earlier orders.
+def seller_history(orders: DataFrame, reviews: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per order, the mean delivery days and score of its seller's earlier orders.
 
     Earlier means bought earlier, so a score that was given later may be included. Running sums
     are cut by order of time, not by seller, so a very busy seller is spread over many tasks.
     """
+    sold = (
+        orders.select("order_id", BOUGHT, "delivery_days")
+        .join(reviews.select("order_id", "review_score"), "order_id", "left")
+        .join(lines.select("order_id", "seller_id"), "order_id")
+        .filter("seller_id is not null")
+    )
     days, score = F.col("delivery_days"), F.col("review_score")
     totals = running_totals(
-        df,
+        sold,
         by=["seller_id"],
         order=[F.col(BOUGHT).asc_nulls_last(), F.col("order_id").asc()],
         sums={
@@ -114,26 +128,31 @@ def with_seller_history(df: DataFrame) -> DataFrame:
         },
     )
 
-    def earlier_mean(name: str):
-        mean = F.try_divide(F.col(f"{name}_before").cast("double"), F.col(f"{name}_n_before").cast("double"))
-        return F.when(F.col("seller_id").isNotNull(), mean)
+    def earlier_mean(name: str) -> Column:
+        return F.try_divide(F.col(f"{name}_before").cast("double"), F.col(f"{name}_n_before").cast("double"))
 
     return totals.select(
-        *df.columns,
+        "order_id",
         earlier_mean("_days").alias("seller_avg_delivery"),
         earlier_mean("_score").alias("seller_avg_review"),
     )
 
 
-def top_categories(df: DataFrame, k: int) -> DataFrame:
-    counts = value_counts(df, "product_category_name", count="orders")
+def top_categories(orders: DataFrame, lines: DataFrame, products: DataFrame, k: int) -> DataFrame:
+    """The k categories with most orders, by each order's first item."""
+    first = orders.select("order_id").join(lines.select("order_id", "product_id"), "order_id")
+    per_product = first.filter("product_id is not null").groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    named = per_product.join(products.select("product_id", "product_category_name"), "product_id")
+    counts = named.filter("product_category_name is not null").groupBy("product_category_name").agg(
+        F.sum("n").alias("orders")
+    )
     return top_k(counts, "orders", k, tie_break="product_category_name")
 
 
-def with_category(df: DataFrame, k: int) -> DataFrame:
-    """The k most frequent categories by name, everything else and null as 'other'."""
-    listed = top_categories(df, k).select("product_category_name", F.lit(True).alias("_listed"))
-    named = df.join(F.broadcast(listed), "product_category_name", "left")  # k rows
+def with_category(df: DataFrame, top: DataFrame) -> DataFrame:
+    """The listed categories by name, everything else and null as 'other'. `top` has k rows."""
+    listed = top.select("product_category_name", F.lit(True).alias("_listed"))
+    named = df.join(F.broadcast(listed), "product_category_name", "left")
     category = F.when(F.col("_listed"), F.col("product_category_name")).otherwise("other")
     return named.withColumn("product_category", category).drop("_listed")
 
@@ -147,9 +166,14 @@ def with_order_features(df: DataFrame) -> DataFrame:
 
 
 def feature_frame(silver: Mapping[str, DataFrame], geo: DataFrame, *, k: int = 20) -> DataFrame:
+    """The wide rows are only joined; sorting and counting are done on narrow ones beforehand."""
+    lines = materialise(order_lines(silver["items"]))
     centroids = materialise(geo_centroids(geo))
-    history = with_seller_history(joined_orders(silver, centroids))
-    return with_order_features(with_category(history, k)).drop("cust_lat", "cust_lng", "sell_lat", "sell_lng")
+    history = seller_history(silver["orders"], silver["reviews"], lines)
+    top = top_categories(silver["orders"], lines, silver["products"], k)
+    by_order = lines.join(history, "order_id", "left")
+    joined = joined_orders(silver, by_order, centroids)
+    return with_order_features(with_category(joined, top)).drop("cust_lat", "cust_lng", "sell_lat", "sell_lng")
 
 
 def delivery_training(features: DataFrame) -> DataFrame:

@@ -18,17 +18,20 @@ from tradewinds.schemas import STATES
 BOUGHT = "order_purchase_timestamp"
 
 
-def first_items(items: DataFrame) -> DataFrame:
-    """Per order, each column's first non-null value by item number. Aggregated, never windowed:
-    an order with very many items costs one row per task before the shuffle."""
+def first_item_columns() -> list[Column]:
+    """Aggregates per order: each column's first non-null value by item number."""
     place = F.struct(
         F.col("order_item_id").isNull().alias("unnumbered"),
         "order_item_id", "product_id", "seller_id", "price", "freight_value",
     )
     picked = ["product_id", "seller_id", "price", "freight_value"]
-    return items.filter("order_id is not null").groupBy("order_id").agg(*[
-        F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in picked
-    ])
+    return [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in picked]
+
+
+def first_items(items: DataFrame) -> DataFrame:
+    """First item per order. Aggregated, never windowed: an order with very many items costs one
+    row per task before the shuffle."""
+    return items.filter("order_id is not null").groupBy("order_id").agg(*first_item_columns())
 
 
 def enriched_orders(silver: Mapping[str, DataFrame]) -> DataFrame:

@@ -646,7 +646,7 @@ def j10_training_join(c):
 @query
 def j11_centroids(c):
     centroids = materialise(ft.geo_centroids(c.raw["geolocation"]))
-    both = ft.joined_orders(c.silver_tables(), centroids)
+    both = ft.joined_orders(c.silver_tables(), ft.order_lines(c.silver("items")), centroids)
     return both.select("order_id", *[F.round(p, 8).alias(p) for p in ("cust_lat", "cust_lng", "sell_lat", "sell_lng")])
 
 
