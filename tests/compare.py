@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -71,7 +72,8 @@ def main(folder: str, names: list[str]) -> None:
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").getOrCreate()
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", os.environ.get("COALESCE", "true")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, expected, bad = connect(folder), oracle_sql(), []

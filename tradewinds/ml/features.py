@@ -10,7 +10,7 @@ from tradewinds.functions import comment_length, flag_to_int, freight_ratio, hav
 from tradewinds.operators.materialise import materialise
 from tradewinds.operators.ordered import group_medians, running_totals
 from tradewinds.operators.relational import top_k
-from tradewinds.plans.dashboard import first_item_columns
+from tradewinds.plans.dashboard import first_item_places, first_item_values, item_place
 
 BOUGHT = "order_purchase_timestamp"
 
@@ -47,8 +47,11 @@ def item_totals(items: DataFrame) -> DataFrame:
 
 def order_lines(items: DataFrame) -> DataFrame:
     """First item and totals per order in one pass over the items."""
-    known = items.filter("order_id is not null")
-    return known.groupBy("order_id").agg(*first_item_columns(), *item_total_columns())
+    placed = items.filter("order_id is not null").select(
+        "order_id", "order_item_id", "price", "freight_value", item_place()
+    )
+    lines = placed.groupBy("order_id").agg(*first_item_places(), *item_total_columns())
+    return lines.select("order_id", *first_item_values(), "item_count", "total_price", "total_freight")
 
 
 def geo_centroids(geo: DataFrame) -> DataFrame:

@@ -18,20 +18,30 @@ from tradewinds.schemas import STATES
 BOUGHT = "order_purchase_timestamp"
 
 
-def first_item_columns() -> list[Column]:
-    """Aggregates per order: each column's first non-null value by item number."""
-    place = F.struct(
-        F.col("order_item_id").isNull().alias("unnumbered"),
-        "order_item_id", "product_id", "seller_id", "price", "freight_value",
-    )
-    picked = ["product_id", "seller_id", "price", "freight_value"]
-    return [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in picked]
+ITEM_COLUMNS = ["product_id", "seller_id", "price", "freight_value"]
+
+
+def item_place() -> Column:
+    """Total order of the items of an order, by number; it carries the values picked from them."""
+    unnumbered = F.col("order_item_id").isNull().alias("unnumbered")
+    return F.struct(unnumbered, "order_item_id", *ITEM_COLUMNS).alias("place")
+
+
+def first_item_places() -> list[Column]:
+    """Aggregates per order over `place`: for each column the first item that has a value for it."""
+    place = F.col("place")
+    return [F.min(F.when(place[c].isNotNull(), place)).alias(c) for c in ITEM_COLUMNS]
+
+
+def first_item_values() -> list[Column]:
+    return [F.col(c)[c].alias(c) for c in ITEM_COLUMNS]
 
 
 def first_items(items: DataFrame) -> DataFrame:
-    """First item per order. Aggregated, never windowed: an order with very many items costs one
-    row per task before the shuffle."""
-    return items.filter("order_id is not null").groupBy("order_id").agg(*first_item_columns())
+    """Per order, each column's first non-null value by item number. Aggregated, never windowed:
+    an order with very many items costs one row per task before the shuffle."""
+    placed = items.filter("order_id is not null").select("order_id", item_place())
+    return placed.groupBy("order_id").agg(*first_item_places()).select("order_id", *first_item_values())
 
 
 def enriched_orders(silver: Mapping[str, DataFrame]) -> DataFrame:

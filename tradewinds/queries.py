@@ -22,7 +22,7 @@ from tradewinds.sources.testdata import raw_tables
 QUERIES: dict[str, Callable[["Context"], DataFrame]] = {}
 
 # Smaller than the defaults of `train_delivery` and `train_review`, which take minutes.
-TREES, ROUNDS = 20, 5
+TREES, ROUNDS = 8, 3
 
 
 class Context(Warehouse):
