@@ -12,7 +12,7 @@ from tradewinds.schemas import RAW
 from tradewinds.sources import csv_tables, tables
 
 
-def run_pipeline(
+def run_snapshot(
     spark: SparkSession,
     source: str,
     target: str,

@@ -54,8 +54,9 @@ def malformed_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
     header = read_as_text(spark, path, table).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt"]])
     lines = _reader(spark, table).schema(text).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
-    # Spark refuses a scan of nothing but the corrupt text, so a data column is looked at as well
-    broken = F.col("_corrupt").isNotNull() | (F.length(F.col(f"`{header[0]}`")) < 0)
+    # a line is only checked for its number of fields when all of them are read
+    fields = F.concat_ws("", *[F.col(f"`{c}`") for c in header])
+    broken = F.col("_corrupt").isNotNull() | (F.length(fields) < 0)
     return result.withColumn("malformed_rows", lines.agg(F.count_if(broken)).scalar())
 
 
