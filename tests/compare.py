@@ -11,6 +11,7 @@ import time
 
 import duckdb
 
+DIGITS = int(os.environ.get("DIGITS", "12"))
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -27,7 +28,7 @@ def normal(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "NaN"
-        return float(f"{value:.12g}") + 0.0
+        return float(f"{value:.{DIGITS}g}") + 0.0
     if isinstance(value, bool):
         return ("bool", value)
     if isinstance(value, dt.datetime):

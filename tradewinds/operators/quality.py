@@ -24,6 +24,10 @@ class CriticalTables(RuntimeError):
     """At least one raw table cannot be used."""
 
 
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def trimmed_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
@@ -55,7 +59,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
     Copies are counted before the shuffle, so a large set of copies costs one row per task.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    groups = df.groupBy(*_columns(df)).agg(F.count(F.lit(1)).alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -89,8 +93,8 @@ def validate_table(
 ) -> DataFrame:
     """Report of one raw table: a single row with status, passed and failed checks and details.
 
-    Missing columns and an empty table are CRITICAL, any other failed check is FAIL. The counts
-    are taken in two aggregations (one pass for counts, one for equal rows) and never leave Spark.
+    Missing columns and an empty table are CRITICAL, any other failed check is FAIL. Equal rows
+    are counted first and every other count is weighted with them, so the table is read once.
     """
     spark = df.sparkSession
     missing, extra = column_difference(df, required)
@@ -100,16 +104,17 @@ def validate_table(
     df = trimmed_names(df)
     keys = [c for c in not_null if c in df.columns]
     parsed = [c for c in dates if c in df.columns]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in keys],
-        *[
-            F.count_if(F.col(c).isNotNull() & parse_timestamp(c).isNull()).alias(f"bad_{c}")
-            for c in parsed
-        ],
+    groups = df.groupBy(*_columns(df)).agg(F.count(F.lit(1)).alias("_copies"))
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
+
+    counted = groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("copies"),
+        *[rows_where(F.col(c).isNull()).alias(f"null_{c}") for c in keys],
+        *[rows_where(F.col(c).isNotNull() & parse_timestamp(c).isNull()).alias(f"bad_{c}") for c in parsed],
     )
-    copies = duplicate_rows(df).scalar()
-    counted = counted.withColumn("copies", copies)
 
     def listing(columns: Sequence[str], prefix: str, note: str) -> Column:
         parts = [
@@ -204,38 +209,38 @@ def gate(reports: DataFrame, *, strict: bool = True) -> list[str]:
 
 
 def silver_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing rows per check over the silver tables; every count is 0 when the data is sound."""
-    def counted(check: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(check).alias("check"), "failing_rows")
+    """Failing rows per check over the silver tables; every count is 0 when the data is sound.
 
-    def nulls(table: str, columns: Sequence[str]) -> DataFrame:
-        flags = F.array(*[
-            F.struct(F.lit(f"{table}.{c} not null").alias("check"), F.col(c).alias("failing_rows"))
-            for c in columns
-        ])
-        return null_counts(tables[table], columns).select(F.inline(flags))
-
-    def empty(table: str) -> DataFrame:
-        rows = tables[table].agg((F.count(F.lit(1)) == 0).cast("bigint").alias("failing_rows"))
-        return rows.select(F.lit(f"{table} not empty").alias("check"), "failing_rows")
-
-    parts = [
-        nulls("orders", ["order_id", "customer_id"]),
-        nulls("products", ["product_id"]),
-        nulls("customers", ["customer_id"]),
-        nulls("sellers", ["seller_id"]),
-        nulls("payments", ["order_id"]),
-        nulls("reviews", ["review_id", "order_id"]),
-        *[empty(t) for t in ["orders", "products", "customers", "sellers", "payments", "reviews"]],
-        counted("orders.delivery_days not negative", negative_rows(tables["orders"], "delivery_days")),
-        counted(
-            "orders without dropped statuses",
-            tables["orders"].filter(F.col("order_status").isin(*NOT_PROGRESSED)),
-        ),
-        counted("products.product_id unique", not_unique(tables["products"], "product_id")),
-        counted("payments.total_payment positive", tables["payments"].filter("total_payment <= 0")),
-        counted("reviews.order_id unique", not_unique(tables["reviews"], "order_id")),
-    ]
+    All row checks of a table are counted in one pass.
+    """
+    row_checks = {
+        "orders": {
+            "orders.order_id not null": F.col("order_id").isNull(),
+            "orders.customer_id not null": F.col("customer_id").isNull(),
+            "orders.delivery_days not negative": F.col("delivery_days") < 0,
+            "orders without dropped statuses": F.col("order_status").isin(*NOT_PROGRESSED),
+        },
+        "products": {"products.product_id not null": F.col("product_id").isNull()},
+        "customers": {"customers.customer_id not null": F.col("customer_id").isNull()},
+        "sellers": {"sellers.seller_id not null": F.col("seller_id").isNull()},
+        "payments": {
+            "payments.order_id not null": F.col("order_id").isNull(),
+            "payments.total_payment positive": F.col("total_payment") <= 0,
+        },
+        "reviews": {
+            "reviews.review_id not null": F.col("review_id").isNull(),
+            "reviews.order_id not null": F.col("order_id").isNull(),
+        },
+    }
+    parts = []
+    for table, checks in row_checks.items():
+        counted = {name: F.count_if(failing) for name, failing in checks.items()}
+        counted[f"{table} not empty"] = (F.count(F.lit(1)) == 0).cast("bigint")
+        outcome = [F.struct(F.lit(name).alias("check"), n.alias("failing_rows")) for name, n in counted.items()]
+        parts.append(tables[table].agg(F.array(*outcome).alias("outcome")).select(F.inline("outcome")))
+    for table, key in [("products", "product_id"), ("reviews", "order_id")]:
+        repeated = not_unique(tables[table], key).agg(F.count(F.lit(1)).alias("failing_rows"))
+        parts.append(repeated.select(F.lit(f"{table}.{key} unique").alias("check"), "failing_rows"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
