@@ -39,6 +39,7 @@ def test_running_totals_match_plain_loop(frame, rows):
     result = running_totals(
         frame, by=["grp"], order=[F.col("at").asc(), F.col("id").asc()],
         sums={"v": F.col("value").cast("bigint"), "n": F.lit(1).cast("bigint")},
+        totals=True,
     ).collect()
     seen, totals, expected = {}, {}, {}
     for _id, grp, _at, value in rows:
@@ -62,7 +63,9 @@ def test_hot_group_is_cut_into_slices(frame):
 
 
 def test_running_totals_over_the_whole_frame(frame, rows):
-    result = running_totals(frame, by=[], order=[F.col("id").asc()], sums={"n": F.lit(1).cast("bigint")}).collect()
+    result = running_totals(
+        frame, by=[], order=[F.col("id").asc()], sums={"n": F.lit(1).cast("bigint")}, totals=True
+    ).collect()
     assert {r["id"]: (r["n_before"], r["n_total"]) for r in result} == {
         r[0]: (i, len(rows)) for i, r in enumerate(sorted(rows))
     }
@@ -74,6 +77,15 @@ def test_positions(frame, rows):
     assert {r["id"]: r["position"] for r in placed} == expected
 
 
+def test_positions_by_group(frame, rows):
+    placed = positions(frame, [F.col("at").desc(), F.col("id").asc()], by=["grp"]).collect()
+    groups = {}
+    for r in sorted(rows, key=lambda r: (-r[2], r[0])):
+        groups.setdefault(r[1], []).append(r[0])
+    expected = {id_: (i, len(ids)) for ids in groups.values() for i, id_ in enumerate(ids)}
+    assert {r["id"]: (r["position"], r["position_count"]) for r in placed} == expected
+
+
 @pytest.mark.parametrize("tiles", [4, 5, 7])
 def test_ntiles_match_plain_window(frame, tiles):
     scored = with_ntiles(frame, tiles, {"a": -F.col("at"), "b": F.col("value")}, tie_break="id")

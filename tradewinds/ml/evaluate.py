@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewinds.functions import shuffled_key
-from tradewinds.operators.ordered import group_medians, running_totals
+from tradewinds.operators.ordered import group_medians, positions
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,13 +56,10 @@ def split(
     """
     label = F.col(stratify).cast("string") if stratify else F.lit("all")
     drawn = df.select(label.alias("_class"), shuffled_key(key, seed).alias("_draw"), F.col(key).alias("_id"))
-    placed = running_totals(
-        drawn, by=["_class"], order=[F.col("_draw").asc(), F.col("_id").asc()],
-        sums={"_rows": F.lit(1).cast("bigint")},
-    )
+    placed = positions(drawn, [F.col("_draw").asc(), F.col("_id").asc()], by=["_class"], name="_place")
     classes = drawn.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
     sizes = F.broadcast(_test_rows(classes, test_share))
-    last = placed.join(sizes, "_class").filter(F.col("_rows_before") == F.col("_test") - 1).select(
+    last = placed.join(sizes, "_class").filter(F.col("_place") == F.col("_test") - 1).select(
         F.col("_class").alias("_of"), F.struct("_draw", "_id").alias("_last")
     )
     row = F.struct(shuffled_key(key, seed).alias("_draw"), F.col(key).alias("_id"))

@@ -29,9 +29,14 @@ def _slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    equal = [left[c].eqNullSafe(right[c]) for c in by]
-    return reduce(lambda a, b: a & b, equal, left["_slice"] == right["_slice"])
+def _key(by: Sequence[str]) -> list[Column]:
+    """Slice and group of a small side, renamed for the join."""
+    return [F.col("_slice").alias("_in_slice"), *[F.col(c).alias(f"_in_{c}") for c in by]]
+
+
+def _same_group(by: Sequence[str]) -> Column:
+    equal = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in by]
+    return reduce(lambda a, b: a & b, equal, F.col("_slice") == F.col("_in_slice"))
 
 
 def running_totals(
@@ -40,55 +45,71 @@ def running_totals(
     by: Sequence[str],
     order: Sequence[Column],
     sums: Mapping[str, Column],
+    totals: bool = False,
 ) -> DataFrame:
-    """Add `<name>_before` and `<name>_total` for each sum, per group.
+    """Add `<name>_before` for each sum: the earlier rows of the group in the given order, added up.
 
-    `_before` adds up the earlier rows of the group in the given order, `_total` all of its rows.
-    `order` must be a total order inside each group.
+    `totals` adds `<name>_total` over the whole group as well. `order` must be a total order inside
+    each group.
     """
     valued = df.select("*", *[value.alias(name) for name, value in sums.items()])
-    sorted_rows = _slices(valued, [*[F.col(c).asc_nulls_first() for c in by], *order])
+    rows = _slices(valued, [*[F.col(c).asc_nulls_first() for c in by], *order])
 
     inside = Window.partitionBy("_slice", *by)
     earlier = inside.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    local = sorted_rows
-    for name in sums:
-        local = local.withColumn(f"{name}_before", F.coalesce(F.sum(name).over(earlier), F.lit(0)))
-        local = local.withColumn(f"{name}_total", F.coalesce(F.sum(name).over(inside), F.lit(0)))
+    local = rows.select(
+        "*",
+        *[F.sum(name).over(earlier).alias(f"{name}_before") for name in sums],
+        *[F.sum(name).over(inside).alias(f"{name}_total") for name in sums if totals],
+    )
 
     # One row per slice and group. Only groups cut by a slice border need a carry, and each border
     # cuts one group, so the broadcast side holds at most two rows per slice.
-    pieces = sorted_rows.groupBy("_slice", *by).agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
-    )
-    group = Window.partitionBy(*by) if by else Window.partitionBy()
+    pieces = rows.groupBy("_slice", *by).agg(*[F.sum(name).alias(name) for name in sums])
+    group = Window.partitionBy(*by)
     previous = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     cut = pieces.select(
-        "_slice",
-        *by,
+        *_key(by),
         F.count(F.lit(1)).over(group).alias("_pieces"),
-        *[F.coalesce(F.sum(name).over(previous), F.lit(0)).alias(f"{name}_carry") for name in sums],
+        *[F.sum(name).over(previous).alias(f"{name}_carry") for name in sums],
         *[F.sum(name).over(group).alias(f"{name}_whole") for name in sums],
     ).filter("_pieces > 1")
-    joined = local.join(F.broadcast(cut), _same_group(local, cut, by), "left")
-    kept = [local[c] for c in df.columns]
+    joined = local.join(F.broadcast(cut), _same_group(by), "left")
+
+    def or_zero(column: str) -> Column:
+        return F.coalesce(F.col(column), F.lit(0))
+
     results = []
     for name in sums:
-        before = local[f"{name}_before"] + F.coalesce(cut[f"{name}_carry"], F.lit(0))
-        total = F.coalesce(cut[f"{name}_whole"], local[f"{name}_total"])
-        results += [before.alias(f"{name}_before"), total.alias(f"{name}_total")]
-    return joined.select(*kept, *results)
+        before = or_zero(f"{name}_before") + or_zero(f"{name}_carry")
+        results.append(before.alias(f"{name}_before"))
+        if totals:
+            total = F.coalesce(f"{name}_whole", f"{name}_total", F.lit(0))
+            results.append(total.alias(f"{name}_total"))
+    return joined.select(*df.columns, *results)
+
 
+def positions(
+    df: DataFrame, order: Sequence[Column], *, by: Sequence[str] = (), name: str = "position"
+) -> DataFrame:
+    """Add the zero-based place of every row in a total order, and `<name>_count`, the rows there are.
 
-def positions(df: DataFrame, order: Sequence[Column], *, name: str = "position") -> DataFrame:
-    """Add the zero-based place of every row in a total order over the whole frame."""
-    rows = _slices(df, order)
-    sizes = rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    # one row per slice, so a window without a key is small
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    placed = rows.join(F.broadcast(starts), "_slice")
-    return placed.select(*[rows[c] for c in df.columns], (F.col("_start") + F.col("_at")).alias(name))
+    `by` numbers the rows of a few groups separately (scores, classes): the broadcast side has one
+    row per slice plus one per group. Rows are sorted once and not shuffled again.
+    """
+    rows = _slices(df, [*[F.col(c).asc_nulls_first() for c in by], *order])
+    pieces = rows.groupBy("_slice", *by).agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    # one row per slice and group, so even a window without a key is small
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(
+        *_key(by), "_first",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_rows").over(group).alias("_count"),
+    )
+    placed = rows.join(F.broadcast(starts), _same_group(by))
+    place = F.col("_start") + F.col("_at") - F.col("_first")
+    return placed.select(*df.columns, place.alias(name), F.col("_count").alias(f"{name}_count"))
 
 
 def with_ntiles(df: DataFrame, tiles: int, scores: Mapping[str, Column], *, tie_break: str) -> DataFrame:
@@ -96,26 +117,25 @@ def with_ntiles(df: DataFrame, tiles: int, scores: Mapping[str, Column], *, tie_
 
     Tiles differ by at most one row. Every score needs only its `tiles - 1` border rows, so one
     sort of narrow rows finds the borders of all scores and the frame itself is never sorted.
-    The frame is read twice: pass a written one.
+    The frame is read twice: pass a written one. Values have at most two decimals and 16 digits
+    before the point (a larger one raises an error); such numbers sort as plain longs.
     """
     frame = df
     id_type = frame.schema[tie_break].dataType
-    common = "decimal(38,2)"
+    common = "decimal(18,2)"
     entries = [
         F.struct(F.lit(name).alias("score"), value.cast(common).alias("value"), F.col(tie_break).alias("id"))
         for name, value in scores.items()
     ]
     narrow = frame.select(F.inline(F.array(*entries)))
-    placed = running_totals(
-        narrow, by=["score"],
-        order=[F.col("value").asc_nulls_first(), F.col("id").asc_nulls_first()],
-        sums={"rows": F.lit(1).cast("bigint")},
+    placed = positions(
+        narrow, [F.col("value").asc_nulls_first(), F.col("id").asc_nulls_first()], by=["score"], name="row"
     )
     # tile j ends before row j * (n div k) + min(j, n mod k)
-    size = F.floor(F.col("rows_total") / tiles).cast("bigint")
-    spare = F.col("rows_total") % tiles
+    size = F.floor(F.col("row_count") / tiles).cast("bigint")
+    spare = F.col("row_count") % tiles
     ends = [F.lit(j) * size + F.least(F.lit(j), spare) for j in range(1, tiles)]
-    is_last = reduce(lambda a, b: a | b, [F.col("rows_before") == end - 1 for end in ends])
+    is_last = reduce(lambda a, b: a | b, [F.col("row") == end - 1 for end in ends])
     borders = placed.filter(is_last).select("score", "value", "id").collect()  # tiles - 1 rows a score
 
     for name, value in scores.items():
@@ -155,6 +175,7 @@ def value_ranks(df: DataFrame, metrics: Sequence[str], *, descending: bool) -> D
             "values": F.lit(1).cast("bigint"),
             "present": F.when(value.isNotNull(), F.col("peers")).otherwise(0).cast("bigint"),
         },
+        totals=True,
     )
     middle = F.col("present_before") + (F.col("peers") + 1) / 2
     return materialise(
@@ -183,7 +204,7 @@ def group_medians(df: DataFrame, *, by: Sequence[str], value: str) -> DataFrame:
     """Exact median of the non-null values per group, the mean of the two middle ones if even."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("peers"))
     placed = running_totals(
-        counts, by=by, order=[F.col(value).asc()], sums={"rows": F.col("peers")}
+        counts, by=by, order=[F.col(value).asc()], sums={"rows": F.col("peers")}, totals=True
     )
     low = F.floor((F.col("rows_total") - 1) / 2).cast("bigint")
     high = F.floor(F.col("rows_total") / 2).cast("bigint")
