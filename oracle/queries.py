@@ -436,7 +436,6 @@ EXPECTED: dict[str, str] = {
         round(sqrt(sum((label - prediction) * (label - prediction)) / count(*)), 3) as "RMSE",
         round(1 - sum((label - prediction) * (label - prediction)) / (sum(label * label) - sum(label) * sum(label) / count(*)), 4) as "R2"
         from day_predictions""",
-    "m8_best_model": None,
     "m10_class_weights": """select label, n as orders, round(cast(total as double) / (2 * n), 8) as balanced,
         round(case when label = 1 then cast(total - n as double) / n else 1 end, 8) as positives
         from (select label, count(*) as n, (select count(*) from review_training) as total from review_training group by 1)""",
@@ -475,5 +474,15 @@ EXPECTED: dict[str, str] = {
 }
 
 
+# reports that are built from operators above
+for _report, _operator in {
+    "q1_silver_customers": "w2_dedup_customers", "q1_silver_sellers": "w2_dedup_sellers",
+    "q1_silver_products": "w2_dedup_products", "q4_cohort_matrix": "a36_cohort_matrix",
+    "q5_quarterly": "a9_quarterly", "q5_revenue_by_state": "a10_revenue_by_state",
+    "q6_bottom_sellers": "l4_bottom_sellers", "q6_seller_states": "a12_seller_states",
+}.items():
+    EXPECTED[_report] = EXPECTED[_operator]
+
+
 def expected_sql() -> dict[str, str]:
-    return {name: query(sql) for name, sql in EXPECTED.items() if sql}
+    return {name: query(sql) for name, sql in EXPECTED.items()}

@@ -294,6 +294,19 @@ def test_gate_stops_on_critical_only_when_strict(spark):
     assert len(quality.gate(reports, strict=False)) == 9
 
 
+def test_a_table_that_cannot_be_read_leaves_the_others_alone(spark, tmp_path):
+    path = str(tmp_path / "gone")
+    spark.createDataFrame([("a", "b")], RAW["category_translation"]).write.parquet(path)
+    gone = spark.read.parquet(path)
+    import shutil
+
+    shutil.rmtree(path)
+    sound = spark.createDataFrame([("s", "00001", "x", "SP")], RAW["sellers"])
+    reports = quality.validate_all(spark, {"category_translation": gone, "sellers": sound})
+    status = {r["file_name"]: r["status"] for r in reports.collect()}
+    assert status["category_translation"] == "CRITICAL" and status["sellers"] == "PASS"
+
+
 def test_macro_metrics_with_a_class_that_is_never_predicted(spark):
     df = spark.createDataFrame([(1, 1)] * 3 + [(0, 1)], "label int, prediction int")
     row = evaluate.classification_metrics(df).first()

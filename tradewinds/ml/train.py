@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds.ml import evaluate, features as ft
-from tradewinds.operators.materialise import checkpoint_folder, materialise
+from tradewinds.operators.materialise import materialise, prepare_checkpoints, run_folder
 
 SEED = 42
 _MAX_BINS = 64  # more than the labels of any categorical feature
@@ -149,7 +149,7 @@ def fit(stages: list, estimator, df: DataFrame) -> PipelineModel:
     model = Pipeline(stages=[*stages, estimator]).fit(df)
     if not getattr(model.stages[-1], "hasSummary", False):
         return model
-    path = f"{checkpoint_folder(df.sparkSession)}/models/{uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/model-{uuid4().hex}"
     model.write().save(path)
     return PipelineModel.load(path)
 
@@ -175,7 +175,7 @@ def best_candidate(results: dict[str, dict[str, float]], task: Task) -> str:
 def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Trained:
     """Measure the candidates on a held-out fifth, then fit the best one anew on all rows."""
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(f"{checkpoint_folder(spark)}/models")
+    prepare_checkpoints(spark)
     stratify = "label" if task.greater_is_better else None
     marked = materialise(evaluate.split(df, seed=SEED, stratify=stratify))
     train_rows, test_rows = marked.filter("not is_test"), marked.filter("is_test")

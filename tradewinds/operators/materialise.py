@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}  # application id -> folder, for local sessions without the setting
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -24,19 +25,27 @@ def checkpoint_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tradewinds-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tradewinds-")
+    return _local_folders[application]
 
 
-def _run_folder(spark: SparkSession) -> str:
+def run_folder(spark: SparkSession) -> str:
+    """Where this application writes; `release` drops it."""
     return f"{checkpoint_folder(spark)}/tradewinds-{spark.sparkContext.applicationId}"
 
 
+def prepare_checkpoints(spark: SparkSession) -> None:
+    """Give iterative training a folder to cut its lineage in, unless the session has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the frame once and return a scan of what was written."""
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -44,5 +53,5 @@ def materialise(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Drop every intermediate table this application has written."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.utils import AnalysisException
 
 from tradewinds.functions import parse_timestamp
 from tradewinds.schemas import DATES, NOT_NULL, NOT_PROGRESSED, RAW
@@ -166,26 +165,25 @@ def critical_report(spark: SparkSession, name: str, error: str) -> DataFrame:
 
 
 def validate_all(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Reports of every raw table; a table that is absent or cannot be read is CRITICAL."""
+    """Reports of every raw table; a table that is absent or cannot be read is CRITICAL.
+
+    Each report is one row and is taken on its own, so a table that fails leaves the others alone.
+    """
     reports = []
     for name, schema in RAW.items():
         df = tables.get(name)
         if df is None:
-            reports.append(critical_report(spark, name, f"Expected table not found: {name}"))
-            continue
-        try:
+            report = critical_report(spark, name, f"Expected table not found: {name}")
+        else:
             report = validate_table(
                 df, name=name, required=schema.names,
                 not_null=NOT_NULL.get(name, []), dates=DATES.get(name, []),
             )
-            report.schema  # raises when the table cannot be resolved
-        except AnalysisException as error:
-            report = critical_report(spark, name, f"Cannot read {name}: {error}")
-        reports.append(report)
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+        try:
+            reports.append(report.first())
+        except Exception as error:  # whatever keeps Spark from reading it is the finding
+            reports.append(critical_report(spark, name, f"Cannot read {name}: {error}").first())
+    return spark.createDataFrame(reports, REPORT)
 
 
 def summary_line(reports: DataFrame) -> DataFrame:

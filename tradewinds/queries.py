@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tradewinds import functions as fn, schemas
 from tradewinds.ml import evaluate, features as ft, score, train
 from tradewinds.operators import quality, relational as rel
-from tradewinds.operators.materialise import checkpoint_folder, materialise
+from tradewinds.operators.materialise import materialise, run_folder
 from tradewinds.operators.ordered import join_ranks, value_ranks
 from tradewinds.plans import cohort, dashboard as dash, gold, revenue, rfm, sellers, silver
 from tradewinds.plans.warehouse import Warehouse
@@ -33,7 +33,7 @@ class Context(Warehouse):
         self.spark = spark
 
     def scratch(self, name: str) -> str:
-        return f"{checkpoint_folder(self.spark)}/tradewinds-{self.spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+        return f"{run_folder(self.spark)}/{name}-{uuid4().hex}"
 
     @cached_property
     def delivered_csv(self) -> str:
@@ -1188,6 +1188,21 @@ def q1_silver_orders(c):
     return silver.silver_orders(c.raw["orders"])
 
 
+@query
+def q1_silver_customers(c):
+    return silver.silver_customers(c.raw["customers"])
+
+
+@query
+def q1_silver_sellers(c):
+    return silver.silver_sellers(c.raw["sellers"])
+
+
+@query
+def q1_silver_products(c):
+    return silver.silver_products(c.raw["products"])
+
+
 @query
 def q1_silver_payments(c):
     return silver.silver_payments(c.raw["order_payments"])
@@ -1243,6 +1258,21 @@ def q4_cohort_retention(c):
     return cohort.cohort_retention(c.fact_orders(), c.dim_customers())
 
 
+@query
+def q4_cohort_matrix(c):
+    return cohort.cohort_matrix(cohort.cohort_retention(c.fact_orders(), c.dim_customers()))
+
+
+@query
+def q5_quarterly(c):
+    return revenue.quarterly(c.fact_orders())
+
+
+@query
+def q5_revenue_by_state(c):
+    return revenue.revenue_by_state(c.fact_orders(), c.dim_customers())
+
+
 @query
 def q5_monthly_trend(c):
     return revenue.monthly_trend(c.fact_orders())
@@ -1253,6 +1283,16 @@ def q6_seller_scorecard(c):
     return sellers.seller_scorecard(c.fact_orders(), c.silver("items"), c.dim_sellers())
 
 
+@query
+def q6_bottom_sellers(c):
+    return sellers.bottom_sellers(c.card)
+
+
+@query
+def q6_seller_states(c):
+    return sellers.seller_states(c.card)
+
+
 @query
 def q7_customer_segments(c):
     return dash.customer_rfm(dash.delivered_orders(c.enriched()))
