@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -29,7 +30,9 @@ class Warehouse:
         return self._once(f"silver_{name}", lambda: job(self.raw[source]))
 
     def silver_tables(self) -> dict[str, DataFrame]:
-        return {name: self.silver(name) for name in SILVER}
+        """All silver tables. They do not depend on each other, so their jobs are submitted together."""
+        with ThreadPoolExecutor(len(SILVER)) as pool:
+            return dict(zip(SILVER, pool.map(self.silver, SILVER), strict=True))
 
     def staged(self, name: str) -> DataFrame:
         return gold.stage(self.silver(name), name)
