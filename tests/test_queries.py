@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from oracle.queries import expected_sql
 from tests.compare import connect, difference
 from tests.conftest import SMALL
+from tradewinds.queries import QUERIES
 
-EXPECTED = oracle_sql()
+EXPECTED = expected_sql()
 NO_SQL = {
     "s11_artifacts", "s12_model_comparison", "m6_regression_candidates", "m8_best_model", "m9_feature_importance",
     "m10_classification_candidates", "m14_delivery_scores", "m15_review_scores", "m17_chained_scores",
@@ -20,7 +22,7 @@ def duck():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     result = queries()[name](spark, SMALL)
     if name in NO_SQL:
@@ -30,7 +32,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_expected_result_has_a_query():
-    assert set(EXPECTED) | NO_SQL == set(queries())
+    assert set(EXPECTED) | NO_SQL == set(QUERIES)
 
 
 def test_entry(spark):

@@ -8,27 +8,29 @@ back. Reading it back also gives the optimizer real file sizes, so a small table
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}  # application id -> folder, for local sessions without the setting
+_written: dict[str, list[str]] = {}  # application id -> folders, in the order they were written
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session; a local session without one gets its own."""
+    """The shared folder the session names; without one, a folder in its warehouse, set for the session.
+
+    The warehouse is shared by every executor on a cluster. A plain path without a file system is
+    refused there if the cluster's default file system is the machine's own.
+    """
     folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="tradewinds-")
-    return _local_folders[application]
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        spark.conf.set(_SETTING, folder)
+    jvm = spark.sparkContext._jvm
+    default = jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark.sparkContext._jsc.hadoopConfiguration())
+    if ":" not in folder and default.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{_SETTING} = {folder} names no file system that executors share")
+    return folder.rstrip("/")
 
 
 def run_folder(spark: SparkSession) -> str:
@@ -47,11 +49,44 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scope:
+    """Deletes, at its end, the tables written inside it; `keep` those that the result still reads.
+
+        with Scope(spark) as scope:
+            narrow = materialise(...)
+            result = scope.keep(materialise(f(narrow)))
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._kept = spark, set()
+
+    def __enter__(self) -> Scope:
+        self._mine = _written.setdefault(self.spark.sparkContext.applicationId, [])
+        self._start = len(self._mine)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The table written last stays, as does what scopes inside this one have kept."""
+        self._kept.add(self._mine[-1])
+        return df
+
+    def __exit__(self, *failure) -> None:
+        for path in self._mine[self._start:]:
+            if path not in self._kept:
+                _delete(self.spark, path)
+        self._mine[self._start:] = [p for p in self._mine[self._start:] if p in self._kept]
+
+
 def release(spark: SparkSession) -> None:
     """Drop every intermediate table this application has written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, run_folder(spark))
+    _written.pop(spark.sparkContext.applicationId, None)
