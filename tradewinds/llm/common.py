@@ -7,13 +7,34 @@ that repeat both are one document to an operator and get the same result.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Sequence
+from pathlib import Path
+
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 WORD = r"[^\x20\x09-\x0D]+"
+_shipped: set[str] = set()  # applications whose executors have the package
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, for the functions they run."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def text_of() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
@@ -30,3 +51,33 @@ def crc32_text(column: Column) -> Column:
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
+
+
+def literal_array(values: Sequence, kind: str) -> Column:
+    """Array literal of numbers or of words without commas, folded to a constant by the optimizer."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+class WordTable:
+    """Numbers of listed words by a hash table without collisions, as columns. Word i has number i + 1."""
+
+    def __init__(self, words: Sequence[str]):
+        self.words = list(words)
+        hashes = [xxhash.xxh64_intdigest(word.encode(), seed=42) for word in self.words]  # as F.xxhash64
+        self.bits = max(8, (len(self.words) ** 2).bit_length())
+        while True:
+            mask = (1 << self.bits) - 1
+            for self.shift in range(0, 64 - self.bits):
+                slots = {(h >> self.shift) & mask: i + 1 for i, h in enumerate(hashes)}
+                if len(slots) == len(self.words):
+                    self.slots = [slots.get(i, 0) for i in range(mask + 1)]
+                    return
+            self.bits += 1
+
+    def number(self, word: Column) -> Column:
+        """1 for the first word and so on; 0 for a word that is not listed."""
+        if not self.words:
+            return F.lit(0)
+        slot = F.shiftrightunsigned(F.xxhash64(word), self.shift).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
+        found = F.get(literal_array(self.slots, "int"), slot)
+        return F.when((found > 0) & (F.get(literal_array(self.words, "string"), found - 1) == word), found).otherwise(0)
