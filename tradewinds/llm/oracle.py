@@ -1,5 +1,117 @@
-"""SQL for what SQL can state, written from the definitions and run by another engine."""
+"""SQL for what SQL can state, written from the definitions and run by another engine.
+
+The other operators have no such text: a learned model (3), a tokenizer's vocabulary (1, 5), hashes
+that the other engine lacks (7, 8), a search (9) and distances that end in a rounded verdict (6). They
+are tested against brute force.
+"""
 
 from __future__ import annotations
 
-EXPECTED: dict[str, str] = {}
+from tradewinds.llm.common import LOWER, UPPER
+from tradewinds.llm.licenses import BASE, TEMPLATES
+
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+_MIX = f"""
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), {_WORDS})) as bigint) as size,
+         cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15) as bigint) as place
+  from documents
+), by_source as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+weighed as (
+  select source, source_size, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w from by_source
+), whole as (select cast(sum(source_size) as double) as t, sum(w) as w from weighed),
+sorted as (
+  select row_number() over o as j, 3.0 * source_size / w as r, sum(3 * source_size) over o as capped, sum(w) over o as capped_w
+  from weighed window o as (order by 3.0 * source_size / w, source nulls last rows unbounded preceding)
+), steps as (
+  select 0 as j, 0 as capped, 0 as capped_w union all select j, capped, capped_w from sorted
+), levels as (
+  select steps.j, (whole.t - steps.capped) / (whole.w - steps.capped_w) as level, following.r as next_r
+  from steps cross join whole left join sorted as following on following.j = steps.j + 1
+  where whole.w > steps.capped_w
+), chosen as (select level from levels where next_r > level order by j limit 1),
+targets as (
+  select source, source_size,
+         case when cast(3 * source_size as double) <= level * w then cast(3 * source_size as double) else level * w end as target
+  from weighed cross join chosen
+), parts as (
+  select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as k from targets
+), rests as (select *, target - k * source_size as rest from parts),
+placed as (
+  select d.*, r.source_size, r.target, r.k, r.rest,
+         sum(d.size) over (partition by d.source order by d.place range unbounded preceding) as upto
+  from d join rests r on d.source is not distinct from r.source
+), marked as (select *, rest > 0 and upto <= rest as again from placed),
+gaps as (select source, rest - coalesce(max(upto) filter (where again), 0) as gap from marked where rest > 0 group by source, rest),
+fillers as (
+  select m.source, arg_min(m.place, {{'off': abs(m.size - g.gap), 'place': m.place}}) as place
+  from marked m join gaps g on m.source is not distinct from g.source
+  where not m.again and abs(m.size - g.gap) < g.gap group by m.source
+)
+select m.doc_id, m.size, m.source_size, m.target,
+       cast(m.size * (m.k + case when m.again or f.place is not null then 1 else 0 end) as bigint) as taken
+from marked m left join fillers f on m.source is not distinct from f.source and m.place = f.place
+"""
+
+_NEAR = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {_WORDS}) as words from documents
+), s as (
+  select doc_id, case when len(words) >= 3 then list_distinct([array_to_string(words[i:i + 2], ' ') for i in range(1, len(words) - 1)])
+                      when len(words) > 0 then [array_to_string(words, ' ')] else [] end as shingles from w
+), n as (select doc_id, cast(len(shingles) as bigint) as n from s),
+g as (select doc_id, unnest(shingles) as shingle from s),
+shares as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared from g a join g b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from shares join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 85 * (x.n + y.n - shared)
+), edges as (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id as a, doc_id as b from n union select reach.a, edges.b from reach join edges on edges.a = reach.b
+), smallest as (select a, min(b) as component_id from reach group by a)
+select n.doc_id, n.n as n_shingles, smallest.component_id, n.doc_id = smallest.component_id as kept
+from n join smallest on smallest.a = n.doc_id
+"""
+
+
+def _license_sql() -> str:
+    words, phrases = [], []
+    for number, template in enumerate(TEMPLATES):
+        run = template.text.split()
+        key = set()
+        for phrase in template.keys:
+            wanted = phrase.split()
+            at = next(i for i in range(len(run)) if run[i:i + len(wanted)] == wanted)
+            key.update(range(at, at + len(wanted)))
+        words += [f"({number}, '{template.label}', {len(run)}, {k}, '{w}', {int(k in key)}, {len(key)})" for k, w in enumerate(run)]
+    for number, (phrase, label) in enumerate(BASE.items()):
+        run = phrase.split()
+        phrases += [f"({number}, '{label}', {len(run)}, {k}, '{w}')" for k, w in enumerate(run)]
+    pattern = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return f"""
+with w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {pattern}) as words from documents
+), p as (select doc_id, unnest(words) as word, unnest(range(len(words))) as at from w),
+template(t, label, size, k, word, key, keys) as (values {', '.join(words)}),
+phrase(t, label, size, k, word) as (values {', '.join(phrases)}),
+base as (
+  select doc_id, label, p.at - k as start from p join phrase using (word) group by doc_id, t, label, size, p.at - k having count(*) = size
+), found as (
+  select doc_id, label, count(*) / cast(size as double) as share from p join template using (word)
+  group by doc_id, t, label, size, keys, p.at - k having sum(key) = keys and count(*) / cast(size as double) >= 0.8
+), labels as (select doc_id, label from base union select doc_id, label from found),
+base_rows as (
+  select doc_id, count(*) as n, min(start) as first_word, max(start) as last_word,
+         string_agg(distinct label, ',' order by label) as labels from base group by doc_id
+), label_rows as (select doc_id, string_agg(distinct label, ',' order by label) as labels from labels group by doc_id),
+score as (select doc_id, max(share) as score from found group by doc_id)
+select w.doc_id, cast(len(words) as bigint) as n_words, coalesce(b.n, 0) as n_base, b.first_word, b.last_word,
+       coalesce(b.labels, '') as base_labels, coalesce(l.labels, '') as labels, coalesce(s.score, 0.0) as score
+from w left join base_rows b using (doc_id) left join label_rows l using (doc_id) left join score s using (doc_id)
+"""
+
+
+EXPECTED: dict[str, str] = {
+    "op2_mix_sources": _MIX, "op4_license_scan": _license_sql(), "op10_minhash_near_dedup": _NEAR,
+}

@@ -14,6 +14,7 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,12 +33,15 @@ _MAX_LANGUAGES = 200
 
 @dataclass(frozen=True)
 class Limits:
-    """Greatest distances, and the least characters and words at which they count."""
+    """Greatest distances, and the least characters and words at which they count.
 
-    classes: float = 0.35
-    words: float = 0.75
+    The distance of words is a share of that of a text without any of the common words.
+    """
+
+    classes: float = 0.33
+    words: float = 0.97
     least_chars: int = 200
-    least_words: int = 50
+    least_words: int = 100
 
 
 @dataclass(frozen=True)
@@ -86,6 +90,11 @@ def _distance(divergence: Column) -> Column:
     return F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), divergence)))
 
 
+def _rest_part(q: float) -> float:
+    """q log2(2q / (1 + q)): what all other words of a reference add for a text of other words only."""
+    return q * math.log2(2 * q / (1 + q)) if q > 0 else 0.0
+
+
 def repeated_words(hashes: Column) -> Column:
     """Words inside windows of eight words that occur twice or more, the first occurrence included.
 
@@ -165,7 +174,8 @@ def judge(docs: DataFrame, known: References, limits: Limits = Limits()) -> Data
                 ),
                 lambda a: a["d"] + (F.lit(sum(share)) - a["q"]) / 2 + _terms(F.greatest(F.lit(0.0), 1 - a["p"]), F.lit(max(0.0, 1 - sum(share)))),
             )
-            far.append(_distance(pair))
+            lacking = sum(share) / 2 + (1 - math.log2(2 - sum(share)) + _rest_part(1 - sum(share))) / 2
+            far.append(_distance(pair) / math.sqrt(lacking) if lacking > 0 else F.lit(0.0))
         word_distance = F.when(n > 0, F.least(*far) if len(far) > 1 else far[0])
     else:
         word_distance = F.lit(None).cast("double")
