@@ -165,7 +165,7 @@ EXPECTED: dict[str, str] = {
     }),
     "s10_reconcile": " union all ".join(
         f"select '{n}' as \"table\", (select count(*) from {_SOURCE_OF[n]}) as bronze, (select count(*) from {t}) as silver, "
-        + (f"cast((select count(*) from {t}) as varchar)" if n in ("orders", "payments") else "'skipped'") + " as loaded"
+        + f"cast((select count(*) from {t}) as varchar) as loaded"
         for n, t in _SILVER.items()
     ),
     # validation
@@ -241,6 +241,7 @@ EXPECTED: dict[str, str] = {
         dayofweek(full_date) in (0, 6) as is_weekend, year(full_date) || '-Q' || quarter(full_date) as year_quarter,
         strftime(full_date, '%Y-%m') as year_month
         from (select distinct cast(order_purchase_timestamp as date) as full_date from silver_orders)""",
+    "q2_dim_dates": "select * from dim_dates",
     "p19_month_index": """select order_id, datediff('month', order_purchase_timestamp, order_estimated_delivery_date) as months
         from silver_orders""",
     "p20_rfm_cell": "select customer_unique_id, rfm_cell, rfm_total from rfm_full",
@@ -341,8 +342,9 @@ EXPECTED: dict[str, str] = {
     "a22_regions": "select region, cast(sum(order_count) as bigint) as order_count from customer_states where region is not null group by 1",
     "a23_delivery_heat": "select * from heat",
     "a23_delivery_heat_matrix": "select customer_state, "
-        + ", ".join(f"max(avg_delivery_days) filter (seller_state = '{s}') as \"{s}\"" for s in _STATES)
-        + " from heat group by 1",
+        + ", ".join(f"max(avg_delivery_days) filter (place = {i}) as seller_{i}" for i in range(1, 11)) + ", "
+        + ", ".join(f"(select seller_state from busy_sellers where place = {i}) as seller_{i}_state" for i in range(1, 11))
+        + " from heat join busy_sellers using (seller_state) group by 1",
     "a24_customer_rfm_base": "select customer_id, cast(recency as bigint) as recency, frequency, cast(monetary as double) as monetary from page_rfm_days",
     "a25_segment_spend": "select segment, count(*) as count, cast(sum(monetary) as double) / count(*) as monetary from page_rfm group by 1",
     "a25_segment_summary": f"""select segment, count(*) as customers, {half_even('sum(recency)', 'count(*)', 1)} as avg_recency,

@@ -80,7 +80,7 @@ def test_reconciliation_marks_what_is_missing(spark):
     bronze = spark.createDataFrame([("a", 5), ("b", -1), ("c", 7)], saved.LOADED)
     silver = spark.createDataFrame([("a", 4)], saved.LOADED)
     loaded = spark.createDataFrame([("STG_A", 4), ("STG_C", -1)], saved.LOADED)
-    assert {tuple(r) for r in saved.reconcile(bronze, silver, loaded).collect()} == {
+    assert {tuple(r) for r in saved.reconcile(bronze, silver, loaded, names={"a": "STG_A", "b": "STG_B", "c": "STG_C"}).collect()} == {
         ("a", 5, 4, "4"), ("b", -1, -1, "skipped"), ("c", 7, -1, "FAILED"),
     }
 

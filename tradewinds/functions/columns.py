@@ -107,7 +107,7 @@ def mean(column: str, places: int | None = None, *, half_even: bool = False) ->
 
 def plain_mean(column: str) -> Column:
     """Unrounded mean as one double division of an exact sum by a count."""
-    total = F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+    total = F.sum(column).cast("double")
     return F.try_divide(total, F.count(column).cast("double"))
 
 

@@ -17,7 +17,8 @@ from tradewinds.ml import evaluate, features as ft
 from tradewinds.operators.materialise import materialise, prepare_checkpoints, run_folder
 
 SEED = 42
-_MAX_BINS = 64  # more than the labels of any categorical feature
+_LEAST_BINS = 32
+_ROWS_A_PART = 50_000  # trees read their rows once a level: few, full partitions
 
 METRICS = T.StructType([
     T.StructField("best_model", T.StringType()),
@@ -60,12 +61,12 @@ class Trained:
 
 def regressors(*, trees: int = 200, rounds: int = 300) -> dict[str, object]:
     """Linear, forest and two boosted candidates; the second boosted one samples features too."""
-    common = {"maxBins": _MAX_BINS, "seed": SEED}
+    common = {"seed": SEED, "maxMemoryInMB": 1024}
     boosted = {**common, "maxIter": rounds, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8}
     return {
         "LinearRegression": LinearRegression(),
         "RandomForestRegressor": RandomForestRegressor(
-            numTrees=trees, maxDepth=12, minInstancesPerNode=5, **common
+            numTrees=trees, maxDepth=12, minInstancesPerNode=5, featureSubsetStrategy="all", **common
         ),
         "GradientBoostingRegressor": GBTRegressor(minInstancesPerNode=10, **boosted),
         "FeatureSampledBoostingRegressor": GBTRegressor(
@@ -76,7 +77,7 @@ def regressors(*, trees: int = 200, rounds: int = 300) -> dict[str, object]:
 
 def classifiers(*, trees: int = 200, rounds: int = 300) -> dict[str, object]:
     """Balanced logistic and forest, plain boosting, boosting with weighted positives."""
-    common = {"maxBins": _MAX_BINS, "seed": SEED}
+    common = {"seed": SEED, "maxMemoryInMB": 1024}
     boosted = {**common, "maxIter": rounds, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8}
     return {
         "LogisticRegression": LogisticRegression(maxIter=1000, weightCol="balanced"),
@@ -143,28 +144,58 @@ def feature_importance(spark: SparkSession, model: PipelineModel, used: Sequence
     return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
 
 
-def fit(stages: list, estimator, df: DataFrame) -> PipelineModel:
-    """Fitted stages and model. A model that holds a training summary is saved and read back: the
-    summary refers to the session, which executors cannot be sent."""
-    model = Pipeline(stages=[*stages, estimator]).fit(df)
-    if not getattr(model.stages[-1], "hasSummary", False):
+def fit(estimator, prepared: DataFrame, bins: int):
+    """Fitted model. One that holds a training summary is saved and read back: the summary refers to
+    the session, which executors cannot be sent."""
+    if estimator.hasParam("maxBins"):
+        estimator = estimator.copy({estimator.maxBins: bins})
+    model = estimator.fit(prepared)
+    if not getattr(model, "hasSummary", False):
         return model
-    path = f"{run_folder(df.sparkSession)}/model-{uuid4().hex}"
+    path = f"{run_folder(prepared.sparkSession)}/model-{uuid4().hex}"
     model.write().save(path)
-    return PipelineModel.load(path)
+    return type(model).load(path)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Rows made ready once for all candidates, what made them, and the bins that its labels need."""
+
+    stages: PipelineModel
+    used: list[str]
+    rows: DataFrame
+    bins: int
+
+    def rest(self, df: DataFrame) -> DataFrame:
+        return materialise(self.stages.transform(df))
+
+
+def prepare(df: DataFrame, task: Task) -> Prepared:
+    stages, used = preparation(df, task)
+    fitted = Pipeline(stages=stages).fit(df)
+    weights = [c for c in ("balanced", "positives") if c in df.columns]
+    ready = fitted.transform(df).select("label", "features", *weights)
+    parts = max(1, -(-df.count() // _ROWS_A_PART))
+    labels = max((len(names) for names in fitted.stages[1].labelsArray), default=0)
+    return Prepared(fitted, used, materialise(ready.repartition(parts)), max(_LEAST_BINS, labels + 1))
 
 
 def evaluate_candidates(
     train: DataFrame, test: DataFrame, task: Task, candidates: dict[str, object]
-) -> tuple[dict[str, PipelineModel], dict[str, dict[str, float]]]:
-    """Fit every candidate on the training rows and measure it on the others."""
+) -> tuple[dict[str, object], dict[str, dict[str, float]], DataFrame]:
+    """Fit every candidate on the training rows and measure it on the others, which come back ready."""
     measure = evaluate.classification_metrics if task.greater_is_better else evaluate.regression_metrics
-    stages, _ = preparation(train, task)
+    prepared = prepare(train, task)
+    rest = prepared.rest(test)
     fitted, results = {}, {}
-    for name, estimator in candidates.items():
-        fitted[name] = fit(stages, estimator, train)
-        results[name] = measure(fitted[name].transform(test)).first().asDict()  # one row of metrics
-    return fitted, results
+    rows = prepared.rows.persist()
+    try:
+        for name, estimator in candidates.items():
+            fitted[name] = fit(estimator, rows, prepared.bins)
+            results[name] = measure(fitted[name].transform(rest)).first().asDict()  # one row of metrics
+    finally:
+        rows.unpersist()
+    return fitted, results, rest
 
 
 def best_candidate(results: dict[str, dict[str, float]], task: Task) -> str:
@@ -181,17 +212,15 @@ def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Traine
     train_rows, test_rows = marked.filter("not is_test"), marked.filter("is_test")
     if task.greater_is_better:
         train_rows, test_rows = with_class_weights(train_rows), test_rows
-    train_rows = train_rows.persist()
-    try:
-        fitted, results = evaluate_candidates(train_rows, test_rows, task, candidates)
-    finally:
-        train_rows.unpersist()
+    fitted, results, rest = evaluate_candidates(train_rows, test_rows, task, candidates)
     best = best_candidate(results, task)
-    confusion = evaluate.confusion_matrix(fitted[best].transform(test_rows)) if task.greater_is_better else None
+    confusion = evaluate.confusion_matrix(fitted[best].transform(rest)) if task.greater_is_better else None
 
     everything = with_class_weights(marked) if task.greater_is_better else marked
-    stages, used = preparation(everything, task)
-    final = fit(stages, candidates[best], everything)
+    prepared = prepare(everything, task)
+    used = prepared.used
+    final = PipelineModel([*prepared.stages.stages, fit(candidates[best], prepared.rows.persist(), prepared.bins)])
+    prepared.rows.unpersist()
 
     sizes = marked.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
     cells = [[r["predicted_0"], r["predicted_1"]] for r in confusion.orderBy("actual").collect()] if confusion else None

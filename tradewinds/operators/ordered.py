@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tradewinds.operators.materialise import materialise
 
@@ -112,17 +112,26 @@ def positions(
     return placed.select(*df.columns, place.alias(name), F.col("_count").alias(f"{name}_count"))
 
 
+def _common_type(df: DataFrame) -> T.DataType:
+    """Type that holds the values of all columns unchanged; the cast fails on more than 38 digits."""
+    types = [field.dataType for field in df.schema]
+    if all(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in types):
+        return T.DoubleType()
+    if not all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        raise ValueError(f"no exact common type of {[t.simpleString() for t in types]}")
+    return T.DecimalType(38, max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0))
+
+
 def with_ntiles(df: DataFrame, tiles: int, scores: Mapping[str, Column], *, tie_break: str) -> DataFrame:
     """Add NTILE(tiles) columns over the whole frame, each ascending in its value, then in the id.
 
     Tiles differ by at most one row. Every score needs only its `tiles - 1` border rows, so one
     sort of narrow rows finds the borders of all scores and the frame itself is never sorted.
-    The frame is read twice: pass a written one. Values have at most two decimals and 16 digits
-    before the point (a larger one raises an error); such numbers sort as plain longs.
+    The frame is read twice: pass a written one. Values are integers and decimals, or all floating.
     """
     frame = df
     id_type = frame.schema[tie_break].dataType
-    common = "decimal(18,2)"
+    common = _common_type(frame.select(*[value.alias(name) for name, value in scores.items()]))
     entries = [
         F.struct(F.lit(name).alias("score"), value.cast(common).alias("value"), F.col(tie_break).alias("id"))
         for name, value in scores.items()
@@ -153,15 +162,14 @@ def with_ntiles(df: DataFrame, tiles: int, scores: Mapping[str, Column], *, tie_
 
 
 def value_ranks(df: DataFrame, metrics: Sequence[str], *, descending: bool) -> DataFrame:
-    """Ranks of every distinct value of each metric (numbers with at most two decimals).
+    """Ranks of every distinct value of each metric (integers and decimals, or all floating).
 
     One row per metric and value: `rank`, `dense_rank`, `mean_rank_pct` (ties share the mean of
     their places, divided by the number of non-null rows). Descending order puts nulls first and
     ascending order puts them last.
     """
-    entries = [
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("decimal(38,2)").alias("value")) for m in metrics
-    ]
+    common = _common_type(df.select(*metrics))
+    entries = [F.struct(F.lit(m).alias("metric"), F.col(m).cast(common).alias("value")) for m in metrics]
     counts = df.select(F.inline(F.array(*entries))).groupBy("metric", "value").agg(
         F.count(F.lit(1)).alias("peers")
     )
@@ -195,7 +203,7 @@ def join_ranks(df: DataFrame, ranks: DataFrame, columns: Mapping[str, tuple[str,
         side = ranks.filter(F.col("metric") == metric).select(
             F.col("value").alias("_value"), F.col(kind).alias(name)
         )
-        matched = F.col(metric).cast("decimal(38,2)").eqNullSafe(F.col("_value"))
+        matched = F.col(metric).cast(ranks.schema["value"].dataType).eqNullSafe(F.col("_value"))
         df = df.join(side, matched, "left").drop("_value")
     return df
 

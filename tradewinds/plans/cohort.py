@@ -27,12 +27,12 @@ def cohort_counts(activity: DataFrame) -> DataFrame:
     )
 
 
-def cohort_retention(fact: DataFrame, customers: DataFrame, *, max_index: int = 12) -> DataFrame:
+def cohort_retention(fact: DataFrame, customers: DataFrame, *, max_index: int | None = 12) -> DataFrame:
     counts = cohort_counts(active_months(fact, customers))
     started = F.when(F.col("months_since_first_order") == 0, F.col("active_customers"))
     sized = counts.withColumn("cohort_size", F.max(started).over(Window.partitionBy("cohort_month")))
     return (
-        sized.filter(F.col("months_since_first_order") <= max_index)
+        (sized if max_index is None else sized.filter(F.col("months_since_first_order") <= max_index))
         .select(
             month_label("cohort_month").alias("cohort_label"),
             "cohort_size",

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewinds.functions import (
     is_good_review, late_label, mean, month_label, plain_mean, ratio, short_id, state_name, state_region,
@@ -13,7 +13,6 @@ from tradewinds.functions import (
 from tradewinds.operators.materialise import materialise
 from tradewinds.operators.ordered import join_ranks, value_ranks
 from tradewinds.operators.relational import keep_listed, top_k
-from tradewinds.schemas import STATES
 
 BOUGHT = "order_purchase_timestamp"
 
@@ -201,9 +200,23 @@ def delivery_heat(df: DataFrame, *, n: int = 10) -> DataFrame:
     return busy.groupBy("customer_state", "seller_state").agg(plain_mean("delivery_days").alias("avg_delivery_days"))
 
 
-def delivery_heat_matrix(heat: DataFrame, *, states: Sequence[str] = tuple(STATES)) -> DataFrame:
-    """Customer states down, seller states across."""
-    return heat.groupBy("customer_state").pivot("seller_state", list(states)).agg(F.max("avg_delivery_days"))
+def delivery_heat_matrix(df: DataFrame, *, n: int = 10) -> DataFrame:
+    """Customer states down, the n busiest seller states across: `seller_1` and so on, busiest first.
+
+    `seller_1_state` names the state of a column, whatever its code is.
+    """
+    heat = delivery_heat(df, n=n)
+    shops = top_k(seller_state_metrics(df), "order_count", n, tie_break="seller_state")
+    order = Window.orderBy(F.desc("order_count"), "seller_state")  # n rows at most
+    places = shops.join(heat.select("seller_state").distinct(), "seller_state").select(
+        "seller_state", F.row_number().over(order).alias("place")
+    )
+    names = places.agg(*[F.max(F.when(F.col("place") == i, F.col("seller_state"))).alias(f"s{i}") for i in range(1, n + 1)])
+    cells = heat.join(F.broadcast(places), "seller_state").groupBy("customer_state").agg(*[
+        F.max(F.when(F.col("place") == i, F.col("avg_delivery_days"))).alias(f"seller_{i}") for i in range(1, n + 1)
+    ])
+    state = names.select(F.struct("*")).scalar()
+    return cells.select("*", *[state[f"s{i}"].alias(f"seller_{i}_state") for i in range(1, n + 1)])
 
 
 # ---- customers --------------------------------------------------------------------------------

@@ -21,9 +21,6 @@ from tradewinds.sources.testdata import raw_tables
 
 QUERIES: dict[str, Callable[["Context"], DataFrame]] = {}
 
-# Smaller than the defaults of `train_delivery` and `train_review`, which take minutes.
-TREES, ROUNDS = 8, 3
-
 
 class Context(Warehouse):
     """The warehouse of one folder of given tables in one session, plus files written for reading."""
@@ -43,6 +40,15 @@ class Context(Warehouse):
             csv_tables.write_csv(df, f"{folder}/{name}.csv")
         return folder
 
+    def bought_days(self) -> tuple[dt.date, dt.date]:
+        """First day with an order, and the day after the last one."""
+        day = F.col(dash.BOUGHT).cast("date")
+        row = self.silver("orders").agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        return row["first"], row["last"] + dt.timedelta(days=1)
+
+    def dim_dates(self) -> DataFrame:
+        return gold.dim_dates(self.spark, *self.bought_days())
+
     def overview(self) -> DataFrame:
         return dash.overview_orders(self.enriched())
 
@@ -70,11 +76,11 @@ class Context(Warehouse):
 
     @cached_property
     def delivery_model(self) -> train.Trained:
-        return train.train_delivery(self.features, trees=TREES, rounds=ROUNDS)
+        return train.train_delivery(self.features)
 
     @cached_property
     def review_model(self) -> train.Trained:
-        return train.train_review(self.features, trees=TREES, rounds=ROUNDS)
+        return train.train_review(self.features)
 
     def day_predictions(self) -> DataFrame:
         """A fixed rule in place of a model, for checking the metrics."""
@@ -208,8 +214,8 @@ def s9_load_all(c):
 def s10_reconcile(c):
     bronze = tables.table_counts(c.spark, {name: c.raw[raw] for name, (raw, _) in silver.SILVER.items()})
     clean = tables.table_counts(c.spark, c.silver_tables())
-    some = {name: c.silver(name) for name in ("orders", "payments")}
-    return tables.reconcile(bronze, clean, tables.load_all(c.spark, some, folder=c.scratch("warehouse")))
+    given = {name: c.silver(name) for name in tables.WAREHOUSE_NAMES}
+    return tables.reconcile(bronze, clean, tables.load_all(c.spark, given, folder=c.scratch("warehouse")))
 
 
 @query
@@ -450,7 +456,12 @@ def p17_period_labels(c):
 @query
 def p18_calendar(c):
     days = c.staged("orders").select(F.col("purchased_at").cast("date").alias("full_date")).distinct()
-    return days.join(gold.dim_dates(c.spark, dt.date(1995, 1, 1), dt.date(2003, 1, 1)), "full_date")
+    return days.join(c.dim_dates(), "full_date")
+
+
+@query
+def q2_dim_dates(c):
+    return c.dim_dates()
 
 
 @query
@@ -624,7 +635,7 @@ def j7_activity(c):
 
 @query
 def j8_cohort_size(c):
-    return cohort.cohort_retention(c.fact_orders(), c.dim_customers(), max_index=1000).select(
+    return cohort.cohort_retention(c.fact_orders(), c.dim_customers(), max_index=None).select(
         "cohort_label", "months_since_first_order", "cohort_size"
     )
 
@@ -811,7 +822,7 @@ def a23_delivery_heat(c):
 
 @query
 def a23_delivery_heat_matrix(c):
-    return dash.delivery_heat_matrix(dash.delivery_heat(dash.orders_of_years(c.enriched())))
+    return dash.delivery_heat_matrix(dash.orders_of_years(c.enriched()))
 
 
 @query
@@ -1049,8 +1060,7 @@ def l6_sample(c):
 
 @query
 def l7_date_spine(c):
-    first, last = dt.date(2016, 1, 1), dt.date(2019, 1, 1)
-    days = rel.date_spine(c.spark, first, last)
+    days = rel.date_spine(c.spark, *c.bought_days())
     bought = c.silver("orders").groupBy(F.col(dash.BOUGHT).cast("date").alias("date_day")).agg(
         F.count(F.lit(1)).alias("orders")
     )

@@ -91,17 +91,21 @@ def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) ->
 
 
 def reconcile(
-    bronze: DataFrame, silver: DataFrame, loaded: DataFrame | None = None
+    bronze: DataFrame,
+    silver: DataFrame,
+    loaded: DataFrame | None = None,
+    *,
+    names: Mapping[str, str] = WAREHOUSE_NAMES,
 ) -> DataFrame:
     """Raw, silver and loaded rows per table: -1 where raw or silver is missing, 'skipped' or
-    'FAILED' for the load."""
+    'FAILED' for the load. `names` are the loaded tables' names."""
     raw = bronze.select("table", F.col("rows").alias("bronze"))
     clean = silver.select("table", F.col("rows").alias("silver"))
     joined = raw.join(clean, "table", "left")
     if loaded is None:
         joined = joined.withColumn("n", F.lit(None).cast("bigint"))
     else:
-        short = F.lower(F.regexp_replace("table", "^STG_", ""))
+        short = F.create_map(*[F.lit(x) for table, name in names.items() for x in (name, table)])[F.col("table")]
         joined = joined.join(loaded.select(short.alias("table"), F.col("rows").alias("n")), "table", "left")
     text = F.when(F.col("n").isNull(), "skipped").when(F.col("n") < 0, "FAILED").otherwise(F.col("n").cast("string"))
     return joined.select("table", "bronze", F.coalesce("silver", F.lit(-1)).alias("silver"), text.alias("loaded"))

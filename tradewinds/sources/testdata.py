@@ -113,19 +113,20 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    return _items(spark, folder).filter("l_orderkey % 53 <> 0").selectExpr(
+    return _items(spark, folder).selectExpr(
         "CAST(l_orderkey AS STRING) AS order_id",
         "l_linenumber AS payment_sequential",
         """CASE WHEN l_partkey % 29 = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'credit_card'
                 WHEN l_returnflag = 'N' THEN 'boleto' WHEN l_linestatus = 'F' THEN 'voucher'
                 ELSE 'debit_card' END AS payment_type""",
         "IF(l_partkey % 31 = 0, NULL, CAST(l_quantity AS INT) % 15) AS payment_installments",
-        """CAST(IF(l_discount = 0, 0, price + freight_value) AS DECIMAL(18,2)) AS payment_value""",
+        """CAST(CASE WHEN l_discount <> 0 THEN price + freight_value WHEN l_partkey % 7 = 0 THEN -price ELSE 0 END
+                AS DECIMAL(18,2)) AS payment_value""",
     )
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return _items(spark, folder).filter("l_linenumber <= 2 AND l_orderkey % 11 <> 0").selectExpr(
+    return _items(spark, folder).selectExpr(
         "concat('r', l_orderkey, '-', l_partkey % 2) AS review_id",
         "CAST(l_orderkey AS STRING) AS order_id",
         "CAST(1 + l_partkey % 5 AS STRING) AS review_score",
