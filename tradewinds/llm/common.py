@@ -22,7 +22,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application, for the functions they run."""
+    """Send this package's code to the executors, once per application, for the functions they run.
+
+    Whole texts are exchanged with Python in batches that are small also if the texts are long, unless
+    the session has sizes of its own.
+    """
+    for name, default, value in [("maxRecordsPerBatch", "10000", "500"), ("maxBytesPerBatch", None, "8m")]:
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", default) in (default, str(2**31 - 1), "2147483647b"):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return

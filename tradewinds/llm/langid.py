@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewinds.llm.common import ship_package
@@ -116,21 +116,24 @@ def train(labelled: DataFrame, *, buckets: int = 1 << 15, documents_a_language:
     def summed(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for language, text in zip(batch["lang"], batch["text"]):
+            for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts = gram_counts(text, buckets)
                 if counts is not None:
                     n = number[language]
                     sums[n] = sums[n] + counts if n in sums else counts
         for n, counts in sums.items():
             used = np.flatnonzero(counts)
-            yield pd.DataFrame({"language": np.full(len(used), n), "bucket": used, "n": counts[used]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(used), n)), pa.array(used), pa.array(counts[used])], names=["language", "bucket", "n"]
+            )
 
-    table = drawn.mapInPandas(summed, "language long, bucket long, n long").groupBy("language", "bucket").agg(
+    table = drawn.mapInArrow(summed, "language long, bucket long, n long").groupBy("language", "bucket").agg(
         F.sum("n").alias("n")
-    ).toPandas()  # at most languages x buckets rows
+    ).toArrow()  # at most languages x buckets rows
     counts = np.full((buckets, len(languages)), smoothing)
-    counts[table["bucket"].to_numpy(dtype=int), table["language"].to_numpy(dtype=int)] += table["n"].to_numpy(dtype=float)
-    learned = sorted(set(table["language"]))  # languages with a letter in some text
+    bucket, language, n = (table.column(name).to_numpy() for name in ("bucket", "language", "n"))
+    counts[bucket, language] += n
+    learned = sorted(set(language.tolist()))  # languages with a letter in some text
     counts = counts[:, learned]
     return Model([languages[i] for i in learned], np.log(counts / counts.sum(axis=0)) if learned else np.zeros((buckets, 0)))
 
@@ -140,9 +143,11 @@ def predictor(docs: DataFrame, model: Model):
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(text) for text in texts], columns=["lang_pred", "score"])
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(text) for text in texts.to_pylist()]
+        names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
+        return pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
 
     return predict
 

@@ -22,7 +22,7 @@ import re
 from dataclasses import dataclass, field
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,7 +48,8 @@ class Unigram:
             raise ValueError(f"{len(self.pieces)} pieces; at most {_MAX_PIECES} are broadcast")
         self.pieces = [(piece, round(score * _GRID) / _GRID) for piece, score in self.pieces if piece]
         self.unknown = min((score for _, score in self.pieces), default=0.0) - UNKNOWN_PENALTY
-        self.by_word = not any(SPACE in piece.lstrip(SPACE) for piece, _ in self.pieces)
+        crossing = any(SPACE in piece.lstrip(SPACE) for piece, _ in self.pieces)
+        self.by_word = not crossing and (self.byte_fallback or any(piece == SPACE for piece, _ in self.pieces))
         self._automaton = None
 
     def __getstate__(self):
@@ -148,8 +149,8 @@ def token_counts(docs: DataFrame, vocabulary: Unigram) -> DataFrame:
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("bigint")
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.count(text) for text in texts], dtype="int64")
+    @F.arrow_udf("bigint")
+    def count(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.count(text) for text in texts.to_pylist()], pa.int64())
 
     return docs.select("doc_id", count(F.col("text")).alias("n_tokens"))
