@@ -138,6 +138,25 @@ _SILVER_CHECKS = {
 }
 _TEST_ROWS = "rn <= cast(ceil(n * 0.2) as bigint)"
 
+# Names of candidates and of the features of the delivery model.
+_REGRESSORS = ["LinearRegression", "RandomForestRegressor", "GradientBoostingRegressor", "FeatureSampledBoostingRegressor"]
+_CLASSIFIERS = ["LogisticRegression", "RandomForestClassifier", "GradientBoostingClassifier", "WeightedBoostingClassifier"]
+_DELIVERY_FEATURES = [
+    "seller_state", "customer_state", "distance_km", "product_weight_g", "product_volume_cm3", "product_category",
+    "freight_value", "price", "freight_ratio", "item_count", "primary_payment_type", "num_installments",
+    "order_day_of_week", "order_month", "seller_avg_delivery",
+]
+
+
+def _candidates(models: list[str], measures: list[str]) -> str:
+    return f"""select model, measure, true as in_range, true as choice_holds
+        from (select unnest({models}) as model) cross join (select unnest({measures}) as measure)"""
+
+
+def _weights(features: list[str]) -> str:
+    return f"select unnest({features}) as feature, true as not_negative, true as adds_up"
+
+
 EXPECTED: dict[str, str] = {
     # sources and sinks
     "s1_orders_csv": "select * from raw_orders",
@@ -425,6 +444,16 @@ EXPECTED: dict[str, str] = {
         for c in ["seller_state", "customer_state", "primary_payment_type", "product_category"]) + ")",
     "m4_medians": " union all ".join(
         f"select '{c}' as feature, round(median(cast({c} as double)), 6) as median from delivery_training" for c in _NUMERIC),
+    "m6_regression_candidates": _candidates(_REGRESSORS, ["MAE", "RMSE", "R2"]),
+    "m8_best_model": """select count(*) - cast(ceil(count(*) * 0.2) as bigint) as train_samples,
+        cast(ceil(count(*) * 0.2) as bigint) as test_samples, 'delivery_days' as target, true as best_is_best from delivery_training""",
+    "m9_feature_importance": _weights(_DELIVERY_FEATURES),
+    "s11_artifacts": _weights(_DELIVERY_FEATURES),
+    "m10_classification_candidates": _candidates(_CLASSIFIERS, ["accuracy", "precision_macro", "recall_macro", "f1_macro"]),
+    "s12_model_comparison": _candidates(_CLASSIFIERS, ["accuracy", "precision_macro", "recall_macro", "f1_macro"]),
+    "m14_delivery_scores": "select order_id, true as scored from features",
+    "m15_review_scores": "select order_id, true as consistent from features",
+    "m17_chained_scores": "select order_id, true as scored, true as consistent from features",
     "m5_split": f"""select order_id, {_TEST_ROWS} as is_test
         from (select order_id, row_number() over (order by md5('42-' || order_id), order_id) as rn, count(*) over () as n from delivery_training)""",
     "m5_stratified_split": """select order_id, label, rn <= test_rows as is_test

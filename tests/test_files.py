@@ -17,7 +17,7 @@ from tradewinds.sources import artifacts, csv_tables, tables as saved
 
 @pytest.fixture(scope="module")
 def delivered(tables):
-    return tables.delivered_csv
+    return tables.delivered_csv()
 
 
 def test_quoted_newlines_and_quotes(spark, tmp_path):
@@ -59,7 +59,7 @@ def test_landing_twice_keeps_the_first_and_the_latest_date_is_read(spark, delive
     for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 3), dt.date(2024, 1, 3)):
         csv_tables.land_snapshot(spark, delivered, bronze, run_date=day, tables=["sellers"])
     everything = csv_tables.read_snapshot(spark, bronze, "sellers")
-    latest = csv_tables.latest_snapshot(everything)
+    latest = csv_tables.latest_snapshot(spark, bronze, "sellers")
     assert everything.count() == 2 * latest.count()
     assert [str(r[0]) for r in latest.select("run_date").distinct().collect()] == ["2024-01-03"]
 
@@ -95,6 +95,13 @@ def test_whole_run(spark, delivered, tables, tmp_path):
     assert {r["table"]: r["silver"] for r in again.collect()} == {t: c[1] for t, c in counts.items()}
 
 
+def test_whole_run_with_the_load_counts_every_table(spark, delivered, tables, tmp_path):
+    counts = run_snapshot(spark, delivered, str(tmp_path / "lake"), run_date=dt.date(2024, 1, 1)).collect()
+    loaded = {r["table"]: r["loaded"] for r in counts}
+    assert loaded["items"] == str(tables.silver("items").count())
+    assert len(loaded) == 7 and all(n.isdigit() for n in loaded.values())
+
+
 def test_strict_run_stops_on_an_empty_table(spark, delivered, tmp_path):
     import shutil
 

@@ -160,3 +160,20 @@ def test_stratified_split_keeps_shares(spark):
     sizes = {(r["label"], r["is_test"]): r["count"] for r in got}
     # 101 rows: 21 test and 80 training rows; 34 * 80 / 101 = 26.93 and 67 * 80 / 101 = 53.07
     assert sizes == {(0, False): 27, (0, True): 7, (1, False): 53, (1, True): 14}
+
+
+def test_finer_values_are_not_rounded(spark):
+    fine = spark.createDataFrame([("a", "0.004"), ("b", "0.003"), ("c", "0.002"), ("d", "0.001")], "id string, x string")
+    fine = fine.withColumn("value", F.col("x").cast("decimal(10,3)"))
+    tiles = {r["id"]: r["t"] for r in with_ntiles(fine, 2, {"t": F.col("value")}, tie_break="id").collect()}
+    assert tiles == {"a": 2, "b": 2, "c": 1, "d": 1}
+    ranks = value_ranks(fine, ["value"], descending=False)
+    got = {r["id"]: r["r"] for r in join_ranks(fine, ranks, {"r": ("value", "rank")}).collect()}
+    assert got == {"a": 4, "b": 3, "c": 2, "d": 1}
+
+
+def test_floating_values_keep_their_type_and_mixtures_are_refused(spark):
+    df = spark.createDataFrame([("a", 1e-9, 1), ("b", 2e-9, 2)], "id string, x double, n int")
+    assert [r["rank"] for r in value_ranks(df, ["x"], descending=False).orderBy("value").collect()] == [1, 2]
+    with pytest.raises(ValueError, match="exact common type"):
+        value_ranks(df, ["x", "n"], descending=False)

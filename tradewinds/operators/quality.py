@@ -58,10 +58,21 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
     Copies are counted before the shuffle, so a large set of copies costs one row per task.
     """
-    groups = df.groupBy(*_columns(df)).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = _repeated_rows(df)
+    groups = repeated.groupBy(*_columns(df)).agg(F.count(F.lit(1)).alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _repeated_rows(df: DataFrame) -> DataFrame:
+    """Rows whose 64-bit hash occurs more than once: all that can have an equal row, and hardly any other.
+
+    Only hashes are shuffled to find them, and whole rows only if their hash is repeated.
+    """
+    hashed = df.select("*", F.xxhash64(*_columns(df)).alias("_row_hash"))
+    often = hashed.groupBy("_row_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_row_hash").alias("_often"))
+    return hashed.join(often, F.col("_row_hash") == F.col("_often"), "left_semi").drop("_row_hash")
+
+
 def not_unique(df: DataFrame, column: str) -> DataFrame:
     """Non-null values that occur more than once."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))

@@ -47,8 +47,8 @@ def value_counts(df: DataFrame, column: str, *, count: str = "count") -> DataFra
 def histogram(df: DataFrame, column: str, *, bins: int) -> DataFrame:
     """Rows per equal-width bin between the least and the greatest value; empty bins left out."""
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    low = values.agg(F.min("v")).scalar()
-    high = values.agg(F.max("v")).scalar()
+    ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()  # one scan
+    low, high = ends["low"], ends["high"]
     width = F.when(high > low, (high - low) / bins).otherwise(F.lit(1.0))
     place = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).cast("int")
     binned = values.select(place.alias("bin"), low.alias("_low"), width.alias("_width"))

@@ -79,13 +79,11 @@ def in_date_range(
     The end is its midnight, so later orders of the last day stay out unless `inclusive_day`.
     """
     day = F.col(BOUGHT).cast("date")
-    first = F.lit(start) if start else df.agg(F.min(day)).scalar()
-    last = F.lit(end) if end else df.agg(F.max(day)).scalar()
+    bought = F.col(BOUGHT).isNotNull() if start is None else F.col(BOUGHT) >= F.lit(start).cast("timestamp_ntz")
     if inclusive_day:
-        return df.filter((day >= first) & (day <= last))
-    return df.filter(
-        (F.col(BOUGHT) >= first.cast("timestamp_ntz")) & (F.col(BOUGHT) <= last.cast("timestamp_ntz"))
-    )
+        return df.filter(bought if end is None else bought & (day <= F.lit(end)))
+    last = F.lit(end) if end else df.agg(F.max(day)).scalar()
+    return df.filter(bought & (F.col(BOUGHT) <= last.cast("timestamp_ntz")))
 
 
 def overview_orders(

@@ -26,7 +26,7 @@ def run_snapshot(
     still processed."""
     bronze = f"{target}/bronze"
     landed = csv_tables.land_snapshot(spark, source, bronze, run_date=run_date)
-    latest = {name: csv_tables.latest_snapshot(df).drop("run_date") for name, df in landed.items()}
+    latest = {name: csv_tables.latest_snapshot(spark, bronze, name).drop("run_date") for name in landed}
     quality.gate(quality.validate_all(spark, latest), strict=strict)
 
     raw = {name: csv_tables.typed(latest[name], name) for name in RAW}

@@ -61,11 +61,18 @@ def with_reliability(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("reliability_score", score.cast("decimal(18,2)"))
 
 
+def scored_sellers(
+    fact: DataFrame, items: DataFrame, sellers: DataFrame, *, grain: str = "item"
+) -> DataFrame:
+    """Every seller with its metrics and score, without ranks."""
+    return with_reliability(materialise(seller_metrics(fact, items, sellers, grain=grain)))
+
+
 def seller_scorecard(
     fact: DataFrame, items: DataFrame, sellers: DataFrame, *, grain: str = "item"
 ) -> DataFrame:
     """Every seller with its metrics, score and five ranks; a missing metric ranks first."""
-    scored = with_reliability(materialise(seller_metrics(fact, items, sellers, grain=grain)))
+    scored = scored_sellers(fact, items, sellers, grain=grain)
     columns = {
         "revenue_rank": ("total_revenue", "rank"),
         "volume_rank": ("total_orders", "rank"),
@@ -82,16 +89,16 @@ def seller_scorecard(
     ).orderBy("reliability_rank", "seller_id")
 
 
-def bottom_sellers(card: DataFrame, n: int = 10) -> DataFrame:
-    worst = top_k(card, "reliability_score", n, tie_break="seller_id", descending=False)
+def bottom_sellers(scored: DataFrame, n: int = 10) -> DataFrame:
+    worst = top_k(scored, "reliability_score", n, tie_break="seller_id", descending=False)
     return worst.select(
         "seller_id", "seller_state", "reliability_score", "avg_review_score", "on_time_rate_pct", "total_orders"
     )
 
 
-def seller_states(card: DataFrame) -> DataFrame:
+def seller_states(scored: DataFrame) -> DataFrame:
     """Sellers per state, ranked by mean review score; a state without reviews ranks first."""
-    states = card.groupBy("seller_state", "seller_region").agg(
+    states = scored.groupBy("seller_state", "seller_region").agg(
         F.count("seller_id").alias("seller_count"),
         mean("avg_review_score", 2).alias("state_avg_review"),
         mean("on_time_rate_pct", 2).alias("state_ontime_pct"),

@@ -158,8 +158,3 @@ SILVER = {
     "reviews": ("order_reviews", silver_reviews),
     "items": ("order_items", silver_items),
 }
-
-
-def silver_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every silver table whose raw table is given."""
-    return {name: job(raw[source]) for name, (source, job) in SILVER.items() if source in raw}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from functools import cached_property
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds import functions as fn, schemas
 from tradewinds.ml import evaluate, features as ft, score, train
@@ -25,6 +25,8 @@ QUERIES: dict[str, Callable[["Context"], DataFrame]] = {}
 class Context(Warehouse):
     """The warehouse of one folder of given tables in one session, plus files written for reading."""
 
+    trees, rounds = 200, 300
+
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(raw_tables(spark, folder))
         self.spark = spark
@@ -33,12 +35,20 @@ class Context(Warehouse):
         return f"{run_folder(self.spark)}/{name}-{uuid4().hex}"
 
     @cached_property
-    def delivered_csv(self) -> str:
-        """Folder with every raw table as CSV."""
-        folder = self.scratch("csv")
-        for name, df in self.raw.items():
-            csv_tables.write_csv(df, f"{folder}/{name}.csv")
-        return folder
+    def _csv_folder(self) -> str:
+        return self.scratch("csv")
+
+    @cached_property
+    def _csv_written(self) -> set[str]:
+        return set()
+
+    def delivered_csv(self, *names: str) -> str:
+        """Folder with the named raw tables, or all of them, as CSV; each is written once."""
+        for name in names or self.raw:
+            if name in self.raw and name not in self._csv_written:
+                csv_tables.write_csv(self.raw[name], f"{self._csv_folder}/{name}.csv")
+                self._csv_written.add(name)
+        return self._csv_folder
 
     def bought_days(self) -> tuple[dt.date, dt.date]:
         """First day with an order, and the day after the last one."""
@@ -58,6 +68,10 @@ class Context(Warehouse):
     def board(self) -> DataFrame:
         return dash.seller_leaderboard(self.sold())
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        return sellers.scored_sellers(self.fact_orders(), self.silver("items"), self.dim_sellers())
+
     @cached_property
     def card(self) -> DataFrame:
         return sellers.seller_scorecard(self.fact_orders(), self.silver("items"), self.dim_sellers())
@@ -76,11 +90,11 @@ class Context(Warehouse):
 
     @cached_property
     def delivery_model(self) -> train.Trained:
-        return train.train_delivery(self.features)
+        return train.train_delivery(self.features, trees=self.trees, rounds=self.rounds)
 
     @cached_property
     def review_model(self) -> train.Trained:
-        return train.train_review(self.features)
+        return train.train_review(self.features, trees=self.trees, rounds=self.rounds)
 
     def day_predictions(self) -> DataFrame:
         """A fixed rule in place of a model, for checking the metrics."""
@@ -129,7 +143,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 # ---- sources and sinks ------------------------------------------------------------------------
 
 def _from_csv(c: Context, table: str) -> DataFrame:
-    return csv_tables.read_table(c.spark, f"{c.delivered_csv}/{table}.csv", table)
+    return csv_tables.read_table(c.spark, f"{c.delivered_csv(table)}/{table}.csv", table)
 
 
 @query
@@ -182,7 +196,7 @@ def s5_silver_scan(c):
 
 @query
 def s6_land_snapshot(c):
-    landed = csv_tables.land_snapshot(c.spark, c.delivered_csv, c.scratch("bronze"), run_date=dt.date(2024, 1, 2))
+    landed = csv_tables.land_snapshot(c.spark, c.delivered_csv(), c.scratch("bronze"), run_date=dt.date(2024, 1, 2))
     dated = landed["orders"].withColumn("run_date", F.col("run_date").cast("string"))
     counts = tables.table_counts(c.spark, {**landed, "orders of the day": dated.filter("run_date = '2024-01-02'")})
     return counts
@@ -193,9 +207,9 @@ def s7_latest_snapshot(c):
     folder = c.scratch("bronze")
     for day in (1, 2):
         csv_tables.land_snapshot(
-            c.spark, c.delivered_csv, folder, run_date=dt.date(2024, 1, day), tables=["sellers"]
+            c.spark, c.delivered_csv("sellers"), folder, run_date=dt.date(2024, 1, day), tables=["sellers"]
         )
-    latest = csv_tables.latest_snapshot(csv_tables.read_snapshot(c.spark, folder, "sellers"))
+    latest = csv_tables.latest_snapshot(c.spark, folder, "sellers")
     return latest.withColumn("run_date", F.col("run_date").cast("date"))
 
 
@@ -222,14 +236,14 @@ def s10_reconcile(c):
 def s11_artifacts(c):
     folder = c.scratch("models")
     artifacts.write_artifacts(c.delivery_model, folder, "delivery")
-    return artifacts.read_importance(c.spark, folder, "delivery")
+    return _weights(artifacts.read_importance(c.spark, folder, "delivery"))
 
 
 @query
 def s12_model_comparison(c):
     folder = c.scratch("models")
     artifacts.write_artifacts(c.review_model, folder, "review")
-    return artifacts.model_comparison(artifacts.read_metrics(c.spark, folder, "review"))
+    return _comparison(artifacts.read_metrics(c.spark, folder, "review"), train.REVIEW)
 
 
 # ---- validation -------------------------------------------------------------------------------
@@ -237,7 +251,7 @@ def s12_model_comparison(c):
 @query
 def v1_readable(c):
     checks = [
-        csv_tables.malformed_rows(c.spark, f"{c.delivered_csv}/{t}.csv", t) for t in [*schemas.RAW, "absent"]
+        csv_tables.malformed_rows(c.spark, f"{c.delivered_csv()}/{t}.csv", t) for t in [*schemas.RAW, "absent"]
     ]
     result = checks[0]
     for check in checks[1:]:
@@ -500,7 +514,7 @@ def p23_safe_ratio(c):
 
 @query
 def p24_reliability(c):
-    return c.card.select("seller_id", "reliability_score")
+    return c.scored.select("seller_id", "reliability_score")
 
 
 @query
@@ -747,7 +761,7 @@ def a11_seller_metrics_by_order(c):
 
 @query
 def a12_seller_states(c):
-    return sellers.seller_states(c.card)
+    return sellers.seller_states(c.scored)
 
 
 @query
@@ -997,7 +1011,7 @@ def w9_order_amount_ranks(c):
 
 @query
 def w10_state_rank(c):
-    return sellers.seller_states(c.card).select("seller_state", "state_review_rank")
+    return sellers.seller_states(c.scored).select("seller_state", "state_review_rank")
 
 
 @query
@@ -1044,7 +1058,7 @@ def l3_top_sellers(c):
 
 @query
 def l4_bottom_sellers(c):
-    return sellers.bottom_sellers(c.card)
+    return sellers.bottom_sellers(c.scored)
 
 
 @query
@@ -1073,6 +1087,34 @@ def l8_distinct(c):
 
 
 # ---- models -----------------------------------------------------------------------------------
+# What another engine can state of a fitted model: names, ranges, sizes and that parts agree.
+
+def _weights(importance: DataFrame) -> DataFrame:
+    whole = importance.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar()
+    return importance.select("feature", (F.col("importance") >= 0).alias("not_negative"), whole.alias("adds_up"))
+
+
+def _comparison(metrics: DataFrame, task: train.Task) -> DataFrame:
+    """Each candidate's measures: in range, and the chosen one has the best score."""
+    rows = artifacts.model_comparison(metrics)
+    best = rows.filter(F.col("measure") == task.score).agg((F.max if task.greater_is_better else F.min)("value")).scalar()
+    in_range = F.when(F.col("measure") == "R2", F.col("value") <= 1).when(
+        F.col("measure").isin("MAE", "RMSE"), F.col("value") >= 0
+    ).otherwise(F.col("value").between(0, 1))
+    holds = ~F.col("is_best") | (F.col("measure") != task.score) | (F.col("value") == best)
+    return rows.select("model", "measure", in_range.alias("in_range"), holds.alias("choice_holds"))
+
+
+def _whole_days() -> Column:
+    days = F.col("predicted_days")
+    return days.isNotNull() & (F.bround(days, 1) == days)
+
+
+def _consistent_class() -> Column:
+    good, p = F.col("predicted_class") == 1, F.col("probability_good")
+    label = F.when(good, "good (>= 4)").otherwise("bad (< 4)")
+    return p.between(0, 1) & F.when(good, p >= 0.5).otherwise(p <= 0.5) & (F.col("label") == label)
+
 
 @query
 def m1_features(c):
@@ -1117,7 +1159,7 @@ def m5_stratified_split(c):
 
 @query
 def m6_regression_candidates(c):
-    return artifacts.model_comparison(c.delivery_model.metrics)
+    return _comparison(c.delivery_model.metrics, train.DELIVERY)
 
 
 @query
@@ -1127,17 +1169,18 @@ def m7_regression_metrics(c):
 
 @query
 def m8_best_model(c):
-    return c.delivery_model.metrics.select("best_model", "train_samples", "test_samples", "target")
+    chosen = _comparison(c.delivery_model.metrics, train.DELIVERY).agg(F.every("choice_holds")).scalar()
+    return c.delivery_model.metrics.select("train_samples", "test_samples", "target", chosen.alias("best_is_best"))
 
 
 @query
 def m9_feature_importance(c):
-    return c.delivery_model.importance
+    return _weights(c.delivery_model.importance)
 
 
 @query
 def m10_classification_candidates(c):
-    return artifacts.model_comparison(c.review_model.metrics)
+    return _comparison(c.review_model.metrics, train.REVIEW)
 
 
 @query
@@ -1167,13 +1210,14 @@ def m13_class_balance(c):
 
 @query
 def m14_delivery_scores(c):
-    return score.score_delivery(c.features, c.delivery_model.model).select("order_id", "predicted_days")
+    scored = score.score_delivery(c.features, c.delivery_model.model)
+    return scored.select("order_id", _whole_days().alias("scored"))
 
 
 @query
 def m15_review_scores(c):
     scored = score.score_reviews(c.features.withColumn("is_late_int", fn.flag_to_int("is_late")), c.review_model.model)
-    return scored.select("order_id", "predicted_class", "probability_good", "label")
+    return scored.select("order_id", _consistent_class().alias("consistent"))
 
 
 @query
@@ -1186,9 +1230,8 @@ def m16_prepare_scoring(c):
 
 @query
 def m17_chained_scores(c):
-    return score.score_orders(c.features, c.delivery_model.model, c.review_model.model).select(
-        "order_id", "predicted_days", "predicted_class", "probability_good", "label"
-    )
+    scored = score.score_orders(c.features, c.delivery_model.model, c.review_model.model)
+    return scored.select("order_id", _whole_days().alias("scored"), _consistent_class().alias("consistent"))
 
 
 # ---- reports ----------------------------------------------------------------------------------
@@ -1295,12 +1338,12 @@ def q6_seller_scorecard(c):
 
 @query
 def q6_bottom_sellers(c):
-    return sellers.bottom_sellers(c.card)
+    return sellers.bottom_sellers(c.scored)
 
 
 @query
 def q6_seller_states(c):
-    return sellers.seller_states(c.card)
+    return sellers.seller_states(c.scored)
 
 
 @query

@@ -105,9 +105,18 @@ def read_snapshot(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def latest_snapshot(df: DataFrame, *, column: str = "run_date") -> DataFrame:
-    """Rows of the greatest date; the scan prunes the other partitions."""
-    return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
+def latest_snapshot(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Rows of the newest date, with `run_date`. Dates are found by listing folders, not by reading files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_snapshot_path(folder, table))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        raise NoSnapshot(f"no snapshot of {table} in {folder}")
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    dates = sorted(name for name in names if name.startswith("run_date="))
+    if not dates:
+        raise NoSnapshot(f"no snapshot of {table} in {folder}")
+    newest = f"{_snapshot_path(folder, table)}/{dates[-1]}"
+    return spark.read.parquet(newest).withColumn("run_date", F.lit(dates[-1].removeprefix("run_date=")).cast("date"))
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:

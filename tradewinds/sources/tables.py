@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -12,6 +13,8 @@ LOADED = T.StructType([
 ])
 
 # silver table -> warehouse table
+_log = logging.getLogger(__name__)
+
 WAREHOUSE_NAMES = {
     "orders": "STG_ORDERS", "products": "STG_PRODUCTS", "customers": "STG_CUSTOMERS",
     "sellers": "STG_SELLERS", "payments": "STG_PAYMENTS", "reviews": "STG_REVIEWS",
@@ -62,7 +65,10 @@ def load_all(
     names: Mapping[str, str] = WAREHOUSE_NAMES,
     folder: str | None = None,
 ) -> DataFrame:
-    """Load every given table. An absent one is skipped, a failing one counts -1, the rest go on."""
+    """Load every given table. An absent one is skipped, a failing one counts -1, the rest go on.
+
+    Why a table failed is logged.
+    """
     results = []
     for table, name in names.items():
         df = tables.get(table)
@@ -71,6 +77,7 @@ def load_all(
         try:
             results.append((name, load_table(df, name, folder=folder)))
         except Exception:  # any failure of one table must not stop the others
+            _log.exception("loading %s failed", name)
             results.append((name, -1))
     return spark.createDataFrame(results, LOADED)
 
