@@ -5,12 +5,13 @@ second one, a fixed random permutation, is shifted circularly by one place for e
 coordinate of the signature. Coordinates are banded, so that a pair at the threshold is missed with
 probability below 1e-5. Candidates are confirmed on the full shingle sets.
 
-Documents with equal shingle sets are one class from the start. Pairs inside a bucket are not listed:
-in a round every class meets the centre of its bucket, confirmed links become components, and only
-buckets that still hold several components go on, each time with centres from their largest
-component. When what is left is small, or a round joined nothing, all remaining pairs of different
-components are confirmed. A pair inside one component needs no check, so no link that could join two
-components is left out, while groups of copies cost a few pairs per member.
+Documents with equal shingle sets are one class from the start. Shingles that no other candidate has
+bound what a class can share: one with too many of its own is dropped, exactly, before any pair is
+made. Pairs inside a bucket are not listed. In a round every class outside a bucket's largest
+component meets one centre from it, confirmed links become components, and only buckets that still
+hold several components go on. When what is left is small, or a round joined little, the remaining
+pairs of different components are confirmed. A pair inside one component needs no check, so no link
+that could join two components is left out, while groups of copies cost a few pairs per member.
 
 Defined cases: documents without words, and null texts, have an empty set and are linked with
 nothing; with fewer words than a shingle has, the sequence is one shingle; a null id never names a
@@ -37,8 +38,23 @@ _ROWS = 6  # coordinates a band
 _REMEMBERED = 500_000
 _BLOCK = 2048  # shingles whose signatures are gathered at once
 _CHUNK = 64  # pairs of one centre that a task reads in a row
-_ROUNDS = 6
-_words: dict[bytes, int] = {}
+_ROUNDS = 4  # with centres; what they leave is then compared pair by pair
+_FEW, _POOR = 8, 10  # earlier, if few pairs a member are left or fewer than a tenth of the last ones were links
+
+
+class _Words(dict):
+    """Hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = xxhash.xxh64_intdigest(word)
+        if len(word) <= 100:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_words = _Words()
 
 
 def bands_for(percent: int) -> int:
@@ -57,16 +73,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    ids = np.empty(len(words), dtype=np.uint64)
-    for i, word in enumerate(words):
-        known = _words.get(word)
-        if known is None:
-            if len(_words) >= _REMEMBERED:
-                _words.clear()
-            known = xxhash.xxh64_intdigest(word)
-            if len(word) <= 100:
-                _words[word] = known
-        ids[i] = known
+    ids = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     hashes = np.full(len(words) - width + 1, width, dtype=np.uint64)
     for j in range(width):
@@ -127,7 +134,9 @@ def sketches(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, *, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets are similar enough. `texts` has one text per class.
+    """Pairs (a, b) of classes with the number of shingles in both, and whether that makes a link.
+
+    `texts` has one text per class.
 
     The pairs of a centre `a` are dealt into chunks; its text is sent once per chunk, before the others.
     """
@@ -135,12 +144,12 @@ def confirm(pairs: DataFrame, texts: DataFrame, *, words: int, percent: int) ->
     dealt = pairs.join(degrees, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
     # a chunk's first row has no b: it brings the text of the centre
     asked = dealt.unionByName(dealt.select("a", F.lit(None).cast("binary").alias("b"), "chunk").distinct())
-    rows = asked.withColumn("of", F.coalesce("b", "a")).join(texts.withColumnRenamed("set_id", "of"), "of").select("a", "chunk", "b", "text")
+    rows = asked.withColumn("of", F.coalesce("b", "a")).hint("merge").join(texts.withColumnRenamed("set_id", "of"), "of").select("a", "chunk", "b", "text")
 
     def compare(batches):
         centre, shingles = None, None
         for batch in batches:
-            a, b = [], []
+            a, b, common, linked = [], [], [], []
             for head, other, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 own = shingle_set(text, words)
                 if other is None:
@@ -148,12 +157,15 @@ def confirm(pairs: DataFrame, texts: DataFrame, *, words: int, percent: int) ->
                     continue
                 assert head == centre, "a centre comes before its pairs"
                 both = len(np.intersect1d(shingles, own, assume_unique=True))
-                if 100 * both >= percent * (len(shingles) + len(own) - both):
-                    a.append(head), b.append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                a.append(head), b.append(other), common.append(both)
+                linked.append(100 * both >= percent * (len(shingles) + len(own) - both))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(common, pa.int64()), pa.array(linked, pa.bool_())],
+                names=["a", "b", "both", "linked"],
+            )
 
     ordered = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return ordered.mapInArrow(compare, "a binary, b binary")
+    return ordered.mapInArrow(compare, "a binary, b binary, both long, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -171,14 +183,14 @@ def components(links: DataFrame) -> DataFrame:
 
     with Scope(links.sparkSession) as scope:
         edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-        state = None
         while True:
             edges = materialise(star(star(edges, large=True), large=False))
-            # a forest of stars: no node is both an end and a centre
-            now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-            if now == state:
+            # done when it is a forest of stars: every node has one centre, and no centre has one
+            ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("centre"))
+            centres = edges.select(F.col("v").alias("x"), F.lit(0).alias("n"), F.lit(1).alias("centre"))
+            nodes = ends.unionByName(centres).groupBy("x").agg(F.sum("n").alias("n"), F.max("centre").alias("centre"))
+            if nodes.filter("n + centre > 1").isEmpty():
                 break
-            state = now
         return scope.keep(materialise(edges.select(F.col("u").alias("node"), F.col("v").alias("root"))))
 
 
@@ -189,63 +201,122 @@ def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(named, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
 
 
+def own_shingles(texts: DataFrame, *, words: int) -> DataFrame:
+    """set_id and own, the shingles that no other class has. `texts` has set_id, text and a number."""
+    def lists(batches):
+        for batch in batches:
+            found = [shingle_set(text, words).view(np.int64) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["number", "shingles"])
+
+    sets = texts.select("number", "text").mapInArrow(lists, "number long, shingles array<long>")
+    holders = sets.select("number", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("number").alias("number")
+    )
+    own = holders.filter("n = 1").groupBy("number").agg(F.count(F.lit(1)).alias("own"))
+    return texts.select("set_id", "number").join(own, "number", "left").select("set_id", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _possible(percent: int, n: Column, own: Column, other: Column) -> Column:
+    """Whether a set of n shingles, `own` of them nowhere else, can be linked with one of `other`.
+
+    At most n - own are shared, and a link shares at least percent / (100 + percent) of n + other.
+    """
+    return (100 + percent) * (n - own) >= percent * (n + other)
+
+
 def linked_classes(classes: DataFrame, texts_of, *, words: int, percent: int) -> DataFrame | None:
-    """node and root of linked classes, written; null if there is no candidate.
+    """node and root of linked classes, written; null if there is no link.
 
     `classes` has set_id, n_shingles and bands; `texts_of(ids)` gives set_id and text of given classes.
     """
-    all_rows = classes.select("set_id", "n_shingles", F.explode("bands").alias("bucket"))
+    all_rows = classes.select("set_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     often = all_rows.groupBy("bucket").count().filter("count > 1").select("bucket")
     members = materialise(all_rows.join(often, "bucket"))
     if members.isEmpty():
         return None
-    texts = materialise(texts_of(members.select("set_id").distinct()))
-    links: list[DataFrame] = []
-    tried: list[DataFrame] = []
-    roots, before = None, None
+    texts = materialise(texts_of(members.select("set_id").distinct()).withColumn("number", F.monotonically_increasing_id()))
+
+    # Classes with too many shingles of their own are linked with nothing, or with nothing in a bucket.
+    n, own = F.col("n"), F.col("own")
+    members = members.join(own_shingles(texts, words=words), "set_id").filter(_possible(percent, n, own, n * percent / 100))
+    least = members.groupBy("bucket").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    members = materialise(members.join(least.select("bucket", "least"), "bucket").filter(_possible(percent, n, own, F.col("least"))).drop("least"))
+
+    links, roots, poor, first = None, None, False, None
     for turn in range(_ROUNDS + 1):
+        # A bucket's centre is from its largest component: first the class with the fewest shingles of
+        # its own, which is most like an original, later one by hash.
+        rank = F.col("own") if turn == 0 else F.lit(0).cast("long")
         rows = _labelled(members, roots)
-        groups = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        groups = rows.groupBy("bucket", "label").agg(
+            F.count(F.lit(1)).alias("many"),
+            F.min(F.struct(rank.alias("rank"), F.xxhash64("set_id", F.lit(turn)).alias("hash"), "set_id", "n", "own")).alias("best"),
+        )
         buckets = groups.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.max(F.struct("n", "label")).alias("main"),
+            F.count(F.lit(1)).alias("labels"), F.sum("many").alias("many"), F.sum(F.col("many") * F.col("many")).alias("squares"),
+            F.max_by(F.struct("label", "best"), F.struct("many", -F.col("best.rank"), "label")).alias("main"),
         ).filter("labels > 1")
-        open_buckets = materialise(buckets.select("bucket", F.col("main.label").alias("main"), "n", "squares"))
-        size = open_buckets.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.count(F.lit(1))).first()
-        if not size[2]:
+        unsettled = materialise(buckets.select(
+            "bucket", F.col("main.label").alias("main"), F.col("main.best.set_id").alias("a"), F.col("main.best.n").alias("na"),
+            F.col("main.best.own").alias("owna"), "many", "squares",
+        ))
+        size = unsettled.agg(F.sum("many"), F.sum((F.col("many") * F.col("many") - F.col("squares")) / 2)).first()
+        if not size[0]:
             break
-        state = tuple(size)
-        last = turn == _ROUNDS or size[1] <= 2 * size[0] or state == before
-        before = state
-        inside = rows.join(open_buckets.select("bucket", "main"), "bucket")
+        last = turn == _ROUNDS or poor or size[1] <= _FEW * size[0]
+        inside = materialise(rows.join(unsettled.drop("many", "squares"), "bucket"))
+        members = inside.select("bucket", "set_id", "n", "own")  # only these go on
         if last:
             # every pair of two components that some bucket holds
-            left = inside.select("bucket", F.col("set_id").alias("a"), F.col("label").alias("la"), F.col("n_shingles").alias("na"))
-            right = inside.select("bucket", F.col("set_id").alias("b"), F.col("label").alias("lb"), F.col("n_shingles").alias("nb"))
-            pairs = left.join(right, "bucket").filter("la <> lb and a < b")
+            apart = materialise(_with_distance(inside.drop("a", "na", "owna"), first))
+            left, right = (apart.select("bucket", *[F.col(c).alias(f"{new}{side}") for c, new in (
+                ("set_id", ""), ("label", "l"), ("n", "n"), ("own", "own"), ("s", "s"))]) for side in "ab")
+            other = (left["bucket"] == right["bucket"]) & (F.col("la") < F.col("lb"))
+            pairs = left.join(right, other & _pair_possible(percent) & _distances_allow(percent))
         else:
-            centres = inside.filter("label = main").groupBy("bucket").agg(
-                F.min_by(F.struct("set_id", "n_shingles"), F.xxhash64("set_id", F.lit(turn))).alias("c")
-            ).select("bucket", F.col("c.set_id").alias("a"), F.col("c.n_shingles").alias("na"))
-            outer = inside.select("bucket", F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), "label", "main")
-            pairs = outer.filter("label <> main").join(centres, "bucket")
-        # sets whose sizes differ too much cannot be similar enough
-        pairs = pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti").join(old.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        if not pairs.isEmpty():
-            tried.append(pairs)
-            links.append(materialise(confirm(pairs, texts, words=words, percent=percent)))
-            whole = links[0]
-            for more in links[1:]:
-                whole = whole.unionByName(more)
-            roots = components(whole)
+            outer = inside.filter("label <> main").withColumnsRenamed({"set_id": "b", "n": "nb", "own": "ownb"})
+            pairs = outer.filter(_pair_possible(percent))
+        pairs = materialise(pairs.select("a", "b").distinct())
+        checked = materialise(confirm(pairs, texts.drop("number"), words=words, percent=percent))
+        if first is None:
+            first = unsettled.select("bucket", F.col("a").alias("c"), F.col("na").alias("nc")), checked
+        found = checked.filter("linked").select("a", "b")
+        poor = _POOR * found.count() < pairs.count()
+        links = found if links is None else materialise(links.unionByName(found))
+        roots = components(links)
         if last:
             break
     return roots
 
 
+def _with_distance(members: DataFrame, first: tuple[DataFrame, DataFrame] | None) -> DataFrame:
+    """Add s, the number of shingles in which a member differs from its bucket's first centre, if known."""
+    if first is None:
+        return members.withColumn("s", F.lit(None).cast("long"))
+    centres, checked = first
+    known = checked.select(F.col("a").alias("of"), F.col("b").alias("to"), "both")
+    rows = members.join(centres, "bucket", "left").join(known, (F.col("c") == F.col("of")) & (F.col("set_id") == F.col("to")), "left")
+    s = F.when(F.col("set_id") == F.col("c"), F.lit(0)).otherwise(F.col("n") + F.col("nc") - 2 * F.col("both"))
+    return rows.withColumn("s", s.cast("long")).drop("c", "nc", "of", "to", "both")
+
+
+def _distances_allow(percent: int) -> Column:
+    """Whether two sets can be linked, from what sets them apart from one centre.
+
+    x and y differ in s(x) + s(y) - 2 o shingles, where o counts differences from the centre that both
+    have. What only x has is among its differences and is not shared: o <= s(x) - own(x), likewise y.
+    """
+    sa, sb = F.col("sa"), F.col("sb")
+    least = (100 + percent) * (sa + sb) - (100 - percent) * (F.col("na") + F.col("nb"))
+    return F.coalesce(least <= 2 * (100 + percent) * F.least(sa - F.col("owna"), sb - F.col("ownb")), F.lit(True))
+
+
+def _pair_possible(percent: int) -> Column:
+    na, nb = F.col("na"), F.col("nb")
+    sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    return sizes & _possible(percent, na, F.col("owna"), nb) & _possible(percent, nb, F.col("ownb"), na)
+
+
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept per document.
 
@@ -264,7 +335,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
             one = classes.join(ids, "set_id").select("set_id", F.col("one.doc_id").alias("doc_id"), F.col("one.text_hash").alias("one_hash"))
             one = one.select("set_id", "one_hash", _key().alias("one_key"))
             given = docs.select(_key().alias("key"), F.xxhash64(text_of()).alias("hash"), "text")
-            found = given.join(one, (F.col("key") == F.col("one_key")) & (F.col("hash") == F.col("one_hash"))).select("set_id", "text")
+            found = given.hint("merge").join(one, (F.col("key") == F.col("one_key")) & (F.col("hash") == F.col("one_hash"))).select("set_id", "text")
             repeated = not rows.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
             return found.dropDuplicates(["set_id"]) if repeated else found
 
@@ -285,4 +356,4 @@ def keep_first(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFra
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key().alias("key"), F.xxhash64(text_of()).alias("hash")
     )
-    return rows.join(gone, (F.col("key") == F.col("gone_key")) & (F.col("hash") == F.col("gone_hash")), "left_anti").select("row.*")
+    return rows.hint("merge").join(gone, (F.col("key") == F.col("gone_key")) & (F.col("hash") == F.col("gone_hash")), "left_anti").select("row.*")
