@@ -127,8 +127,11 @@ def js(p, q):
 
 def test_distances(spark):
     docs = given(spark)
-    known = quality.references(docs, common=40)
-    rows = {r.doc_id: r for r in quality.judge(docs, known).collect()}
+    words = quality.common_words(docs, common=40)
+    listed = sorted({w for shares in words.values() for w in shares})
+    measured = quality.measure(docs, listed)
+    known = quality.references(measured, words)
+    rows = {r.doc_id: r for r in quality.judge(measured, listed, known).collect()}
     for r in docs.limit(60).collect():
         words = [w.lower() for w in WORD.findall(r.text)]
         far, classes = [], []

@@ -144,5 +144,5 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
         F.col("key_id").eqNullSafe(F.col("mix_id")) & (F.col("key_hash") == F.col("mix_hash"))
         & F.col("key_source").eqNullSafe(F.col("mix_source"))
     )
-    kept = rows.join(taken, equal).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    kept = rows.hint("merge").join(taken, equal).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
     return kept.select("row.*")

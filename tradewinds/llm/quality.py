@@ -5,7 +5,7 @@ and of its most common words. A document is held against the nearest reference,
 distance (square root of the divergence in bits, 0 to 1). It fails if its character classes or its
 common words are too far from every language. Short documents are not judged by histograms.
 
-Everything of a document is computed in its own row, so no text is shuffled.
+Everything of a document is computed in its own row, so no text is shuffled; texts are read twice.
 
 Defined cases: a null text has no words and fails the base rules; null labels make no reference, and
 without any reference only the base rules count; repeated rows are judged each; an empty table gives
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewinds.llm.common import WordTable, literal_array, text_of, words_of
+from tradewinds.operators.materialise import materialise
 
 #: What is left of a text when all but one class of characters is removed.
 CLASSES = {
@@ -52,26 +53,27 @@ class References:
     words: list[dict[str, float]]
 
 
-def _class_counts(text: Column) -> list[Column]:
-    return [F.length(F.regexp_replace(text, rest, "")) for rest in CLASSES.values()]
-
-
-def references(docs: DataFrame, *, common: int = 40) -> References:
-    """Of every language label. The rows collected are at most `common` words for each of 200 languages."""
+def common_words(docs: DataFrame, *, common: int = 40) -> dict[str, dict[str, float]]:
+    """By language label, the shares of its most common words; at most `common` for each of 200 languages."""
     labelled = docs.filter("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "text")
-    sums = labelled.select("lang", F.length("text").alias("all"), F.array(*_class_counts(F.col("text"))).alias("n")).groupBy("lang").agg(
-        F.sum("all").alias("all"), *[F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(len(CLASSES))]
-    ).limit(_MAX_LANGUAGES + 1).collect()
-    if len(sums) > _MAX_LANGUAGES:
+    counts = materialise(labelled.select("lang", F.explode(words_of(F.lower("text"))).alias("word")).groupBy("lang", "word").count())
+    totals = counts.groupBy("lang").agg(F.sum("count").alias("n")).limit(_MAX_LANGUAGES + 1).collect()
+    if len(totals) > _MAX_LANGUAGES:
         raise ValueError(f"more than {_MAX_LANGUAGES} languages")
-    counts = labelled.select("lang", F.explode(words_of(F.lower("text"))).alias("word")).groupBy("lang", "word").count()
+    whole = {r["lang"]: r["n"] for r in totals}
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    top = counts.select("*", place.alias("place")).filter(F.col("place") <= common).filter(~F.col("word").contains(","))
-    totals = labelled.select("lang", F.size(words_of(F.col("text"))).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-    whole = {r["lang"]: r["n"] for r in totals.collect()}
+    top = counts.filter(~F.col("word").contains(",")).select("*", place.alias("place")).filter(F.col("place") <= common)
     words: dict[str, dict[str, float]] = {}
     for r in sorted(top.collect()):
         words.setdefault(r["lang"], {})[r["word"]] = r["count"] / whole[r["lang"]]
+    return words
+
+
+def references(rows: DataFrame, words: dict[str, dict[str, float]]) -> References:
+    """Class shares by language of measured rows, together with its common words."""
+    sums = rows.filter("lang is not null").groupBy("lang").agg(
+        F.sum("chars").alias("all"), *[F.sum(F.col("classes")[i]).alias(f"n{i}") for i in range(len(CLASSES))]
+    ).collect()  # one row a language
     kept = sorted((r for r in sums if r["all"] and r["lang"] in words), key=lambda r: r["lang"])
     shares = [[r[f"n{i}"] / r["all"] for i in range(len(CLASSES))] for r in kept]
     return References([[*s, max(0.0, 1 - sum(s))] for s in shares], [words[r["lang"]] for r in kept])
@@ -111,21 +113,20 @@ def _repeated(pair: Column, j: Column) -> Column:
     return same[0] | same[1]
 
 
-def judge(docs: DataFrame, known: References, limits: Limits = Limits()) -> DataFrame:
-    """doc_id, n_words, the base counts, base_failed, class_distance, word_distance and kept."""
-    numbers = sorted({word for words in known.words for word in words})
-    table = WordTable(numbers)
-    shares = [[words.get(word, 0.0) for word in numbers] for words in known.words]
-
-    rows = docs.select("doc_id", text_of().alias("_text"))
+def measure(docs: DataFrame, listed: list[str]) -> DataFrame:
+    """Base counts, class counts and shares of the listed words (numbered from 1) of each document."""
+    table = WordTable(listed)
+    rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of().alias("_text"))
     rows = rows.withColumn("_words", words_of(F.col("_text")))
     rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     lines = F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select(
-        "doc_id", F.length("_text").alias("_chars"), F.size("_words").alias("_n"), "_words",
+        "doc_id", "lang", F.length("_text").alias("chars"), F.size("_words").alias("_n"),
         F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", "")).alias("_word_chars"),
         F.length(F.regexp_replace("_text", SYMBOLS, "")).alias("_symbols"),
-        lines.alias("_lines"), repeated_words(F.col("_hashes")).alias("_windows"), F.array(*_class_counts(F.col("_text"))).alias("_classes"),
+        lines.alias("_lines"), repeated_words(F.col("_hashes")).alias("_windows"),
+        F.array(*[F.length(F.regexp_replace("_text", rest, "")) for rest in CLASSES.values()]).alias("classes"),
+        F.sort_array(F.filter(F.transform("_words", lambda w: table.number(F.lower(w))), lambda x: x > 0)).alias("_common"),
     )
     several = F.size(F.array_distinct("_windows")) < F.size("_windows")
     pairs = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
@@ -136,20 +137,7 @@ def judge(docs: DataFrame, known: References, limits: Limits = Limits()) -> Data
         F.sequence(F.lit(0), F.size("_places") - 1), F.lit(0),
         lambda total, j: total + F.least(F.lit(_WINDOW), F.coalesce(F.get(F.col("_places"), j + 1) - F.get(F.col("_places"), j), F.lit(_WINDOW))),
     )
-    rows = rows.withColumn("_repeat", F.when(F.size("_places") > 0, covered).otherwise(0))
-
-    n, chars = F.col("_n"), F.col("_chars")
-    failed = (n < 20) | (100 * F.col("_repeat") > 30 * n)
-    rows = rows.withColumn("_rest", chars - F.aggregate("_classes", F.lit(0), lambda a, b: a + b))
-    if known.classes:
-        parts = [F.col("_classes")[i] / chars for i in range(len(CLASSES))] + [F.col("_rest") / chars]
-        far = [_distance(sum((_terms(p, F.lit(q)) for p, q in zip(parts, shares_of)), F.lit(0.0))) for shares_of in known.classes]
-        class_distance = F.when(chars > 0, F.least(*far) if len(far) > 1 else far[0])
-    else:
-        class_distance = F.lit(None).cast("double")
-    # counts of common words: sorted numbers, and the places at which a new number begins
-    common = F.sort_array(F.filter(F.transform("_words", lambda w: table.number(F.lower(w))), lambda x: x > 0))
-    rows = rows.withColumn("_common", common).drop("_words")
+    # sorted numbers of common words, and the places at which a new number begins
     begins = F.filter(
         F.transform("_common", lambda x, i: F.struct(x.alias("x"), i.alias("i"), F.get(F.col("_common"), i - 1).alias("before"))),
         lambda s: s["before"].isNull() | (s["before"] != s["x"]),
@@ -159,14 +147,30 @@ def judge(docs: DataFrame, known: References, limits: Limits = Limits()) -> Data
         s["x"].alias("x"),
         ((F.coalesce(F.get(F.col("_begins"), j + 1)["i"], F.size("_common")) - s["i"]) / F.col("_n")).alias("p"),
     ))
-    rows = rows.withColumn("_runs", runs)
-    if known.words:
+    return rows.select(
+        "doc_id", "lang", F.col("_n").cast("bigint").alias("n_words"), F.col("_word_chars").cast("bigint").alias("word_chars"),
+        F.col("_symbols").cast("bigint").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
+        F.when(F.size("_places") > 0, covered).otherwise(0).cast("bigint").alias("n_repeat_words"), "chars", "classes", runs.alias("runs"),
+    )
+
+
+def judge(rows: DataFrame, listed: list[str], known: References, limits: Limits = Limits()) -> DataFrame:
+    """doc_id, n_words, the base counts, base_failed, class_distance, word_distance and kept, of measured rows."""
+    shares = [[words.get(word, 0.0) for word in listed] for words in known.words]
+    n, chars = F.col("n_words"), F.col("chars")
+    rows = rows.withColumn("_rest", chars - F.aggregate("classes", F.lit(0), lambda a, b: a + b))
+    class_distance = word_distance = F.lit(None).cast("double")
+    if known.classes:
+        parts = [F.col("classes")[i] / chars for i in range(len(CLASSES))] + [F.col("_rest") / chars]
+        far = [_distance(sum((_terms(p, F.lit(q)) for p, q in zip(parts, shares_of)), F.lit(0.0))) for shares_of in known.classes]
+        class_distance = F.when(chars > 0, F.least(*far) if len(far) > 1 else far[0])
         far = []
         for share in shares:
             q = literal_array(share, "double")
             # words of the document, common words it lacks (q / 2 each), and all other words as one
             pair = F.aggregate(
-                "_runs", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q")),
+                "runs", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q")),
                 lambda a, r: F.struct(
                     (a["d"] + _terms(F.when(F.get(q, r["x"] - 1) > 0, r["p"]).otherwise(F.lit(0.0)), F.get(q, r["x"] - 1))).alias("d"),
                     (a["p"] + F.when(F.get(q, r["x"] - 1) > 0, r["p"]).otherwise(F.lit(0.0))).alias("p"),
@@ -177,21 +181,21 @@ def judge(docs: DataFrame, known: References, limits: Limits = Limits()) -> Data
             lacking = sum(share) / 2 + (1 - math.log2(2 - sum(share)) + _rest_part(1 - sum(share))) / 2
             far.append(_distance(pair) / math.sqrt(lacking) if lacking > 0 else F.lit(0.0))
         word_distance = F.when(n > 0, F.least(*far) if len(far) > 1 else far[0])
-    else:
-        word_distance = F.lit(None).cast("double")
     rows = rows.select(
-        "doc_id", n.cast("bigint").alias("n_words"), F.col("_word_chars").cast("bigint").alias("word_chars"),
-        F.col("_symbols").cast("bigint").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.col("_repeat").cast("bigint").alias("n_repeat_words"), failed.alias("base_failed"), chars.alias("_chars"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars",
+        ((n < 20) | (100 * F.col("n_repeat_words") > 30 * n)).alias("base_failed"),
         class_distance.alias("class_distance"), word_distance.alias("word_distance"),
     )
     odd = (
-        (F.col("_chars") >= limits.least_chars) & (F.col("class_distance") > limits.classes)
+        (F.col("chars") >= limits.least_chars) & (F.col("class_distance") > limits.classes)
         | (F.col("n_words") >= limits.least_words) & (F.col("word_distance") > limits.words)
     )
-    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))).drop("_chars")
+    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))).drop("chars")
 
 
 def assess(docs: DataFrame, *, common: int = 40, limits: Limits = Limits()) -> DataFrame:
-    return judge(docs, references(docs, common=common), limits)
+    """Common words are counted first, then every document is measured once, and judged on narrow rows."""
+    words = common_words(docs, common=common)
+    listed = sorted({word for shares in words.values() for word in shares})
+    rows = materialise(measure(docs, listed))
+    return judge(rows, listed, references(rows, words), limits)
