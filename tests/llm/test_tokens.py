@@ -58,13 +58,27 @@ def test_words_count_alike_alone_and_in_whole_texts():
 @samples(st.text("ab \n\t  \x1cé1.", max_size=40))
 def test_ids_by_word_are_ids_of_the_text(text):
     whole = ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
-    assert ENCODER.encode([text])[0] == struct.pack(f"<{len(whole)}I", *whole)
+    assert ENCODER.encode(text) == struct.pack(f"<{len(whole)}I", *whole)
+
+
+def test_both_libraries_agree(spark):
+    assert ENCODER.by_rank is not None
+    for row in given(spark).limit(80).collect():
+        assert ENCODER.by_rank.encode_ordinary(row.text) == ENCODER.tokenizer.encode(row.text, add_special_tokens=False).ids
+
+
+def test_words_are_forgotten_by_generation(monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 3)
+    small = packing.Encoder(BPE)
+    for text in ["a b c d e f b a", "b a e", "x y z a b " * 3]:
+        assert small.encode(text) == ENCODER.encode(text)
+    assert len(small.words) <= 3 and len(small.words.older) <= 3
 
 
 def test_special_token_strings():
     for text in ["a <|endoftext|> b", "<|endoftext|>", " x<|endoftext|>y  z "]:
         ids = ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
-        assert ENCODER.encode([text])[0] == struct.pack(f"<{len(ids)}I", *ids)
+        assert ENCODER.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
 def check_packing(docs, capacity):

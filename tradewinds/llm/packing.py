@@ -24,18 +24,65 @@ import zlib
 from collections import defaultdict
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tradewinds.llm.common import ship_package
 from tradewinds.operators.materialise import materialise
 from tradewinds.operators.ordered import positions
 
-_REMEMBERED = 300_000
+_REMEMBERED = 500_000  # words in each of two generations
 _UNSAFE = re.compile(r"\s ")  # a space after white space starts no word
 _BORDER = re.compile(r"(?<=\S) ")
 
 
+#: Fixed value: how byte-level tokenizers split a text before the merges.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in plain}
+    letters.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)})
+    return letters
+
+
+def _by_rank(layout: dict) -> tiktoken.Encoding | None:
+    """The same merges for a faster library, if ids rise with the order of the merges; else null."""
+    model, letters = layout["model"], _byte_letters()
+    vocabulary = model.get("vocab") if model.get("type") == "BPE" else None
+    if not vocabulary or model.get("dropout") or model.get("ignore_merges") or layout["pre_tokenizer"].get("use_regex") is False:
+        return None
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    added = {token["content"] for token in layout["added_tokens"]}
+    tokens = {token: i for token, i in vocabulary.items() if token not in added}
+    if merged != sorted(merged) or len(merged) + 256 != len(tokens) or max(tokens[x] for x in letters) >= merged[0]:
+        return None
+    ranks = {bytes(letters[x] for x in token): i for token, i in tokens.items()}
+    return tiktoken.Encoding("by_rank", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
+class _Words(dict):
+    """Ids of words after a space, in two generations: words met again move to the younger one."""
+
+    def __init__(self, encode):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(word)
+        if found is None:
+            found = np.array(self.encode(" " + word), dtype="<u4").tobytes()
+        if len(word) <= 100:
+            self[word] = found
+        return found
+
+
 class Encoder:
     """Ids of texts as little-endian bytes."""
 
@@ -49,41 +96,32 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         before = layout["pre_tokenizer"] or {}
         self.by_word = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not layout["normalizer"]
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, words) -> None:
-        if len(self.words) + len(words) > _REMEMBERED:
-            self.words.clear()
-        for start in range(0, len(words), 10_000):
-            part = words[start:start + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([" " + word for word in part], add_special_tokens=False)
-            for word, e in zip(part, encoded):
-                self.words[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self.by_rank = _by_rank(layout) if self.by_word else None
+        if self.by_rank:
+            self.words = _Words(self.by_rank.encode_ordinary)
+        else:
+            self.words = _Words(lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.firsts: dict[str, bytes] = {}
+
+    def _first(self, word: str) -> bytes:
+        found = self.firsts.get(word)
+        if found is None:
+            if len(self.firsts) >= _REMEMBERED // 10:
+                self.firsts.clear()
+            found = self.firsts[word] = self._whole(word)
+        return found
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        new: set[str] = set()
-        for text in texts:
-            if not self.by_word or (self.special and self.special.search(text)):
-                parts.append(None)
-                continue
-            words = _BORDER.split(text) if _UNSAFE.search(text) else text.split(" ")
-            new.update(words[1:])
-            parts.append(words)
-        missing = sorted(new - self.words.keys())
-        if len(self.words) + len(missing) > _REMEMBERED:
-            missing = sorted(new)
-        if missing:
-            self._learn(missing)
-        get = self.words.__getitem__
-        return [
-            self._whole(text) if words is None else self._whole(words[0]) + b"".join(map(get, words[1:]))
-            for text, words in zip(texts, parts)
-        ]
+    def encode(self, text: str) -> bytes:
+        if not self.by_word or (self.special and self.special.search(text)):
+            return self._whole(text)
+        words = _BORDER.split(text) if _UNSAFE.search(text) else text.split(" ")
+        first = self._first(words[0])
+        del words[0]
+        return first + b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=1)
@@ -106,8 +144,8 @@ def pieces_of(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int = 1
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
                 which, piece, start, length, crc = [], [], [], [], []
-                for row, ids in enumerate(_encoder(tokenizer).encode([t or "" for t in part.column(1).to_pylist()])):
-                    ids = memoryview(ids + end)
+                for row, text in enumerate(part.column(1).to_pylist()):
+                    ids = memoryview(_encoder(tokenizer).encode(text or "") + end)
                     total, at, number = len(ids) // 4, 0, 0
                     while at < total:
                         size = (total - at) % capacity or min(capacity, total - at)
