@@ -7,7 +7,7 @@ id and place. Candidates have equal chunk hashes; they count as equal only if th
 
 Hashes and counts travel narrow; frequent chunks are added up before the shuffle. Texts move twice by
 document: once for candidates, of which only candidate chunks go on to the byte comparison, and once
-to be rewritten.
+to be rewritten. These joins are always by shuffle, so that the plan is the same at any size.
 
 Defined cases: null and empty texts have no chunk and stay as they are; chunks without a word are
 kept; a chunk repeated inside one document counts as repeated; rows that repeat id and text are one
@@ -57,7 +57,7 @@ def repeated_chunks(docs: DataFrame, *, lines: int = 3) -> DataFrame:
 
         # byte comparison: the least and the greatest text of a hash are the same
         wanted = candidates.groupBy("key", "text_hash").agg(F.collect_list("place").alias("_places"))
-        texts = rows.join(wanted, ["key", "text_hash"])
+        texts = rows.hint("merge").join(wanted, ["key", "text_hash"])
         bodies = chunked(texts, lines).select(
             "doc_id", "key", "text_hash",
             F.explode(F.filter(_chunks(), lambda c: F.array_contains(F.col("_places"), c["place"]))).alias("c"),
@@ -102,7 +102,7 @@ def _rewritten(rows: DataFrame, lines: int) -> DataFrame:
 
 def _with_places(rows: DataFrame, removed: DataFrame) -> DataFrame:
     equal = (F.col("key") == F.col("drop_key")) & (F.col("text_hash") == F.col("drop_hash"))
-    return rows.join(removed, equal, "left").drop("drop_key", "drop_hash")
+    return rows.hint("merge").join(removed, equal, "left").drop("drop_key", "drop_hash")
 
 
 def dedup_lines(docs: DataFrame, *, lines: int = 3) -> DataFrame:
