@@ -122,7 +122,6 @@ def drop_repeated_lines(docs: DataFrame, *, lines: int = 3) -> DataFrame:
         _key().alias("key"), F.xxhash64(text_of()).alias("text_hash"),
     )
     out = _rewritten(_with_places(rows, removed).drop("key", "text_hash"), lines)
-    out = out.filter((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col("n_removed") > 0
     columns = []
     for field in docs.schema:
@@ -132,4 +131,6 @@ def drop_repeated_lines(docs: DataFrame, *, lines: int = 3) -> DataFrame:
         elif field.name == "n_chars":
             value = F.when(changed, F.length("kept").cast(field.dataType)).otherwise(value)
         columns.append(value.alias(field.name))
-    return out.select(*columns)
+    # A filter would be pushed below and take the whole rewriting with it, into its own inner loops.
+    stays = ~changed | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
+    return out.select(F.explode(F.when(stays, F.array(F.struct(*columns)))).alias("row")).select("row.*")
