@@ -26,7 +26,7 @@ from tradewinds.operators.ordered import positions
 
 TERM = r"[\p{L}\p{N}]+"
 _BUCKET_BITS = 20
-_LEVELS, _EACH = 10, 12
+_LEVELS, _EACH = 10, 8
 _CELL_BITS = 24
 
 
@@ -127,26 +127,27 @@ def edit_report(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> DataF
     """
     known = lexicon(docs, least=least, most=most)
     key = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("null"))
-    keyed = docs.select("doc_id", key.alias("key"), F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))
-    narrow = materialise(keyed.groupBy("doc_id", "key", "hash").agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows")))
+    keyed = docs.select(key.alias("key"), F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))
+    named = docs.select("doc_id", key.alias("key"), F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))
+    narrow = materialise(named.groupBy("doc_id", "key", "hash").agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows")))
     repeated = not narrow.filter("rows > 1").isEmpty()
     placed = materialise(positions(narrow, [F.col("doc_id").asc_nulls_first(), F.col("hash")], name="place"))
     after = placed.select(F.col("key").alias("next_key"), F.col("hash").alias("next_hash"), F.col("place").alias("next_place"))
     ask = placed.join(after, F.pmod(F.col("place") + 1, F.col("place_count")) == F.col("next_place")).select(
-        "next_key", "next_hash", F.col("key").alias("to_key"), F.col("hash").alias("to_hash"), "place", "place_count",
+        "doc_id", "next_key", "next_hash", F.col("key").alias("to_key"), F.col("hash").alias("to_hash"), "place", "place_count",
         F.floor(F.col("n") / 2).cast("int").alias("half"),
     )
     single = keyed.dropDuplicates(["key", "hash"]) if repeated else keyed
-    starts = single.join(ask, (F.col("key") == F.col("next_key")) & (F.col("hash") == F.col("next_hash"))).select(
-        "to_key", "to_hash", "place", "place_count", "half", F.expr("substring(text, 1, half)").alias("start")
+    starts = single.hint("merge").join(ask, (F.col("key") == F.col("next_key")) & (F.col("hash") == F.col("next_hash"))).select(
+        "doc_id", "to_key", "to_hash", "place", "place_count", "half", F.expr("substring(text, 1, half)").alias("start")
     )
-    joined = keyed.join(starts, (F.col("key") == F.col("to_key")) & (F.col("hash") == F.col("to_hash")))
+    joined = keyed.hint("merge").join(starts, (F.col("key") == F.col("to_key")) & (F.col("hash") == F.col("to_hash")))
     n = F.length("text")
     rows = joined.select(
         "doc_id", "place", "place_count", n.cast("bigint").alias("n_chars"), "text",
         F.concat(F.substring("text", F.lit(1), n - F.col("half")), F.col("start")).alias("edited"),
     ).select(
-        "doc_id", "place", "place_count", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "doc_id", "place", "place_count", "n_chars", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha256"),
         subset_keys(F.col("text"), known).alias("keys"), subset_keys(F.col("edited"), known).alias("edited_keys"),
     )
     done = materialise(rows.select(
@@ -157,7 +158,7 @@ def edit_report(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> DataF
     following = following.dropDuplicates(["next_place"]) if repeated else following
     both = done.join(following, F.pmod(F.col("place") + 1, F.col("place_count")) == F.col("next_place"))
     return both.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("cells")).alias("fingerprint"),
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), as_text(F.col("cells")).alias("fingerprint"),
         as_text(F.col("edited_cells")).alias("edited_fingerprint"),
         likeness(F.col("cells"), F.col("edited_cells"), F.greatest("terms", "edited_terms")).alias("near_edited"),
         likeness(F.col("cells"), F.col("next_cells"), F.greatest("terms", "next_terms")).alias("near_next"),
