@@ -20,8 +20,8 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Repeated passages of several lines go, but for the first; documents of which nothing is left go."""
-    return linededup.drop_repeated_lines(docs)
+    """Repeated passages of two or more lines go whole, but for the first; documents of which nothing is left go."""
+    return linededup.drop_repeated_lines(docs, whole=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

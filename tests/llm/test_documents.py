@@ -9,7 +9,9 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.compare import connect, difference
 from tests.llm.helpers import SMALL, awkward, frame, given
 from tradewinds.llm import fingerprints, langid, licenses, linededup, quality
@@ -248,3 +250,76 @@ def test_line_dedup_leaves_the_rest_alone(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in linededup.dedup_lines(docs).collect():
         assert r.text == texts[r.doc_id] or r.n_removed
+
+
+def brute_windows(rows):
+    """A line goes if it and a neighbour stand in this order earlier; blank lines between two such go too."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        parts = (text or "").split("\n")
+        gone = set()
+        for i, pair in enumerate(zip(parts, parts[1:])):
+            if any(WORD.search(x) for x in pair):
+                gone |= {i, i + 1} if pair in seen else set()
+                seen.add(pair)
+        for a, b in zip(sorted(gone), sorted(gone)[1:]):
+            if not any(WORD.search(x) for x in parts[a + 1:b]):
+                gone |= set(range(a, b))
+        out[doc_id] = "\n".join(x for i, x in enumerate(parts) if i not in gone)
+    return out
+
+
+def test_windows_against_brute_force(spark):
+    draw = random.Random(9)
+    pool = [f"line {i} " + "x" * (i % 5) for i in range(60)] + ["", "", " "]
+    passages = [draw.choices(pool, k=draw.randint(2, 12)) for _ in range(6)] + [["above", "", "", "", " ", "below"]]
+    rows = []
+    for i in range(60):
+        parts = draw.choices([f"own {i} {k}" for k in range(50)] + ["alone", ""], k=draw.randint(0, 8))
+        for _ in range(draw.randint(0, 3)):
+            at = draw.randint(0, len(parts))
+            parts[at:at] = draw.choice(passages)
+        rows.append((i, "\n".join(parts)))
+    docs = frame(spark, rows + rows[:5])  # rows that repeat id and text are one document
+    got = linededup.dedup_lines(docs, whole=True).collect()
+    assert len(got) == 65 and {r.doc_id: r.text for r in got} == brute_windows(rows)
+    kept = {r.doc_id: r.text for r in linededup.drop_repeated_lines(docs, whole=True).collect()}
+    assert kept == {k: v for k, v in brute_windows(rows).items() if WORD.search(v) or v == dict(rows)[k]}
+
+
+@pytest.mark.parametrize("name", ["op8_line_dedup", "line_dedup"])
+def test_planted_passages_go_whole(spark, tmp_path, name):
+    passages = {n: "\n".join(f"passage of {n} lines, line {k}" for k in range(n)) for n in range(1, 13)}
+    rows = [
+        (100 * n + i, "\n".join([f"first words of {n} {i}", f"second {n} {i}", passage, f"last words of {n} {i}"]))
+        for n, passage in passages.items() for i in range(8)
+    ]
+    docs = frame(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    run = {"op8_line_dedup": lambda: QUERIES[name](spark, str(tmp_path)), "line_dedup": lambda: corpus_pipeline.line_dedup(spark, docs, "")}[name]
+    got = {r.doc_id: r.text for r in run().collect()}
+    for doc_id, text in rows:
+        n, i = divmod(doc_id, 100)
+        stays = text if i == 0 or n == 1 else f"first words of {n} {i}\nsecond {n} {i}\nlast words of {n} {i}"
+        assert got[doc_id] == stays
+
+
+def test_windows_with_one_hash_are_told_apart(spark, monkeypatch):
+    """Equal hashes count only with equal bytes."""
+    real = linededup.F.xxhash64
+    docs = frame(spark, [(i, f"a {i % 3}\nb {i % 3}\nown {i}") for i in range(9)])
+    right = brute_windows([(r.doc_id, r.text) for r in docs.collect()])
+
+    def poor(*columns):
+        return F.pmod(real(*columns), F.lit(2)) if len(columns) == 2 else real(*columns)
+
+    monkeypatch.setattr(linededup.F, "xxhash64", poor)
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(docs, whole=True).collect()} == right
+
+
+def test_whole_line_dedup_of_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = linededup.dedup_lines(docs, whole=True).collect()
+    assert sorted(map(str, ((r.doc_id, r.text, r.n_removed) for r in rows))) == sorted(str((r.doc_id, r.text, 0)) for r in docs.collect())
+    nothing = frame(spark, [(None, "a\nb"), (None, "a\nb"), (None, None)])
+    assert sorted(str(r.text) for r in linededup.dedup_lines(nothing, whole=True).collect()) == ["None", "a\nb", "a\nb"]

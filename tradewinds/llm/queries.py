@@ -61,7 +61,7 @@ def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.dedup_lines(documents(spark, folder))
+    return linededup.dedup_lines(documents(spark, folder), whole=True)
 
 
 @query
