@@ -189,6 +189,58 @@ def test_cells_by_hand(spark):
         assert [c >> 24 for c in r.c] == sorted({k >> 56 for k in r.k})
 
 
+def brute_lexicon(texts, least=2, most=0.05):
+    frequency = Counter(term for text in set(texts) for term in set(re.findall(r"[^\W_]+", text.lower())))
+    limit = max(least, int(most * len(set(texts))))
+    return {term for term, n in frequency.items() if least <= n <= limit}
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_lexicon_counts_texts_once(spark, least):
+    draw = random.Random(3)
+    texts = [" ".join([*draw.choices([f"w{k}" for k in range(300)], k=25), *draw.choices(["the", "of", "and"], k=5), f"own{i}"]) for i in range(100)]
+    texts += [texts[0]] * 60 + [texts[1]] * 3 + ["", "only copies have these words"] + ["only copies have these words"] * 4
+    docs = frame(spark, list(enumerate(texts)))
+    known = fingerprints.lexicon(docs, least=least)
+    terms = sorted({t for text in texts for t in text.split()})
+    rows = spark.createDataFrame([(t,) for t in terms], "t string").select("t", known.has(fingerprints.F.xxhash64("t")).alias("has")).collect()
+    assert {r.t for r in rows if r.has} == brute_lexicon(texts, least)
+
+
+def test_copies_keep_their_fingerprint(spark):
+    draw = random.Random(6)
+    pool = [f"word{k}" for k in range(8000)]
+    texts = [" ".join(draw.choices(pool, k=200)) for _ in range(80)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(1000 + 2 * i, texts[0]) for i in range(40)]  # a third are copies
+    rows += [(1001 + 2 * i, text) for i, text in enumerate(texts[40:])]  # these stand between them
+    got = {r.doc_id: r for r in fingerprints.edit_report(frame(spark, rows)).collect()}
+    known = fingerprints.lexicon(frame(spark, rows))
+    copies = frame(spark, rows[:1]).select(F.size(F.filter(fingerprints.terms_of(F.col("text")), known.has)).alias("n"))
+    assert copies.first().n > 100
+    assert got[0].fingerprint == got[1000].fingerprint != ""
+    copies = [got[1000 + 2 * i] for i in range(39)]
+    assert sum(r.near_edited for r in copies) / len(copies) > 0.1
+    assert sum(r.near_next for r in copies) / len(copies) < 0.1 and all(r.near_next < 0.5 for r in copies)
+
+
+def test_texts_without_lexicon_terms(spark):
+    """Different ones do not share a fingerprint, and are like their own edited text."""
+    common = [f"common{k}" for k in range(800)]
+    groups = {1: common[:400], 2: common[400:], 3: ["one", "two"], 4: ["!!"], 5: ["?"], 6: [""], 7: None}
+    # near copies in two large groups: every term is above the band, but for those of a few other texts
+    rows = [(100 + i, " ".join([*groups[1], f"a{i}"])) for i in range(60)] + [(200 + i, " ".join([*groups[2], f"b{i}"])) for i in range(60)]
+    rows += [(k, words and " ".join(words)) for k, words in groups.items()]
+    rows += [(300 + i, " ".join(f"rare{k}" for k in range(400)) + f" c{i}") for i in range(3)]
+    found = {r.doc_id: r for r in fingerprints.fingerprints(frame(spark, rows)).collect()}
+    assert found[6].fingerprint == found[7].fingerprint == ""
+    others = [found[k].fingerprint for k in (1, 2, 3, 4, 5, 100, 200)]
+    assert "" not in others and len(set(others)) == len(others)
+    got = {r.doc_id: r for r in fingerprints.edit_report(frame(spark, rows)).collect()}
+    assert all(got[k].near_next < 1 for k in (1, 2, 3, 4, 5)) and got[6].near_next == 1.0
+    assert got[259].near_edited > 0  # half its words, and lexicon terms of the next document
+    assert all(got[k].fingerprint == found[k].fingerprint for k in found)
+
+
 # ---- line dedup -------------------------------------------------------------------------------
 
 def brute_lines(rows, lines, hashes):

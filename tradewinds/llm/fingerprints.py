@@ -1,16 +1,19 @@
 """I-Match fingerprints over several randomised lexicon subsets.
 
-The lexicon is all terms whose document frequency lies in a band: in at least `least` documents and
-in at most `most` of all. Frequencies are counted over the whole table by hash bucket, a fixed number
-of buckets, so the lexicon is a bit map of fixed size at any scale. A second hash deals the lexicon
+The lexicon is all terms whose document frequency lies in a band: in at least `least` distinct texts
+and in at most `most` of all distinct texts, so that copies do not take their own terms out of it.
+Frequencies are counted over the whole table by hash bucket, a fixed number of buckets, so the lexicon
+is a bit map of fixed size at any scale. A second hash deals the lexicon
 into disjoint random subsets of falling size. The distinct terms of a document are sorted, and the
 terms of each subset are hashed together: one cell per subset that is not empty. A fingerprint is the
 list of cells. Dense subsets change with any edit and sparse ones survive large edits, so two
 fingerprints are compared on the subsets that are sparse for texts of their size: the share of equal
 cells among those that either has.
 
-Defined cases: a null text is empty and has the empty fingerprint; equal fingerprints have likeness 1,
-also empty ones; rows that repeat id and text are one document and get one result each; a null id
+Defined cases: a null text is empty, and only empty texts have the empty fingerprint; a text without a
+lexicon term has cells of all its terms, and one without any term that of its whole text; an edited
+text is compared over all terms if it or its original has no lexicon term and the other has; equal
+fingerprints have likeness 1, also empty ones; rows that repeat id and text are one document and get one result each; a null id
 comes first; an empty table gives an empty result.
 """
 
@@ -51,21 +54,40 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), lambda t: F.xxhash64(t)))
 
 
-def lexicon(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> Lexicon:
-    """Terms in at least `least` documents and at most the share `most` of them, counted over all rows."""
-    texts = docs.select(F.explode(F.array_distinct(F.transform(terms_of(text_of()), _bucket))).alias("bucket"))
-    limit = max(least, int(most * docs.count()))
-    kept = texts.groupBy("bucket").count().filter(F.col("count").between(least, limit))
-    words = kept.groupBy(F.shiftright("bucket", 5).alias("word")).agg(
+def _bit_map(buckets: DataFrame) -> Lexicon:
+    words = buckets.groupBy(F.shiftright("bucket", 5).alias("word")).agg(
         F.sum(F.expr("shiftleft(1L, cast(bucket & 31 as int))")).alias("bits")
     ).collect()  # at most 2 ** 15 rows
     found = {r["word"]: r["bits"] for r in words}
     return Lexicon([found.get(i, 0) for i in range(1 << (_BUCKET_BITS - 5))])
 
 
-def subset_keys(text: Column, known: Lexicon) -> Column:
-    """The lexicon terms of a text, each below the number of its subset, sorted."""
-    kept = F.filter(terms_of(text), known.has)
+def lexicon(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> Lexicon:
+    """Terms in at least `least` distinct texts and at most the share `most` of them, counted over all rows.
+
+    Rows are counted first. That decides for all buckets but those in more rows than the limit, which
+    copies may have lifted above it; only these few are listed by text and counted once for each.
+    """
+    rows = docs.select(F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
+    texts = rows.select("text_hash").distinct().count()
+    limit = max(least, int(most * texts))
+    buckets = rows.select("text_hash", F.array_distinct(F.transform(terms_of(F.col("text")), _bucket)).alias("buckets"))
+    seen = materialise(buckets.select("text_hash", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), (F.min("text_hash") != F.max("text_hash")).alias("several")
+    ).filter(F.col("several") | F.lit(least < 2)))
+    # in one text, in several, or in more than two: the last is not known from `several`
+    unsure = (F.col("rows") > limit) | F.lit(least > 2)
+    sure = _bit_map(seen.filter(~unsure))
+    asked = _bit_map(seen.filter(unsure))
+    if not any(asked.bits):
+        return sure
+    once = buckets.select("text_hash", F.filter("buckets", asked.has).alias("buckets")).groupBy("text_hash").agg(F.first("buckets").alias("buckets"))
+    counted = once.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count().filter(F.col("count").between(least, limit))
+    return Lexicon([a | b for a, b in zip(sure.bits, _bit_map(counted).bits)])
+
+
+def _subsets(terms: Column) -> Column:
+    """Terms, each below the number of its subset, sorted."""
 
     def key(term: Column) -> Column:
         spread = F.xxhash64(term)
@@ -74,7 +96,19 @@ def subset_keys(text: Column, known: Lexicon) -> Column:
         subset = level * _EACH + F.pmod(spread.bitwiseAND(F.lit(255)), F.lit(_EACH))
         return F.shiftleft(subset.cast("bigint"), 56).bitwiseOR(term.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    return F.sort_array(F.transform(kept, key))
+    return F.sort_array(F.transform(terms, key))
+
+
+def _used(kept: Column, terms: Column, text: Column) -> Column:
+    """The lexicon terms of a text, else all its terms, else the text as one."""
+    whole = F.when(F.length(text) > 0, F.array(F.xxhash64(text))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(kept) > 0, kept).when(F.size(terms) > 0, terms).otherwise(whole)
+
+
+def subset_keys(text: Column, known: Lexicon) -> Column:
+    """The terms that make a text's fingerprint, each below the number of its subset, sorted."""
+    terms = terms_of(text)
+    return _subsets(_used(F.filter(terms, known.has), terms, text))
 
 
 def cells(keys: Column) -> Column:
@@ -113,7 +147,9 @@ def likeness(a: Column, b: Column, terms: Column) -> Column:
 def fingerprints(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> DataFrame:
     """doc_id, fingerprint, n_terms and cells per document."""
     known = lexicon(docs, least=least, most=most)
-    rows = docs.select("doc_id", subset_keys(text_of(), known).alias("_keys"))
+    rows = docs.select("doc_id", text_of().alias("_text"), terms_of(text_of()).alias("_terms"))
+    rows = rows.select("*", F.filter("_terms", known.has).alias("_kept"))
+    rows = rows.select("doc_id", _subsets(_used(F.col("_kept"), F.col("_terms"), F.col("_text"))).alias("_keys"))
     return rows.select("doc_id", F.size("_keys").alias("n_terms"), cells(F.col("_keys")).alias("cells")).withColumn(
         "fingerprint", as_text(F.col("cells"))
     )
@@ -148,11 +184,25 @@ def edit_report(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> DataF
         F.concat(F.substring("text", F.lit(1), n - F.col("half")), F.col("start")).alias("edited"),
     ).select(
         "doc_id", "place", "place_count", "n_chars", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha256"),
-        subset_keys(F.col("text"), known).alias("keys"), subset_keys(F.col("edited"), known).alias("edited_keys"),
-    )
-    done = materialise(rows.select(
+        "text", "edited", terms_of(F.col("text")).alias("all"), terms_of(F.col("edited")).alias("edited_all"),
+    ).select("*", F.filter("all", known.has).alias("kept"), F.filter("edited_all", known.has).alias("edited_kept"))
+    one_sided = (F.size("kept") > 0) != (F.size("edited_kept") > 0)
+    rows = rows.select(
+        "doc_id", "place", "place_count", "n_chars", "edited_sha256",
+        _subsets(_used(F.col("kept"), F.col("all"), F.col("text"))).alias("keys"),
+        _subsets(_used(F.col("edited_kept"), F.col("edited_all"), F.col("edited"))).alias("edited_keys"),
+        F.when(one_sided, _subsets(F.col("all"))).alias("all_keys"), F.when(one_sided, _subsets(F.col("edited_all"))).alias("edited_all_keys"),
+    ).select(
         "doc_id", "place", "place_count", "n_chars", "edited_sha256", F.size("keys").alias("terms"), cells(F.col("keys")).alias("cells"),
         F.size("edited_keys").alias("edited_terms"), cells(F.col("edited_keys")).alias("edited_cells"),
+        F.greatest(F.size("all_keys"), F.size("edited_all_keys")).alias("all_terms"),
+        F.when(F.col("all_keys").isNotNull(), cells(F.col("all_keys"))).alias("all_cells"),
+        F.when(F.col("all_keys").isNotNull(), cells(F.col("edited_all_keys"))).alias("edited_all_cells"),
+    )
+    done = materialise(rows.select(
+        "doc_id", "place", "place_count", "n_chars", "edited_sha256", "terms", "cells", "edited_cells",
+        F.when(F.col("all_cells").isNotNull(), likeness(F.col("all_cells"), F.col("edited_all_cells"), F.col("all_terms")))
+        .otherwise(likeness(F.col("cells"), F.col("edited_cells"), F.greatest("terms", "edited_terms"))).alias("near_edited"),
     ))
     following = done.select(F.col("place").alias("next_place"), F.col("cells").alias("next_cells"), F.col("terms").alias("next_terms"))
     following = following.dropDuplicates(["next_place"]) if repeated else following
@@ -160,6 +210,6 @@ def edit_report(docs: DataFrame, *, least: int = 2, most: float = 0.05) -> DataF
     return both.select(
         "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), as_text(F.col("cells")).alias("fingerprint"),
         as_text(F.col("edited_cells")).alias("edited_fingerprint"),
-        likeness(F.col("cells"), F.col("edited_cells"), F.greatest("terms", "edited_terms")).alias("near_edited"),
+        "near_edited",
         likeness(F.col("cells"), F.col("next_cells"), F.greatest("terms", "next_terms")).alias("near_next"),
     )
