@@ -97,6 +97,19 @@ def test_licenses_against_every_place(spark):
         assert got[doc_id] == scan_one(text), text
 
 
+def test_licenses_at_the_very_share(spark):
+    """A missing template word that stands elsewhere in the document is looked up, but does not agree."""
+    isc = next(t.text for t in licenses.TEMPLATES if t.label == "isc").split()
+    rows = [(1, "Released today. Licensed under the MIT license."), (2, "MIT license. Released under MIT license the")]
+    for i, gone in enumerate([{0, 1, 2, 3}, {14, 15, 16, 17}, {0, 1, 18, 19}, {0, 1, 2, 18, 19}]):
+        words = ["foo" if k in gone else w for k, w in enumerate(isc)]
+        rows.append((10 + i, " ".join([isc[k] for k in sorted(gone)] + ["bar"] + words)))
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got[1][-2:] == ("mit", 0.8)
+    for doc_id, text in rows:
+        assert got[doc_id] == scan_one(text), text
+
+
 # ---- quality ----------------------------------------------------------------------------------
 
 def base_counts(text):

@@ -15,7 +15,6 @@ counts; repeated rows are scanned each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -181,8 +180,9 @@ def scan(
         starts = F.flatten(F.transform(hits, lambda h: F.transform(F.get(lists, F.get(place, h["x"])), lambda q: h["at"] - q)))
         rows = rows.withColumn(f"_starts{i}", F.when(F.size(f"_seeds{i}") > 0, F.sort_array(starts)))
 
-        # agreed: as many of the looked-up words as a match of `least` must have there
-        agree = F.greatest(F.lit(1), F.size(f"_seeds{i}") - F.lit(int(math.floor((1 - least) * len(ids)))))
+        # agreed: as many of the looked-up words as a match of `least`, by the test of _share_at, must have there
+        misses = max(m for m in range(len(ids) + 1) if m == 0 or (len(ids) - m) / len(ids) >= least)
+        agree = F.greatest(F.lit(1), F.size(f"_seeds{i}") - F.lit(misses))
         column = F.col(f"_starts{i}")
         agreed = F.array_distinct(F.filter(
             F.transform(column, lambda s, j: F.when(F.get(column, j + agree - 1) == s, s)), lambda s: s.isNotNull()
