@@ -15,7 +15,7 @@ from tradewinds.operators.materialise import materialise
 
 
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents of which a language can be told; those without a letter, or with a score below 0.5, go."""
+    """Documents of which a language can be told; those without a letter, with a score below 0.5, or unlike all labelled texts, go."""
     return langid.keep_identified(docs, least_score=0.5)
 
 

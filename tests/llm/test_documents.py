@@ -55,6 +55,19 @@ def test_grams_do_not_depend_on_blocks(monkeypatch):
     assert (langid.gram_counts(text, 1 << 12) == whole).all()
 
 
+def test_texts_in_no_learned_language_go(spark):
+    docs = given(spark, "/root/testdata/sf0.01")
+    draw = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = ["".join(draw.choice(letters + "    ") for _ in range(n)) for n in (100, 300, 2000) for _ in range(20)]
+    greek = ["το γρήγορο καφέ ζώο πηδά πάνω από το σκυλί και φεύγει", "это текст на языке которого никто не учил и не видел"]
+    more = frame(spark, [(10**6 + i, text, None) for i, text in enumerate(junk + greek)])
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(more), "").select("doc_id").collect()}
+    assert not [i for i in kept if i >= 10**6]
+    clean = {r.doc_id for r in docs.collect() if r.lang and not re.search(r"[#*$%&|<>]", r.text) and r.text.upper() != r.text and len(r.text.split()) >= 5}
+    assert len(clean) > 300 and len(clean - kept) <= 0.005 * len(clean)
+
+
 # ---- licenses ---------------------------------------------------------------------------------
 
 def scan_one(text):

@@ -5,6 +5,11 @@ characters are hashed to a fixed number of buckets. Training sums n-gram counts
 the matrix of log-probabilities (languages x buckets, bounded) is broadcast. A document is a sparse
 count vector that is multiplied with it, whole, in blocks.
 
+The posterior says which learned language is nearest, not whether a text is in any. Whether it is, is
+told from its mean log-probability per n-gram in that language: texts the model was learned from show,
+each scored without its own counts, what is usual. A text fits unless it is below their 1% quantile by
+more than half a nat and an allowance for short texts.
+
 Defined cases: a null text or one without a letter is `und` with score 0; so is every text if nothing
 could be learned; equal scores go to the first language by code point; a null label is not learned
 from; repeated rows are predicted each; an empty table gives an empty result.
@@ -25,6 +30,7 @@ from tradewinds.llm.common import ship_package
 UNKNOWN = "und"
 _BLOCK = 1 << 20  # characters counted at once
 _MAX_CELLS = 1 << 23  # languages x buckets that are broadcast
+_LOW, _FAR, _SHORT = 0.01, 0.5, 6.0  # quantile, nats below it, and standard errors of n-grams taken singly
 
 
 @lru_cache(maxsize=1)
@@ -76,15 +82,25 @@ def gram_counts(text: str | None, buckets: int) -> np.ndarray | None:
 class Model:
     languages: list[str]
     log_probability: np.ndarray  # buckets x languages
+    least_mean: np.ndarray | None = None  # by language; without it every text fits
+    spread: np.ndarray | None = None  # standard deviation of an n-gram's log-probability, by language
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """The nearest language, its posterior, and whether the text fits what texts in it show."""
         counts = gram_counts(text, len(self.log_probability))
         if counts is None or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, False
         used = np.flatnonzero(counts)
         score = counts[used] @ self.log_probability[used]
         best = int(np.argmax(score))
-        return self.languages[best], float(1.0 / np.exp(score - score[best]).sum())
+        fits = True
+        if self.least_mean is not None:
+            n = counts.sum()
+            fits = bool(score[best] / n >= self.least_mean[best] - _SHORT * self.spread[best] / np.sqrt(n))
+        return self.languages[best], float(1.0 / np.exp(score - score[best]).sum()), fits
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
 
 
 def remainder(buckets: int = 5) -> Column:
@@ -92,8 +108,10 @@ def remainder(buckets: int = 5) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % buckets
 
 
-def train(labelled: DataFrame, *, buckets: int = 1 << 15, documents_a_language: int = 5_000, smoothing: float = 0.1) -> Model:
-    """Fit on rows (doc_id, text, lang).
+def train(
+    labelled: DataFrame, *, buckets: int = 1 << 15, documents_a_language: int = 5_000, smoothing: float = 0.1, fit: bool = False
+) -> Model:
+    """Fit on rows (doc_id, text, lang); with `fit` the model also tells what texts of a language show.
 
     `documents_a_language` bounds the fit: of a language with more labelled documents, that many are
     expected to be drawn, by a hash of id and text.
@@ -135,19 +153,49 @@ def train(labelled: DataFrame, *, buckets: int = 1 << 15, documents_a_language:
     counts[bucket, language] += n
     learned = sorted(set(language.tolist()))  # languages with a letter in some text
     counts = counts[:, learned]
-    return Model([languages[i] for i in learned], np.log(counts / counts.sum(axis=0)) if learned else np.zeros((buckets, 0)))
+    if not learned:
+        return Model([], np.zeros((buckets, 0)))
+    share = counts / counts.sum(axis=0)
+    model = Model([languages[i] for i in learned], np.log(share))
+    if not fit:
+        return model
+    shared = labelled.sparkSession.sparkContext.broadcast(counts)
+    column = {languages[i]: k for k, i in enumerate(learned)}
+
+    def means(batches):
+        totals = shared.value.sum(axis=0)
+        for batch in batches:
+            names, found = [], []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = gram_counts(text, buckets)
+                if own is not None:
+                    used, k, n = np.flatnonzero(own), column[name], own.sum()
+                    rest = np.maximum(shared.value[used, k] - own[used], smoothing) / (totals[k] - n)
+                    names.append(k)
+                    found.append(float(own[used] @ np.log(rest) / n))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(found, pa.float64())], names=["language", "mean"])
+
+    usual = drawn.mapInArrow(means, "language long, mean double").groupBy("language").agg(
+        F.percentile("mean", F.lit(_LOW)).alias("low")
+    ).collect()  # one row a language
+    least = np.zeros(len(learned))
+    for r in usual:
+        least[r["language"]] = r["low"] - _FAR
+    average = (share * model.log_probability).sum(axis=0)
+    spread = np.sqrt((share * (model.log_probability - average) ** 2).sum(axis=0))
+    return Model(model.languages, model.log_probability, least, spread)
 
 
 def predictor(docs: DataFrame, model: Model):
-    """Column function: text -> struct(lang_pred, score)."""
+    """Column function: text -> struct(lang_pred, score, fits)."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, fits boolean")
     def predict(texts: pa.Array) -> pa.Array:
-        found = [shared.value.predict(text) for text in texts.to_pylist()]
-        names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
-        return pa.StructArray.from_arrays([names, scores], names=["lang_pred", "score"])
+        found = [shared.value.judge(text) for text in texts.to_pylist()]
+        columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "fits"])
 
     return predict
 
@@ -161,13 +209,13 @@ def identify(docs: DataFrame, *, folds: int = 5, **settings) -> DataFrame:
     model = train(docs.filter(remainder(folds) != 0), **settings)
     guess = predictor(docs, model)(F.col("text"))
     held = F.coalesce(remainder(folds) == 0, F.lit(False))
-    return docs.select("doc_id", held.alias("held_out"), guess.alias("guess")).select("doc_id", "held_out", "guess.*")
+    return docs.select("doc_id", held.alias("held_out"), guess.alias("guess")).select("doc_id", "held_out", "guess.lang_pred", "guess.score")
 
 
 def keep_identified(docs: DataFrame, *, least_score: float = 0.5, folds: int = 5, **settings) -> DataFrame:
-    """Documents with a language: those that are `und` or score less than `least_score` go."""
-    model = train(docs.filter(remainder(folds) != 0), **settings)
+    """Documents with a language: those that are `und`, score less than `least_score` or fit no language go."""
+    model = train(docs.filter(remainder(folds) != 0), fit=True, **settings)
     guess = predictor(docs, model)(F.col("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("row"), guess.alias("guess"))
-    return rows.filter((F.col("guess.lang_pred") != UNKNOWN) & (F.col("guess.score") >= least_score)).select("row.*")
+    return rows.filter((F.col("guess.lang_pred") != UNKNOWN) & (F.col("guess.score") >= least_score) & F.col("guess.fits")).select("row.*")
