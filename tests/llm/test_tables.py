@@ -182,6 +182,21 @@ def test_connected_components(spark):
     assert got == {x: find(x) for x in root if find(x) != x}
 
 
+def test_one_row_stays_of_each_group(spark):
+    draw = random.Random(12)
+    base = [[f"w{draw.randint(0, 900)}" for _ in range(120)] for _ in range(4)]
+    near = lambda k, j: " ".join([*base[k][:-1], f"end{j}"])
+    rows = [(None, near(0, j % 4)) for j in range(8)]  # no ids: near copies, repeated
+    rows += [(None, near(1, j)) for j in range(3)]  # another group without ids
+    rows += [(7, near(2, 0))] * 5 + [(None, near(2, 1))]  # repeated rows
+    rows += [(8, near(3, 0)), (8, near(3, 1)), (9, near(3, 0))]  # one id, two texts
+    rows += [(20, ""), (21, None), (20, "")]
+    kept = neardup.keep_first(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept if r.doc_id and r.doc_id >= 20) == [(20, ""), (20, ""), (21, "")]
+    firsts = [(r.doc_id, r.text.split()[0], r.text.split()[1]) for r in kept if not r.doc_id or r.doc_id < 20]
+    assert sorted(firsts, key=str) == sorted([(i, base[k][0], base[k][1]) for i, k in ((None, 0), (None, 1), (7, 2), (8, 3))], key=str)
+
+
 # ---- pipeline ---------------------------------------------------------------------------------
 
 def test_stages(spark):

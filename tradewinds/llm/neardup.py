@@ -15,8 +15,10 @@ that could join two components is left out, while groups of copies cost a few pa
 
 Defined cases: documents without words, and null texts, have an empty set and are linked with
 nothing; with fewer words than a shingle has, the sequence is one shingle; a null id never names a
-component with other ids; rows that repeat id and text share a class and its component; an empty
-table gives an empty result.
+component with other ids, and a component without any id has the null one, so all its rows count as
+kept; rows that repeat id and text share a class and its component, and are kept alike. `keep_first`
+leaves one row of each component all the same: the first by id (null last) and text hash, and any one of
+the rows that repeat it; documents without words all stay. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -317,11 +319,8 @@ def _pair_possible(percent: int) -> Column:
     return sizes & _possible(percent, na, F.col("owna"), nb) & _possible(percent, nb, F.col("ownb"), na)
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id and kept per document.
-
-    Documents are linked if 100 * |both| >= percent * |either|; the least id of a component is kept.
-    """
+def _found(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and first_hash, the text hash of the component's first document."""
     spark = docs.sparkSession
     with Scope(spark) as scope:
         rows = scope.keep(materialise(sketches(docs, words=words, percent=percent)))
@@ -340,20 +339,38 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
             return found.dropDuplicates(["set_id"]) if repeated else found
 
         roots = linked_classes(classes, texts_of, words=words, percent=percent)
-        named = _labelled(classes.select("set_id", F.col("one.doc_id").alias("doc_id")), roots)
-        least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-        ids = scope.keep(materialise(named.join(least, "label").select("set_id", "component_id")))
+        named = _labelled(classes.select("set_id", "one"), roots)
+        least = named.groupBy("label").agg(F.min("one").alias("first"))
+        ids = scope.keep(materialise(named.join(least, "label").select(
+            "set_id", F.col("first.doc_id").alias("component_id"), F.col("first.text_hash").alias("first_hash")
+        )))
     joined = rows.drop("bands").join(ids, "set_id", "left")
     joined = joined.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return joined.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return joined.select("doc_id", "text_hash", "n_shingles", "component_id", "first_hash")
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept per document.
+
+    Documents are linked if 100 * |both| >= percent * |either|; the least id of a component is kept.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return _found(docs, words=words, percent=percent).drop("first_hash").withColumn("kept", kept)
 
 
 def keep_first(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near copies: of each component the one with the least id stays."""
-    gone = near_duplicates(docs, words=words, percent=percent).filter("not kept").select(
-        _key().alias("gone_key"), F.col("text_hash").alias("gone_hash")
-    )
+    """The documents without near copies: of each component one row stays, the first by id and text hash."""
+    found = _found(docs, words=words, percent=percent)
+    stays = (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = found.filter(~stays).select(_key().alias("gone_key"), F.col("text_hash").alias("gone_hash"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key().alias("key"), F.xxhash64(text_of()).alias("hash")
     )
-    return rows.hint("merge").join(gone, (F.col("key") == F.col("gone_key")) & (F.col("hash") == F.col("gone_hash")), "left_anti").select("row.*")
+    left = rows.hint("merge").join(gone, (F.col("key") == F.col("gone_key")) & (F.col("hash") == F.col("gone_hash")), "left_anti")
+    firsts = found.filter(stays & (F.col("n_shingles") > 0)).select(_key().alias("twice_key"), F.col("text_hash").alias("twice_hash"))
+    twice = materialise(firsts.groupBy("twice_key", "twice_hash").count().filter("count > 1").drop("count"))
+    if twice.isEmpty():
+        return left.select("row.*")
+    same = (F.col("key") == F.col("twice_key")) & (F.col("hash") == F.col("twice_hash"))
+    once = left.join(twice, same, "left_semi").groupBy("key", "hash").agg(F.first("row").alias("row"))
+    return left.join(twice, same, "left_anti").select("row").unionByName(once.select("row")).select("row.*")
