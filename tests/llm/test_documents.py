@@ -267,6 +267,18 @@ def test_texts_without_lexicon_terms(spark):
     assert all(got[k].fingerprint == found[k].fingerprint for k in found)
 
 
+def test_long_texts_keep_sparse_subsets(spark):
+    """Half of 200,000 terms are shared."""
+    rows = [(1, " ".join(f"a{k}" for k in range(200_000))), (2, " ".join(f"{'ab'[k % 2]}{k}" for k in range(200_000)))]
+    known = fingerprints.Lexicon([2**32 - 1] * 2**15)
+    docs = frame(spark, rows).select("doc_id", fingerprints.subset_keys(F.col("text"), known).alias("k"))
+    a, b = docs.select("doc_id", fingerprints.cells(F.col("k")).alias("c")).orderBy("doc_id").collect()
+    near = spark.createDataFrame([(a.c, b.c)], "a array<int>, b array<int>").select(
+        fingerprints.likeness(F.col("a"), F.col("b"), F.lit(200_000)).alias("near"), F.length(fingerprints.as_text(F.col("a"))).alias("n")
+    ).first()
+    assert near.near > 0.1 and near.n == 8 * len(a.c)
+
+
 # ---- line dedup -------------------------------------------------------------------------------
 
 def brute_lines(rows, lines, hashes):

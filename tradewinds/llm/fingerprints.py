@@ -29,7 +29,7 @@ from tradewinds.operators.ordered import positions
 
 TERM = r"[\p{L}\p{N}]+"
 _BUCKET_BITS = 20
-_LEVELS, _EACH = 10, 8
+_LEVELS, _EACH = 20, 8  # subsets above 127 are negative in the top byte of keys and cells
 _CELL_BITS = 24
 
 
@@ -126,19 +126,18 @@ def cells(keys: Column) -> Column:
 
 def _cell(a: Column) -> Column:
     low = a["hash"].bitwiseAND(F.lit((1 << _CELL_BITS) - 1)).cast("int")
-    return F.when(a["subset"] >= 0, F.array(F.shiftleft(a["subset"], _CELL_BITS).bitwiseOR(low))).otherwise(F.array().cast("array<int>"))
+    return F.when(a["subset"] != -1, F.array(F.shiftleft(a["subset"], _CELL_BITS).bitwiseOR(low))).otherwise(F.array().cast("array<int>"))
 
 
 def as_text(found: Column) -> Column:
-    return F.array_join(F.transform(found, lambda c: F.lpad(F.lower(F.hex(c)), 8, "0")), "")
+    return F.array_join(F.transform(found, lambda c: F.lpad(F.lower(F.hex(c.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column, terms: Column) -> Column:
     """Equal cells among those of subsets that are sparse at `terms` terms; 1 for equal fingerprints."""
     level = F.greatest(F.lit(0), F.least(F.lit(_LEVELS - 1), F.ceil(F.log2(F.greatest(terms, F.lit(1)) / _EACH)).cast("int") - 1))
-    first = F.shiftleft(level * _EACH, _CELL_BITS)
-    sparse_a, sparse_b = F.filter(a, lambda c: c >= first), F.filter(b, lambda c: c >= first)
-    subset = lambda c: F.shiftright(c, _CELL_BITS)
+    subset = lambda c: F.shiftrightunsigned(c, _CELL_BITS)
+    sparse_a, sparse_b = (F.filter(x, lambda c: subset(c) >= level * _EACH) for x in (a, b))
     either = F.size(F.array_union(F.transform(sparse_a, subset), F.transform(sparse_b, subset)))
     share = F.size(F.array_intersect(sparse_a, sparse_b)) / either
     return F.when(a == b, F.lit(1.0)).when(either > 0, share).otherwise(F.lit(0.0))
