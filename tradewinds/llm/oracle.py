@@ -111,7 +111,46 @@ select w.doc_id, cast(len(words) as bigint) as n_words, coalesce(b.n, 0) as n_ba
 from w left join base_rows b using (doc_id) left join label_rows l using (doc_id) left join score s using (doc_id)
 """
 
+_AUDIT = f"""
+with t as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), {_WORDS}) as words,
+         doc_id > min(doc_id) over (partition by coalesce(text, '')) as copied
+  from documents
+), said as (
+  select doc_id, coalesce(max(cast(quality = 1 as int)), 0) as good, coalesce(max(cast(toxic = 1 as int)), 0) as toxic
+  from labels where doc_id is not null group by doc_id
+), marked as (
+  select part, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+                100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'),
+                coalesce(copied, false)] as fails, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from t left join said using (doc_id)
+), classes as (
+  select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from marked group by part, fails
+), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 3, 4, 5]) as i),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order, [a.i, b.i, c.i, d.i, e.i] as turn
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps as (
+  select part, filter_order, step, turn[step] as i, n, good, toxic, fails[turn[step]] as failing,
+         len(list_filter(turn[1:step - 1], lambda x: fails[x])) > 0 as gone, list_sum([cast(x as int) for x in fails]) as times
+  from classes, orders, (select unnest([1, 2, 3, 4, 5]) as step)
+), counted as (
+  select part, filter_order, step, i, sum(n) filter (not gone and not failing) as kept, sum(n) filter (failing and not gone) as removed,
+         sum(n) filter (failing and gone) as redundant, sum(n) filter (failing and times = 1) as unique_fails,
+         sum(good) filter (failing and not gone) as good_lost, sum(toxic) filter (failing and not gone) as toxic_lost
+  from steps group by part, filter_order, step, i
+)
+select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+       cast(coalesce(redundant, 0) as bigint) as redundant, cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+       cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+       cast(sum(coalesce(removed, 0)) over (partition by part, i) as bigint) as shapley
+from counted
+"""
+
 
 EXPECTED: dict[str, str] = {
     "op2_mix_sources": _MIX, "op4_license_scan": _license_sql(), "op10_minhash_near_dedup": _NEAR,
+    "op13_filter_audit": _AUDIT,
 }

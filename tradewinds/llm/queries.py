@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tradewinds.llm import fingerprints, langid, licenses, linededup, mixing, neardup, packing, quality, sharding, tokencount
+from tradewinds.llm import filteraudit, fingerprints, langid, licenses, linededup, mixing, neardup, packing, quality, sharding, tokencount
 from tradewinds.llm.common import documents
 from tradewinds.llm.oracle import EXPECTED
 
@@ -80,6 +80,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filteraudit.audit(documents(spark, folder), labels)
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
