@@ -7,8 +7,11 @@ are tested against brute force.
 
 from __future__ import annotations
 
+import re
+
 from tradewinds.llm.common import LOWER, UPPER
 from tradewinds.llm.licenses import BASE, TEMPLATES
+from tradewinds.llm.secretscan import BASE_RULES, RULES
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -150,7 +153,40 @@ from counted
 """
 
 
+def _any_case(pattern: str) -> str:
+    """Scoped (?i:...) as classes of both cases: the other engine would fold letters beyond A-Z too."""
+    def both(match: re.Match) -> str:
+        return "(?:" + re.sub("[a-z]", lambda letter: f"[{letter[0]}{letter[0].upper()}]", match[1]) + ")"
+    return re.sub(r"\(\?i:([^()]*)\)", both, pattern)
+
+
+def _secret_sql() -> str:
+    found = []
+    for number, rule in enumerate(RULES):
+        pattern = _any_case(rule.pattern).replace("'", "''")
+        found.append(f"""select doc_id, {number} as k, '{rule.kind}' as kind, {rule.least} as least, string_split_regex(text, '{pattern}') as before,
+            regexp_extract_all(text, '{pattern}') as hit, regexp_extract_all(text, '{pattern}', {rule.value}) as value from t""")
+    counts = ", ".join(f"count(s.k) filter (k = {number}) as n_{rule.kind}" for number, rule in enumerate(BASE_RULES))
+    return f"""
+with t as (select doc_id, coalesce(text, '') as text from documents),
+found as ({' union all '.join(found)}),
+hits as (
+  select doc_id, k, kind, least, unnest(before[:len(hit)]) as before, unnest(hit) as hit, unnest(value) as value, unnest(range(len(hit))) as i
+  from found where len(hit) > 0
+), ends as (
+  select *, cast(sum(length(before) + length(hit)) over (partition by doc_id, k order by i) as bigint) as upto from hits
+), spans as (
+  select doc_id, k, upto - length(hit) as start, kind || ':' || cast(upto - length(hit) as varchar) || ':' || cast(upto as varchar) as span
+  from ends where length(value) >= least
+)
+select t.doc_id, {counts},
+       sha256(coalesce(string_agg(span, ',' order by start, k) filter (k < {len(BASE_RULES)}), '')) as base_sha256,
+       coalesce(string_agg(span, ',' order by start, k), '') as spans
+from t left join spans s using (doc_id) group by t.doc_id
+"""
+
+
 EXPECTED: dict[str, str] = {
     "op2_mix_sources": _MIX, "op4_license_scan": _license_sql(), "op10_minhash_near_dedup": _NEAR,
-    "op13_filter_audit": _AUDIT,
+    "op12_secret_scan": _secret_sql(), "op13_filter_audit": _AUDIT,
 }

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tradewinds.llm import filteraudit, fingerprints, langid, licenses, linededup, mixing, neardup, packing, quality, sharding, tokencount
+from tradewinds.llm import filteraudit, fingerprints, langid, licenses, linededup, mixing, neardup, packing, quality, secretscan, sharding, tokencount
 from tradewinds.llm.common import documents
 from tradewinds.llm.oracle import EXPECTED
+from tradewinds.operators.materialise import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 __all__ = ["EXPECTED", "QUERIES"]
@@ -80,6 +81,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secretscan.digest(materialise(secretscan.scan(documents(spark, folder))))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
