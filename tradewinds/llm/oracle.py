@@ -152,6 +152,37 @@ select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept, cast
 from counted
 """
 
+_PHRASES = f"""
+with t as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from t),
+totals as (select lang, cast(sum(len(words)) as bigint) as n from w group by lang),
+found as (
+  select lang, size, unnest([words[i:i + size - 1] for i in range(1, len(words) - size + 2)]) as phrase
+  from w, (select unnest([1, 2, 3, 4]) as size)
+), f as (select lang, size, phrase, count(*) as n from found group by all having count(*) >= 30),
+parts as (
+  select lang, size, phrase, n as a, k, phrase[:k] as lft, phrase[k + 1:] as rgt from f, (select unnest([1, 2, 3]) as k) where k < size
+), sides as (select lang, phrase as lft, phrase as rgt, n as l, n as r from f),
+cuts as (
+  select parts.*, x.l, y.r, (2000000 * cast(a as hugeint)) // (x.l + y.r) as score
+  from parts join sides x on x.lang = parts.lang and x.lft = parts.lft join sides y on y.lang = parts.lang and y.rgt = parts.rgt
+), lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_phrases as (
+  select lang, n, unnest(list_concat(
+    [phrase[i:i + 1] for i in range(1, size)], case when size > 3 then [phrase[i:i + 2] for i in range(1, size - 1)] else [] end)) as phrase
+  from f where size > 2
+), covered as (select lang, phrase, max(n) as longer from inner_phrases group by all),
+kept as (
+  select lowest.lang, array_to_string(lowest.phrase, ' ') as phrase, a, l, r, score
+  from lowest left join covered using (lang, phrase) where longer is null or 100 * cast(longer as hugeint) < 80 * cast(a as hugeint)
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
 
 def _any_case(pattern: str) -> str:
     """Scoped (?i:...) as classes of both cases: the other engine would fold letters beyond A-Z too."""
@@ -188,5 +219,6 @@ from t left join spans s using (doc_id) group by t.doc_id
 
 EXPECTED: dict[str, str] = {
     "op2_mix_sources": _MIX, "op4_license_scan": _license_sql(), "op10_minhash_near_dedup": _NEAR,
+    "op11_phrase_collocations": _PHRASES,
     "op12_secret_scan": _secret_sql(), "op13_filter_audit": _AUDIT,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tradewinds.llm import filteraudit, fingerprints, langid, licenses, linededup, mixing, neardup, packing, quality, secretscan, sharding, tokencount
+from tradewinds.llm import filteraudit, fingerprints, langid, licenses, linededup, mixing, neardup, packing, phrases, quality, secretscan, sharding, tokencount
 from tradewinds.llm.common import documents
 from tradewinds.llm.oracle import EXPECTED
 from tradewinds.operators.materialise import materialise
@@ -81,6 +81,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(documents(spark, folder), longest=4, least=30, percent=80, top=2000)
+
+
 @query
 def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secretscan.digest(materialise(secretscan.scan(documents(spark, folder))))
