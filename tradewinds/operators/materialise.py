@@ -58,6 +58,16 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that `materialise` wrote for this frame, which can then no longer be read."""
+    spark = df.sparkSession
+    written = _written.get(spark.sparkContext.applicationId, [])
+    names = {name.rsplit("/", 2)[-2] for name in df.inputFiles()}
+    for path in [p for p in written if p.rsplit("/", 1)[1] in names]:
+        _delete(spark, path)
+        written.remove(path)
+
+
 class Scope:
     """Deletes, at its end, the tables written inside it; `keep` those that the result still reads.
 
