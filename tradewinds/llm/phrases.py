@@ -27,16 +27,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewinds.llm.common import LOWER, UPPER, ship_package
-from tradewinds.operators.materialise import materialise
-
-RELATION = "lang string, n long, words array<binary>, gaps array<int>, ids array<int>, starts array<boolean>"
-_ARROW = pa.schema([
-    ("lang", pa.string()), ("n", pa.int64()), ("words", pa.list_(pa.binary())), ("gaps", pa.list_(pa.int32())),
-    ("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.bool_())),
-])
-_BLOCK_BYTES = 16 << 20  # text in one row of the first relation, but for a longer text
-_MOST_KEYS = 2 << 20  # keys that a task holds before it counts them
+from tradewinds.operators.materialise import discard, materialise
+
+# A row holds a block's words, one a line, and, packed, per occurrence: the gap before its place, its word's
+# number (both 32 bits) and whether a frequent phrase begins there (8 bits).
+RELATION = "lang string, n long, words binary, gaps binary, ids binary, starts binary"
+_ARROW = pa.schema([("lang", pa.string()), ("n", pa.int64()), *[(name, pa.binary()) for name in ("words", "gaps", "ids", "starts")]])
+_BLOCK_BYTES = 4 << 20  # text in one row of the first relation, but for a longer text
+_MOST_KEYS = 1 << 20  # keys that a task holds before it counts them
 _LEAST_BITS, _MOST_BITS = 16, 27  # logarithm of the size of the bit map: 16 MB at most
+_SLICES = 64  # of a language's phrases, ranked apart before they are ranked together
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"  # fixed: ends of pieces
 _PLAIN = bytes.maketrans(UPPER.encode() + _BREAKS + b"\t", LOWER.encode() + b"\n" * len(_BREAKS) + b" ")
 
@@ -56,17 +56,13 @@ def _block(lang: str, texts: list[bytes]) -> pa.RecordBatch:
     places = np.flatnonzero(~special[numbers]) if len(numbers) else np.zeros(0, dtype=np.int64)
     new = np.cumsum(~special) - 1
     ids = new[numbers[places]]
-    return _row(lang, len(ids), [w for w, s in zip(words, special) if not s], places, ids, np.ones(len(ids), dtype=bool))
+    return _row(lang, len(ids), [w for w, s in zip(words, special) if not s], places, ids, np.ones(len(ids)))
 
 
 def _row(lang: str, n: int, words: list[bytes], places: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
     gaps = np.diff(places, prepend=-1) - 1
-    arrays = [
-        pa.array([lang]), pa.array([n], pa.int64()), pa.array([words], _ARROW.field("words").type),
-        *[pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(values, kind))
-          for values, kind in ((gaps.astype(np.int32), pa.int32()), (ids.astype(np.int32), pa.int32()), (starts, pa.bool_()))],
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+    packed = [b"\n".join(words), *[values.astype(kind).tobytes() for values, kind in ((gaps, "<i4"), (ids, "<i4"), (starts, "u1"))]]
+    return pa.RecordBatch.from_arrays([pa.array([value], field.type) for value, field in zip([lang, n, *packed], _ARROW)], schema=_ARROW)
 
 
 def _occurrences(batches: Batches) -> Batches:
@@ -88,13 +84,13 @@ class _Block:
     """A row of the relation: places and word numbers, and which places begin a frequent phrase."""
 
     def __init__(self, row: dict, at: int):
-        def values(name: str) -> np.ndarray:
-            return row[name][at].values.to_numpy(zero_copy_only=False)
+        def values(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(row[name][at].as_buffer(), dtype=kind)
 
         self.lang, self.n = row["lang"][at].as_py(), row["n"][at].as_py()
-        self.words = row["words"][at].as_py()
-        self.ids, self.starts = values("ids"), values("starts").astype(bool)
-        self.places = np.cumsum(values("gaps").astype(np.int64) + 1) - 1
+        self.words = row["words"][at].as_py().split(b"\n")
+        self.ids, self.starts = values("ids", "<i4"), values("starts", "u1")
+        self.places = np.cumsum(values("gaps", "<i4"), dtype=np.int64) + np.arange(len(self.ids))
 
     def longer(self, size: int) -> np.ndarray:
         """Where phrases of `size` words may begin: merge join of the frequent ones at a place and at the next."""
@@ -115,14 +111,15 @@ class _Block:
             key ^= key >> np.uint64(29)
         return key * np.uint64(0xBF58476D1CE4E5B9)
 
-    def phrases(self, at: np.ndarray, size: int) -> tuple[list[bytes], np.ndarray]:
+    def phrases(self, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
         """Distinct phrases that begin there, by their words, and how often."""
         group = self.ids[at].astype(np.int64)
         for k in range(1, size):  # dense numbers, so pairs of them fit into 64 bits
             _, group = np.unique(group, return_inverse=True)
             group = group * len(self.words) + self.ids[at + k]
         _, first, counts = np.unique(group, return_index=True, return_counts=True)
-        return [b" ".join(self.words[i] for i in self.ids[p:p + size]) for p in at[first]], counts
+        words = pa.array(self.words, pa.binary())
+        return pc.binary_join_element_wise(*[words.take(pa.array(self.ids[at[first] + k])) for k in range(size)], b" "), counts
 
     def kept(self, at: np.ndarray, size: int) -> pa.RecordBatch:
         """The row with only the words of the phrases that begin there."""
@@ -130,8 +127,8 @@ class _Block:
         np.add.at(used, at, 1)
         np.add.at(used, at + size, -1)
         alive = np.flatnonzero(np.cumsum(used)[:-1])
-        starts = np.zeros(len(self.ids), dtype=bool)
-        starts[at] = True
+        starts = np.zeros(len(self.ids))
+        starts[at] = 1
         of_word, ids = np.unique(self.ids[alive], return_inverse=True)
         return _row(self.lang, self.n, [self.words[i] for i in of_word], self.places[alive], ids, starts[alive])
 
@@ -194,7 +191,7 @@ def _phrase_counts(size: int) -> Callable[[Batches], Batches]:
         for block in _blocks(batches):
             phrases, n = block.phrases(np.flatnonzero(block.starts), size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block.lang] * len(phrases)), pa.array(phrases, pa.binary()), pa.array(n.astype(np.int64))],
+                [pa.array([block.lang] * len(phrases)), phrases, pa.array(n.astype(np.int64))],
                 ["lang", "phrase", "n"],
             )
 
@@ -220,17 +217,21 @@ def frequent_phrases(docs: DataFrame, *, longest: int = 4, least: int = 30) -> t
     ship_package(spark)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     relation = materialise(texts.mapInArrow(_occurrences, RELATION))
-    totals = relation.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = materialise(relation.groupBy("lang").agg(F.sum("n").alias("n")))
     counts = None
     for size in range(1, longest + 1):
         groups = relation.mapInArrow(_group_counts(size), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        bits = spark.sparkContext.broadcast(_bit_map(materialise(groups.filter(F.col("n") >= least).select("key"))))
-        relation = materialise(relation.mapInArrow(_semi_join(size, bits), RELATION))
+        keys = materialise(groups.filter(F.col("n") >= least).select("key"))
+        bits = spark.sparkContext.broadcast(_bit_map(keys))
+        shorter, relation = relation, materialise(relation.mapInArrow(_semi_join(size, bits), RELATION))
+        for done in (shorter, keys):
+            discard(done)
         found = relation.mapInArrow(_phrase_counts(size), "lang string, phrase binary, n long")
         exact = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        of_size = exact.select("lang", F.col("phrase").cast("string").alias("phrase"), F.lit(size).alias("size"), "n")
+        of_size = materialise(exact.select("lang", F.col("phrase").cast("string").alias("phrase"), F.lit(size).alias("size"), "n"))
         counts = of_size if counts is None else counts.unionByName(of_size)
-    return materialise(counts), totals
+    discard(relation)
+    return counts, totals
 
 
 # ---- scores -------------------------------------------------------------------------------------
@@ -279,8 +280,10 @@ def collocations(docs: DataFrame, *, longest: int = 4, least: int = 30, percent:
     """lang, rank, phrase, a, l, r, n, score: each language's `top` phrases by score, count and phrase."""
     counts, totals = frequent_phrases(docs, longest=longest, least=least)
     kept = not_inside_longer(scored(counts), counts, percent=percent)
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    ranked = kept
+    for by in (["lang", F.pmod(F.xxhash64("phrase"), F.lit(_SLICES))], ["lang"]):  # a large language is cut down in slices first
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
