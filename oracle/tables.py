@@ -104,7 +104,7 @@ select cast(k as varchar) as order_id, 'c' || k as customer_id, status as order_
   case when status in ('delivered','shipped') then cast(p + to_days(cast(1 + k % 5 as integer)) as varchar) end
     as order_delivered_carrier_date,
   case when status = 'delivered' and k % 97 <> 0
-       then cast(p + to_days(cast(k * 31 % 45 as integer)) + to_seconds(cast(k * 613 % 86400 as integer)) as varchar) end
+       then cast(p + to_days(cast(4 * abs(month(p) - 6) + k * 31 % 11 as integer)) + to_seconds(cast(k * 613 % 86400 as integer)) as varchar) end
     as order_delivered_customer_date,
   cast(cast(cast(p as date) as timestamp) + to_days(cast(10 + k * 17 % 30 as integer)) as varchar)
     as order_estimated_delivery_date

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tradewinds.ml import score, train
@@ -130,7 +129,7 @@ def test_saved_model_scores_like_the_fitted_one(spark, tables, tmp_path):
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1, abs=1e-6)
 
     new = tables.features.select("order_id", "price", "freight_value", "product_category", "num_installments")
-    loaded = PipelineModel.load(f"{folder}/review_model")
+    loaded = artifacts.read_model(spark, folder, "review")
     one = score.score_reviews(new, trained.model).select("order_id", "probability_good").collect()
     two = score.score_reviews(new, loaded).select("order_id", "probability_good").collect()
     assert sorted(one) == sorted(two) and len(one) == new.count()

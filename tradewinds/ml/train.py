@@ -1,24 +1,25 @@
-"""Candidate models on MLlib, their choice, refit, importance and metrics."""
+"""Candidate models, their choice, refit, importance and metrics: linear ones of MLlib, trees of `trees`."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from uuid import uuid4
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds.ml import evaluate, features as ft
-from tradewinds.operators.materialise import materialise, prepare_checkpoints, run_folder
+from tradewinds.ml.trees import Ensemble, Settings, fit as fit_trees
+from tradewinds.operators.materialise import materialise, run_folder
 
 SEED = 42
-_LEAST_BINS = 32
-_ROWS_A_PART = 50_000  # trees read their rows once a level: few, full partitions
+_ROWS_A_PART = 50_000
 
 METRICS = T.StructType([
     T.StructField("best_model", T.StringType()),
@@ -51,42 +52,50 @@ DELIVERY = Task(ft.DELIVERY_FEATURES, ft.DELIVERY_LABELS, ft.DELIVERY_TARGET, "R
 REVIEW = Task(ft.REVIEW_FEATURES, ft.REVIEW_LABELS, ft.REVIEW_TARGET, "f1_macro", True)
 
 
+@dataclass(frozen=True)
+class Model:
+    """What prepares rows and what predicts from their features; `nodes` holds the trees as a table."""
+
+    stages: PipelineModel
+    last: object
+    nodes: DataFrame | None
+    name: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return predict(self.last, self.stages.transform(df))
+
+
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    model: Model
     metrics: DataFrame
     importance: DataFrame
     confusion: DataFrame | None
 
 
 def regressors(*, trees: int = 200, rounds: int = 300) -> dict[str, object]:
-    """Linear, forest and two boosted candidates; the second boosted one samples features too."""
-    common = {"seed": SEED, "maxMemoryInMB": 1024}
-    boosted = {**common, "maxIter": rounds, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8}
+    """Linear, forest and two boosted candidates; the second is of second order and samples features too."""
+    boosted = Settings(trees=rounds, depth=5, least_rows=10, boosting=True, rate=0.05, row_share=0.8, seed=SEED)
     return {
         "LinearRegression": LinearRegression(),
-        "RandomForestRegressor": RandomForestRegressor(
-            numTrees=trees, maxDepth=12, minInstancesPerNode=5, featureSubsetStrategy="all", **common
-        ),
-        "GradientBoostingRegressor": GBTRegressor(minInstancesPerNode=10, **boosted),
-        "FeatureSampledBoostingRegressor": GBTRegressor(
-            minInstancesPerNode=5, featureSubsetStrategy="0.8", **boosted
-        ),
+        "RandomForestRegressor": Settings(trees=trees, depth=12, least_rows=5, boosting=False, seed=SEED),
+        "GradientBoostingRegressor": boosted,
+        "FeatureSampledBoostingRegressor": replace(boosted, least_rows=5, second_order=True, l2=1.0, feature_share=0.8),
     }
 
 
 def classifiers(*, trees: int = 200, rounds: int = 300) -> dict[str, object]:
-    """Balanced logistic and forest, plain boosting, boosting with weighted positives."""
-    common = {"seed": SEED, "maxMemoryInMB": 1024}
-    boosted = {**common, "maxIter": rounds, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8}
+    """Balanced logistic and forest, plain boosting, second-order boosting with weighted positives."""
+    boosted = Settings(trees=rounds, depth=4, least_rows=10, boosting=True, logistic=True, rate=0.05, row_share=0.8, seed=SEED)
     return {
         "LogisticRegression": LogisticRegression(maxIter=1000, weightCol="balanced"),
-        "RandomForestClassifier": RandomForestClassifier(
-            numTrees=trees, maxDepth=12, minInstancesPerNode=5, weightCol="balanced", **common
+        "RandomForestClassifier": Settings(
+            trees=trees, depth=12, least_rows=5, boosting=False, logistic=True, features_a_node=True,
+            feature_share=len(REVIEW.features) ** -0.5, weight="balanced", seed=SEED,
         ),
-        "GradientBoostingClassifier": GBTClassifier(minInstancesPerNode=10, **boosted),
-        "WeightedBoostingClassifier": GBTClassifier(
-            minInstancesPerNode=5, featureSubsetStrategy="0.8", weightCol="positives", **boosted
+        "GradientBoostingClassifier": boosted,
+        "WeightedBoostingClassifier": replace(
+            boosted, least_rows=5, second_order=True, l2=1.0, feature_share=0.8, weight="positives"
         ),
     }
 
@@ -132,11 +141,10 @@ def preparation(train: DataFrame, task: Task) -> tuple[list, list[str]]:
     return stages, used
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, used: Sequence[str]) -> DataFrame:
-    """Importance per feature name: from the trees, or absolute coefficients made to add up to 1."""
-    last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        weights = last.featureImportances.toArray()
+def feature_importance(spark: SparkSession, last: object, used: Sequence[str]) -> DataFrame:
+    """Importance per feature name: gains of the trees, or absolute coefficients made to add up to 1."""
+    if isinstance(last, Ensemble):
+        weights = last.importance(len(used))
     else:
         size = np.abs(last.coefficients.toArray())
         weights = size / (size.sum() + 1e-9)
@@ -144,11 +152,17 @@ def feature_importance(spark: SparkSession, model: PipelineModel, used: Sequence
     return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.col("importance").desc(), "feature")
 
 
-def fit(estimator, prepared: DataFrame, bins: int):
+def predict(last: object, ready: DataFrame) -> DataFrame:
+    """Add `prediction`, and for classes `good`, the probability of class 1."""
+    scored = last.transform(ready)
+    if "probability" in scored.columns:
+        return scored.withColumn("good", vector_to_array("probability")[1]).drop("probability", "rawPrediction")
+    return scored
+
+
+def _fit_linear(estimator, prepared: DataFrame):
     """Fitted model. One that holds a training summary is saved and read back: the summary refers to
     the session, which executors cannot be sent."""
-    if estimator.hasParam("maxBins"):
-        estimator = estimator.copy({estimator.maxBins: bins})
     model = estimator.fit(prepared)
     if not getattr(model, "hasSummary", False):
         return model
@@ -157,18 +171,37 @@ def fit(estimator, prepared: DataFrame, bins: int):
     return type(model).load(path)
 
 
+def _class_weights(rows: DataFrame) -> dict[str, tuple[float, float]]:
+    """Weights of classes 0 and 1 under each name, 1 for a class without rows."""
+    names = [c for c in ("balanced", "positives") if c in rows.columns]
+    of_class = {r["label"]: r for r in rows.groupBy("label").agg(*[F.max(c).alias(c) for c in names]).collect()} if names else {}
+    return {name: tuple(of_class[c][name] if c in of_class else 1.0 for c in (0, 1)) for name in names}
+
+
 @dataclass(frozen=True)
 class Prepared:
-    """Rows made ready once for all candidates, what made them, and the bins that its labels need."""
+    """Rows made ready once for all candidates, and what made them."""
 
     stages: PipelineModel
     used: list[str]
     rows: DataFrame
-    bins: int
 
     def rest(self, df: DataFrame) -> DataFrame:
         return materialise(self.stages.transform(df))
 
+    def fit(self, candidates: dict[str, object]) -> tuple[dict[str, object], DataFrame | None]:
+        """Fitted models by name and the table of nodes of those made of trees, which are fitted together."""
+        weights = _class_weights(self.rows)
+        of_trees = {
+            name: replace(c, weight=weights[c.weight]) if c.weight else c for name, c in candidates.items() if isinstance(c, Settings)
+        }
+        nodes = fit_trees(self.rows, len(self.used), of_trees) if of_trees else None
+        models = {name: Ensemble.read(nodes, name, settings) for name, settings in of_trees.items()}
+        for name, estimator in candidates.items():
+            if name not in models:
+                models[name] = _fit_linear(estimator, self.rows)
+        return models, nodes
+
 
 def prepare(df: DataFrame, task: Task) -> Prepared:
     stages, used = preparation(df, task)
@@ -176,8 +209,7 @@ def prepare(df: DataFrame, task: Task) -> Prepared:
     weights = [c for c in ("balanced", "positives") if c in df.columns]
     ready = fitted.transform(df).select("label", "features", *weights)
     parts = max(1, -(-df.count() // _ROWS_A_PART))
-    labels = max((len(names) for names in fitted.stages[1].labelsArray), default=0)
-    return Prepared(fitted, used, materialise(ready.repartition(parts)), max(_LEAST_BINS, labels + 1))
+    return Prepared(fitted, used, materialise(ready.repartition(parts)))
 
 
 def evaluate_candidates(
@@ -187,14 +219,8 @@ def evaluate_candidates(
     measure = evaluate.classification_metrics if task.greater_is_better else evaluate.regression_metrics
     prepared = prepare(train, task)
     rest = prepared.rest(test)
-    fitted, results = {}, {}
-    rows = prepared.rows.persist()
-    try:
-        for name, estimator in candidates.items():
-            fitted[name] = fit(estimator, rows, prepared.bins)
-            results[name] = measure(fitted[name].transform(rest)).first().asDict()  # one row of metrics
-    finally:
-        rows.unpersist()
+    fitted, _ = prepared.fit(candidates)
+    results = {name: measure(predict(fitted[name], rest)).first().asDict() for name in candidates}  # one row of metrics each
     return fitted, results, rest
 
 
@@ -206,7 +232,6 @@ def best_candidate(results: dict[str, dict[str, float]], task: Task) -> str:
 def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Trained:
     """Measure the candidates on a held-out fifth, then fit the best one anew on all rows."""
     spark = df.sparkSession
-    prepare_checkpoints(spark)
     stratify = "label" if task.greater_is_better else None
     marked = materialise(evaluate.split(df, seed=SEED, stratify=stratify))
     train_rows, test_rows = marked.filter("not is_test"), marked.filter("is_test")
@@ -214,13 +239,12 @@ def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Traine
         train_rows, test_rows = with_class_weights(train_rows), test_rows
     fitted, results, rest = evaluate_candidates(train_rows, test_rows, task, candidates)
     best = best_candidate(results, task)
-    confusion = evaluate.confusion_matrix(fitted[best].transform(rest)) if task.greater_is_better else None
+    confusion = evaluate.confusion_matrix(predict(fitted[best], rest)) if task.greater_is_better else None
 
     everything = with_class_weights(marked) if task.greater_is_better else marked
     prepared = prepare(everything, task)
-    used = prepared.used
-    final = PipelineModel([*prepared.stages.stages, fit(candidates[best], prepared.rows.persist(), prepared.bins)])
-    prepared.rows.unpersist()
+    models, nodes = prepared.fit({best: candidates[best]})
+    final = Model(prepared.stages, models[best], nodes, best)
 
     sizes = marked.agg(F.count_if(~F.col("is_test")).alias("a"), F.count_if("is_test").alias("b")).first()
     cells = [[r["predicted_0"], r["predicted_1"]] for r in confusion.orderBy("actual").collect()] if confusion else None
@@ -229,7 +253,7 @@ def train(df: DataFrame, *, task: Task, candidates: dict[str, object]) -> Traine
         sizes["a"], sizes["b"], task.target, list(task.features),
     )
     metrics = spark.createDataFrame([row], METRICS)
-    return Trained(final, metrics, feature_importance(spark, final, used), confusion)
+    return Trained(final, metrics, feature_importance(spark, final.last, prepared.used), confusion)
 
 
 def train_delivery(features: DataFrame, *, trees: int = 200, rounds: int = 300) -> Trained:

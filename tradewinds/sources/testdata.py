@@ -49,7 +49,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
                END AS order_delivered_carrier_date""",
             """CASE WHEN status = 'delivered' AND k % 97 <> 0
                     THEN CAST(timestampadd(SECOND, CAST(k * 613 % 86400 AS INT),
-                              timestampadd(DAY, CAST(k * 31 % 45 AS INT), p)) AS STRING)
+                              timestampadd(DAY, CAST(4 * abs(month(p) - 6) + k * 31 % 11 AS INT), p)) AS STRING)
                END AS order_delivered_customer_date""",
             """CAST(timestampadd(DAY, CAST(10 + k * 17 % 30 AS INT),
                     CAST(CAST(p AS DATE) AS TIMESTAMP_NTZ)) AS STRING) AS order_estimated_delivery_date""",
