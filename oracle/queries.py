@@ -26,6 +26,45 @@ def _counts(tables: dict[str, str]) -> str:
 
 
 # raw text columns come back unchanged; integers are widened, money is a double
+_LISTS = {
+    "status": "'delivered', 'shipped', 'canceled', 'invoiced', 'processing', 'approved'",
+    "any status": "'delivered', 'shipped', 'canceled', 'invoiced', 'processing', 'approved', 'unavailable', 'created'",
+    "region": "'Southeast', 'South', 'Northeast', 'North', 'Central-West', 'Unknown'", "score": "1, 2, 3, 4, 5",
+}
+# table: (columns that are unique and present, present, with listed values); staging renames one tested column
+_TESTED = {
+    "source.orders": ("silver_orders", "order_id", "customer_id", "order_status:any status"),
+    "source.customers": ("silver_customers", "customer_id", "customer_unique_id", ""),
+    "source.products": ("silver_products", "product_id", "", ""), "source.sellers": ("silver_sellers", "seller_id", "", ""),
+    "source.payments": ("silver_payments", "order_id", "total_payment", ""), "source.reviews": ("silver_reviews", "review_id order_id", "", ""),
+    "staging.orders": ("silver_orders", "order_id", "customer_id", ""),
+    "staging.customers": ("silver_customers", "customer_id", "customer_unique_id", ""),
+    "staging.products": ("silver_products", "product_id", "", ""), "staging.sellers": ("silver_sellers", "seller_id", "", ""),
+    "staging.payments": ("(select *, total_payment as payment_amount from silver_payments)", "order_id", "payment_amount", ""),
+    "staging.reviews": ("silver_reviews", "review_id order_id", "", "review_score:score"),
+    "gold.fact_orders": ("fact_orders", "order_key order_id", "customer_key date_key payment_amount", "order_status:status"),
+    "gold.dim_customers": ("dim_customers", "customer_key customer_id", "customer_unique_id", "customer_region:region"),
+    "gold.dim_sellers": ("dim_sellers", "seller_key seller_id", "", ""), "gold.dim_products": ("dim_products", "product_key product_id", "", ""),
+    "gold.dim_dates": ("dim_dates", "date_key full_date", "", ""), "gold.dim_payment": ("dim_payment", "payment_key", "", ""),
+}
+_TESTED_RAW = {
+    "source.orders": ("raw_orders", "order_id", "customer_id", "order_status:any status"), "source.products": ("raw_products", "product_id", "", ""),
+    "source.reviews": ("raw_reviews", "review_id order_id", "", ""),
+}
+
+
+def _declared(tested: dict[str, tuple[str, str, str, str]]) -> str:
+    parts = []
+    for name, (rows, keys, present, listed) in tested.items():
+        checks = [(c, "unique", f"(select {c} from {rows} where {c} is not null group by 1 having count(*) > 1)") for c in keys.split()]
+        checks += [(c, "not_null", f"(select 1 from {rows} where {c} is null)") for c in f"{keys} {present}".split()]
+        if listed:
+            column, values = listed.split(":")
+            checks.append((column, "accepted_values", f"(select 1 from {rows} where {column} not in ({_LISTS[values]}))"))
+        parts += [f"""select '{name}' as "table", '{c}' as "column", '{test}' as test, (select count(*) from {bad}) as failing""" for c, test, bad in checks]
+    return " union all ".join(parts)
+
+
 _PAYMENTS = "order_id, payment_sequential, payment_type, payment_installments, cast(payment_value as double) as payment_value"
 _ITEMS = "order_id, order_item_id, product_id, seller_id, shipping_limit_date, cast(price as double) as price, cast(freight_value as double) as freight_value"
 
@@ -202,12 +241,14 @@ EXPECTED: dict[str, str] = {
         count(*) filter (order_approved_at is not null and try_cast(order_approved_at as timestamp) is null) as order_approved_at
         from raw_orders""",
     "v7_validation_reports": _validation_sql(),
-    "v8_gate": f"""select file_name, case when file_name = 'geolocation' then 'CRITICAL' else status end as status
+    "v8_gate": f"""select file_name, case when file_name = 'geolocation' then 'CRITICAL' else status end as status, true as stops
         from ({_validation_sql()}) where status <> 'PASS' or file_name = 'geolocation'""",
     "v9_unique": "select product_id, count(*) as n_records from raw_products group by 1 having count(*) > 1",
     "v10_not_null": f"select {_ITEMS} from raw_items where product_id is null",
     "v11_accepted_values": """select order_status as value_field, count(*) as n_records from raw_orders
         where order_status not in ('delivered','shipped','canceled','invoiced','processing','approved') group by 1""",
+    "v11_declared_tests": _declared(_TESTED),
+    "v11_declared_tests_of_raw": f"""select *, max(failing) over (partition by "table") > 0 as stops from ({_declared(_TESTED_RAW)})""",
     "v12_negative_delivery_days": f"select order_id, delivery_days from ({_MEASURES}) where delivery_days < 0",
     "v13_negative_payments": "select order_id, cast(payment_amount as double) as payment_amount from fact_orders where payment_amount < 0",
     "v14_silver_checks": " union all ".join(

@@ -14,7 +14,7 @@ from tradewinds.ml import evaluate, features as ft, score, train
 from tradewinds.operators import quality, relational as rel
 from tradewinds.operators.materialise import materialise, run_folder
 from tradewinds.operators.ordered import join_ranks, value_ranks
-from tradewinds.plans import cohort, dashboard as dash, gold, revenue, rfm, sellers, silver
+from tradewinds.plans import cohort, dashboard as dash, declared, gold, revenue, rfm, sellers, silver
 from tradewinds.plans.warehouse import Warehouse
 from tradewinds.sources import artifacts, csv_tables, tables
 from tradewinds.sources.testdata import raw_tables
@@ -59,6 +59,18 @@ class Context(Warehouse):
     def dim_dates(self) -> DataFrame:
         return gold.dim_dates(self.spark, *self.bought_days())
 
+    def tested_tables(self) -> dict[str, DataFrame]:
+        cleaned = {name: table for name, table in self.silver_tables().items() if name in gold.STAGING}
+        star = {
+            "fact_orders": self.fact_orders(), "dim_customers": self.dim_customers(), "dim_sellers": self.dim_sellers(),
+            "dim_products": self.dim_products(), "dim_dates": self.dim_dates(), "dim_payment": self.dim_payment(),
+        }
+        return {
+            **{f"source.{name}": table for name, table in cleaned.items()},
+            **{f"staging.{name}": gold.stage(table, name) for name, table in cleaned.items()},
+            **{f"gold.{name}": table for name, table in star.items()},
+        }
+
     def overview(self) -> DataFrame:
         return dash.overview_orders(self.enriched())
 
@@ -299,8 +311,15 @@ def v7_validation_reports(c):
 
 @query
 def v8_gate(c):
+    """What the lenient gate lets through by name, and whether the strict one stops the run."""
     reports = quality.validate_all(c.spark, {**c.raw, "geolocation": None})
-    return reports.filter("status <> 'PASS'").select("file_name", "status")
+    flagged = quality.gate(reports, strict=False)
+    try:
+        quality.gate(reports)
+        stops = False
+    except quality.CriticalTables:
+        stops = True
+    return reports.filter(F.col("file_name").isin(*flagged)).select("file_name", "status", F.lit(stops).alias("stops"))
 
 
 @query
@@ -318,6 +337,21 @@ def v11_accepted_values(c):
     return quality.unaccepted_values(c.raw["orders"], "order_status", schemas.FACT_STATUSES)
 
 
+@query
+def v11_declared_tests(c):
+    """All declared tests of sources, staging and star schema."""
+    return declared.run_tests(c.tested_tables())
+
+
+@query
+def v11_declared_tests_of_raw(c):
+    """The sources' tests on tables before they are cleaned, where some fail."""
+    raw = {"source.orders": c.raw["orders"], "source.products": c.raw["products"], "source.reviews": c.raw["order_reviews"]}
+    results = declared.run_tests(raw, {name: declared.DECLARED[name] for name in raw})
+    failed = declared.stop_on_failures(results, strict=False)
+    return results.withColumn("stops", F.col("table").isin(*failed))
+
+
 @query
 def v12_negative_delivery_days(c):
     orders = silver.with_delivery_metrics(silver.typed_orders(c.raw["orders"]))
