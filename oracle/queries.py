@@ -456,7 +456,11 @@ EXPECTED: dict[str, str] = {
         round(seller_avg_review, 8) as seller_avg_review from features""",
     "w13_first_items": """select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value) from first_items""",
     # order, limit, sampling
-    "l1_report_order": "select customer_unique_id, rfm_total, cast(monetary as double) as monetary from rfm_full order by rfm_total desc, monetary desc, customer_unique_id",
+    "l1_report_order": "select customer_unique_id, rfm_total, cast(monetary as double) as monetary, row_number() over (order by rfm_total desc, monetary desc, customer_unique_id) - 1 as place from rfm_full",
+    "l1_cohort_order": """select cohort_label, months_since_first_order, row_number() over (order by cohort_label, months_since_first_order) - 1 as place
+        from retention where months_since_first_order <= 12""",
+    "l1_trend_order": "select strftime(period_start, '%Y-%m') as year_month, row_number() over (order by period_start) - 1 as place from growth",
+    "l1_scorecard_order": "select seller_id, reliability_rank, row_number() over (order by reliability_rank, seller_id) - 1 as place from seller_card",
     "l2_top_customer_states": "select customer_state, cast(revenue as double) as revenue from customer_states order by revenue desc, customer_state limit 10",
     "l2_top_seller_states": "select * replace (cast(revenue as double) as revenue) from seller_states order by order_count desc, seller_state limit 10",
     "l3_top_sellers": f"""select seller_id, seller_state, order_count, {half_even('revenue', '1', 0)} as revenue,

@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tradewinds.plans import cohort, dashboard as dash, gold, revenue, rfm, sellers, silver
+from tradewinds.operators.ordered import places
+from tradewinds.operators.quality import CriticalTables
+from tradewinds.plans import cohort, dashboard as dash, declared, gold, revenue, rfm, sellers, silver
 from tradewinds.ml import features as ft
 
 
@@ -61,3 +64,36 @@ def test_report_reads_only_its_columns(tables):
     schema = scan.split("ReadSchema:")[1]
     assert "payment_amount" in schema and "approved_at" not in schema and "payment_key" not in schema
     assert "IsNotNull(order_status)" in scan or "order_status" in scan.split("PushedFilters")[1]
+
+
+def test_years_reach_the_scan(spark, tables):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(dash.orders_of_years(tables.enriched(), [1996, 1998]))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in text.splitlines() if "PushedFilters" in line)
+    pushed = scan.split("PushedFilters:")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual" in pushed and "LessThan" in pushed
+
+
+def test_all_declared_tests_of_a_table_share_one_scan_and_shuffle(tables):
+    text = plan(declared.table_tests(tables.fact_orders(), declared.DECLARED["gold.fact_orders"]))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1 and "partial_count" in text
+
+
+def test_declared_tests_stop_a_strict_run(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", None), (None, "z"), (None, "x")], "k string, v string")
+    results = declared.run_tests({"t": rows}, {"t": {"k": declared.KEY, "v": [["x", "y"]]}})
+    assert sorted(map(tuple, results.collect())) == [("t", "k", "not_null", 2), ("t", "k", "unique", 1), ("t", "v", "accepted_values", 1)]
+    assert declared.stop_on_failures(results, strict=False) == ["t"]
+    with pytest.raises(CriticalTables):
+        declared.stop_on_failures(results)
+    nothing = declared.run_tests({"t": rows.limit(0)}, {"t": {"k": declared.KEY}})
+    assert [r.failing for r in nothing.collect()] == [0, 0] and declared.stop_on_failures(nothing) == []
+
+
+def test_places_follow_the_frame(spark):
+    frame = spark.range(0, 1000, 1, 7).withColumn("v", F.xxhash64("id"))
+    for order in (F.col("v").asc(), F.col("v").desc()):
+        placed = places(frame.orderBy(order)).orderBy("place").collect()
+        assert [r.place for r in placed] == list(range(1000))
+        assert [r.id for r in placed] == [r.id for r in frame.orderBy(order).collect()]

@@ -19,9 +19,9 @@ _PLACE_BITS = 33  # monotonically_increasing_id keeps the row number in its low
 
 
 def _slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Written copy of the frame in the given total order, with slice number and place in it."""
+    """Written copy of the frame in the given total order, or the one it has, with slice number and place in it."""
     row = F.monotonically_increasing_id()
-    tagged = df.orderBy(*order).withColumn("_row", row)
+    tagged = (df.orderBy(*order) if order else df).withColumn("_row", row)
     return materialise(
         tagged.withColumn("_slice", F.shiftright("_row", _PLACE_BITS))
         .withColumn("_at", F.col("_row").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
@@ -112,6 +112,11 @@ def positions(
     return placed.select(*df.columns, place.alias(name), F.col("_count").alias(f"{name}_count"))
 
 
+def places(df: DataFrame, *, name: str = "place") -> DataFrame:
+    """Number the rows, from 0, in the order the frame has: that of a report that ends in a sort."""
+    return positions(df, [], name=name).drop(f"{name}_count")
+
+
 def _common_type(df: DataFrame) -> T.DataType:
     """Type that holds the values of all columns unchanged; the cast fails on more than 38 digits."""
     types = [field.dataType for field in df.schema]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -99,8 +101,13 @@ def overview_orders(
 
 
 def orders_of_years(df: DataFrame, years: Sequence[int] = ()) -> DataFrame:
+    """Years as ranges of time, which reach the scan; a year taken from the time would not."""
     df = bought(df)
-    return df.filter(F.year(BOUGHT).isin(*years)) if years else df
+    ranges = [
+        (F.col(BOUGHT) >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz"))
+        & (F.col(BOUGHT) < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")) for year in years
+    ]
+    return df.filter(reduce(or_, ranges)) if ranges else df
 
 
 def seller_orders(df: DataFrame, states: Sequence[str] = ()) -> DataFrame:

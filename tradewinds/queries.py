@@ -13,7 +13,7 @@ from tradewinds import functions as fn, schemas
 from tradewinds.ml import evaluate, features as ft, score, train
 from tradewinds.operators import quality, relational as rel
 from tradewinds.operators.materialise import materialise, run_folder
-from tradewinds.operators.ordered import join_ranks, value_ranks
+from tradewinds.operators.ordered import join_ranks, places, value_ranks
 from tradewinds.plans import cohort, dashboard as dash, declared, gold, revenue, rfm, sellers, silver
 from tradewinds.plans.warehouse import Warehouse
 from tradewinds.sources import artifacts, csv_tables, tables
@@ -1070,7 +1070,24 @@ def w13_first_items(c):
 
 @query
 def l1_report_order(c):
-    return c.rfm.select("customer_unique_id", "rfm_total", "monetary")
+    """Places are read off the report as it is sorted, so another sort would show."""
+    return places(c.rfm).select("customer_unique_id", "rfm_total", "monetary", "place")
+
+
+@query
+def l1_cohort_order(c):
+    report = cohort.cohort_retention(c.fact_orders(), c.dim_customers())
+    return places(report).select("cohort_label", "months_since_first_order", "place")
+
+
+@query
+def l1_trend_order(c):
+    return places(revenue.monthly_trend(c.fact_orders())).select("year_month", "place")
+
+
+@query
+def l1_scorecard_order(c):
+    return places(c.card).select("seller_id", "reliability_rank", "place")
 
 
 @query
