@@ -164,6 +164,53 @@ def test_rounds_end_with_all_pairs_of_what_is_left(spark, monkeypatch):
     assert {d: got[ids[d]] for d, _ in rows} == brute_components(rows, 3, 85)
 
 
+def template_texts(draw, n, slots=40, choices=2, fixed=160):
+    """Texts of one template whose slots hold one of a few words: most pairs share bands, few are linked."""
+    frames = [f"t{i}" for i in range(fixed)]
+    return [" ".join(
+        w if i % (fixed // slots) else f"{w} s{draw.randrange(choices)}x{i}" for i, w in enumerate(frames)
+    ) for _ in range(n)]
+
+
+@pytest.mark.parametrize("choices", [2, 30])
+def test_prefix_join_against_all_pairs(spark, monkeypatch, choices):
+    """Everything that is left goes through the prefix join, at the first turn and after rounds with centres."""
+    draw = random.Random(choices)
+    base = [f"w{draw.randint(0, 300)}" for _ in range(90)]
+    rows = list(enumerate(template_texts(draw, 30, slots=10, choices=choices)))
+    rows += [(100 + i, " ".join(edited(base[:draw.randint(70, 90)], draw, draw.choice([0, 0.01, 0.03])))) for i in range(40)]
+    rows += [(200, "one word"), (201, "ONE  word"), (202, ""), (203, None)]
+    monkeypatch.setattr(neardup, "_FEW", -1)
+    for rounds in (0, 1):
+        monkeypatch.setattr(neardup, "_ROUNDS", rounds)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, rows), words=3, percent=85).collect()}
+        assert got == brute_components(rows, 3, 85)
+
+
+def test_texts_of_one_template_are_not_compared_in_all_pairs(spark, monkeypatch):
+    """Near misses of one template: twice the texts make about twice the pairs, not four times."""
+    compared, confirm = [], neardup.confirm
+
+    def counted(pairs, texts, **how):
+        compared[-1] += pairs.count()
+        return confirm(pairs, texts, **how)
+
+    monkeypatch.setattr(neardup, "confirm", counted)
+    for n in (200, 400):
+        rows = list(enumerate(template_texts(random.Random(n), n, slots=16, choices=n // 4)))
+        compared.append(0)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, rows), words=3, percent=85).collect()}
+        assert got == brute_components(rows, 3, 85)
+    assert compared[0] < 200 * 199 / 8 and compared[1] < 3 * compared[0]
+
+
+def test_join_unique_deals_a_hot_key(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("key"), F.col("id").alias("by"))
+    unique = rows.select("key").distinct().withColumn("m", F.col("key") * 2)
+    got = neardup.join_unique(rows, unique, "key", "by", 30)
+    assert sorted(map(tuple, got.select("key", "by", "m").collect())) == sorted((1 if i < 900 else i, i, 2 if i < 900 else 2 * i) for i in range(1000))
+
+
 def test_connected_components(spark):
     draw = random.Random(9)
     edges = [(draw.randint(0, 400), draw.randint(0, 400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2200)]

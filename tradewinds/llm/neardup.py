@@ -9,9 +9,14 @@ Documents with equal shingle sets are one class from the start. Shingles that no
 bound what a class can share: one with too many of its own is dropped, exactly, before any pair is
 made. Pairs inside a bucket are not listed. In a round every class outside a bucket's largest
 component meets one centre from it, confirmed links become components, and only buckets that still
-hold several components go on. When what is left is small, or a round joined little, the remaining
-pairs of different components are confirmed. A pair inside one component needs no check, so no link
-that could join two components is left out, while groups of copies cost a few pairs per member.
+hold several components go on. When what is left is small, the remaining pairs of different components are
+confirmed. When much is left and a round joined little, as with many texts of one template just below the
+threshold, pairs are made by a positional prefix join instead: only classes that share one of their
+rarest shingles meet. A pair inside one component needs no check, so no link that could join two
+components is left out, while groups of copies cost a few pairs per member.
+
+One node, class or component may hold a third of all rows. `join_unique` sends the one row that such a
+key has to each of about sqrt(rows) slices of the key, so that neither side piles up in one task.
 
 Defined cases: documents without words, and null texts, have an empty set and are linked with
 nothing; with fewer words than a shingle has, the sequence is one shingle; a null id never names a
@@ -30,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tradewinds.llm.common import ship_package, text_of
 from tradewinds.operators.materialise import Scope, materialise
@@ -40,7 +45,7 @@ _ROWS = 6  # coordinates a band
 _REMEMBERED = 500_000
 _BLOCK = 2048  # shingles whose signatures are gathered at once
 _CHUNK = 64  # pairs of one centre that a task reads in a row
-_ROUNDS = 4  # with centres; what they leave is then compared pair by pair
+_ROUNDS = 4  # with centres; what they leave is then compared in pairs
 _FEW, _POOR = 8, 10  # earlier, if few pairs a member are left or fewer than a tenth of the last ones were links
 
 
@@ -170,13 +175,28 @@ def confirm(pairs: DataFrame, texts: DataFrame, *, words: int, percent: int) ->
     return ordered.mapInArrow(compare, "a binary, b binary, both long, linked boolean")
 
 
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, by: str, slices: int) -> DataFrame:
+    """Inner join of rows, many of which may have one key, with a table that has one row per key.
+
+    A key's rows are dealt into slices by the hash of column `by`; the table's row goes to the slices in use.
+    """
+    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)))
+    used = dealt.select(key, "_slice").distinct().join(unique, key)
+    return dealt.join(used, [key, "_slice"]).drop("_slice")
+
+
+def _slices(rows: int) -> int:
+    """So many that a key with all rows has as many slices as a slice has rows."""
+    return math.isqrt(rows) + 1
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root, the least node of its component, by alternating large and small stars. Written."""
     def star(edges: DataFrame, *, large: bool) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both if large else both.filter("v < u")
         least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        joined = near.join(least, "u")
+        joined = join_unique(near, least, "u", "v", slices)
         if large:
             out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
@@ -185,8 +205,9 @@ def components(links: DataFrame) -> DataFrame:
 
     with Scope(links.sparkSession) as scope:
         edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+        slices = _slices(2 * edges.count())
         while True:
-            edges = materialise(star(star(edges, large=True), large=False))
+            edges = materialise(star(materialise(star(edges, large=True)), large=False))
             # done when it is a forest of stars: every node has one centre, and no centre has one
             ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("centre"))
             centres = edges.select(F.col("v").alias("x"), F.lit(0).alias("n"), F.lit(1).alias("centre"))
@@ -203,15 +224,20 @@ def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(named, "set_id", "left").withColumn("label", F.coalesce("root", "set_id")).drop("root")
 
 
-def own_shingles(texts: DataFrame, *, words: int) -> DataFrame:
-    """set_id and own, the shingles that no other class has. `texts` has set_id, text and a number."""
+def _shingles(texts: DataFrame, *, words: int) -> DataFrame:
+    """number and shingle, one row per shingle of a class."""
     def lists(batches):
         for batch in batches:
             found = [shingle_set(text, words).view(np.int64) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["number", "shingles"])
 
     sets = texts.select("number", "text").mapInArrow(lists, "number long, shingles array<long>")
-    holders = sets.select("number", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+    return sets.select("number", F.explode("shingles").alias("shingle"))
+
+
+def own_shingles(texts: DataFrame, *, words: int) -> DataFrame:
+    """set_id and own, the shingles that no other class has. `texts` has set_id, text and a number."""
+    holders = _shingles(texts, words=words).groupBy("shingle").agg(
         F.count(F.lit(1)).alias("n"), F.min("number").alias("number")
     )
     own = holders.filter("n = 1").groupBy("number").agg(F.count(F.lit(1)).alias("own"))
@@ -226,6 +252,36 @@ def _possible(percent: int, n: Column, own: Column, other: Column) -> Column:
     return (100 + percent) * (n - own) >= percent * (n + other)
 
 
+def prefix_pairs(members: DataFrame, texts: DataFrame, *, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes with different labels that can be linked, by a positional prefix join.
+
+    `members` has set_id, label and n, `texts` has set_id, text and number, one row per class each.
+
+    The shingles of a class are ranked, those with the fewest holders first. Linked sets of n <= m shingles
+    share one of the first floor(n (100 - percent) / (100 + percent)) + 1 of the smaller and the first
+    floor(m (100 - percent) / 100) + 1 of the larger. Shingles without another holder come first and
+    take up places, but no rows.
+    """
+    classes = texts.select("set_id", "number").join(members, "set_id")
+    rows = materialise(_shingles(texts.join(members.select("set_id"), "set_id", "left_semi"), words=words))
+    holders = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = join_unique(rows, holders, "shingle", "number", _slices(rows.count()))
+    of_class = Window.partitionBy("number")
+    ranked = shared.select(
+        "number", "shingle", F.row_number().over(of_class.orderBy("holders", "shingle")).alias("k"), F.count(F.lit(1)).over(of_class).alias("shared")
+    )
+    placed = ranked.join(classes, "number").withColumn("place", F.col("n") - F.col("shared") + F.col("k"))
+    postings = materialise(placed.filter(100 * (F.col("place") - 1) <= (100 - percent) * F.col("n")).select("shingle", "set_id", "label", "n", "place"))
+    left, right = (postings.select("shingle", *[F.col(c).alias(f"{new}{side}") for c, new in (
+        ("set_id", ""), ("label", "l"), ("n", "n"), ("place", "p"))]) for side in "ab")
+    left = left.filter((100 + percent) * (F.col("pa") - 1) <= (100 - percent) * F.col("na"))
+    na, nb = F.col("na"), F.col("nb")
+    smaller = (na < nb) | (na == nb) & (F.col("a") < F.col("b"))
+    most = 1 + F.least(na - F.col("pa"), nb - F.col("pb"))  # shared from the first shared shingle on
+    possible = (100 * na >= percent * nb) & ((100 + percent) * most >= percent * (na + nb))
+    return left.join(right, (left["shingle"] == right["shingle"]) & (F.col("la") != F.col("lb")) & smaller & possible).select("a", "b")
+
+
 def linked_classes(classes: DataFrame, texts_of, *, words: int, percent: int) -> DataFrame | None:
     """node and root of linked classes, written; null if there is no link.
 
@@ -265,10 +321,14 @@ def linked_classes(classes: DataFrame, texts_of, *, words: int, percent: int) ->
         size = unsettled.agg(F.sum("many"), F.sum((F.col("many") * F.col("many") - F.col("squares")) / 2)).first()
         if not size[0]:
             break
-        last = turn == _ROUNDS or poor or size[1] <= _FEW * size[0]
+        few = size[1] <= _FEW * size[0]
+        last = turn == _ROUNDS or poor or few
         inside = materialise(rows.join(unsettled.drop("many", "squares"), "bucket"))
         members = inside.select("bucket", "set_id", "n", "own")  # only these go on
-        if last:
+        if last and not few:
+            apart = materialise(inside.groupBy("set_id").agg(F.first("label").alias("label"), F.first("n").alias("n")))
+            pairs = prefix_pairs(apart, texts, words=words, percent=percent)
+        elif last:
             # every pair of two components that some bucket holds
             apart = materialise(_with_distance(inside.drop("a", "na", "owna"), first))
             left, right = (apart.select("bucket", *[F.col(c).alias(f"{new}{side}") for c, new in (
@@ -341,12 +401,16 @@ def _found(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
         roots = linked_classes(classes, texts_of, words=words, percent=percent)
         named = _labelled(classes.select("set_id", "one"), roots)
         least = named.groupBy("label").agg(F.min("one").alias("first"))
-        ids = scope.keep(materialise(named.join(least, "label").select(
+        slices = _slices(rows.count())
+        ids = scope.keep(materialise(join_unique(named, least, "label", "set_id", slices).select(
             "set_id", F.col("first.doc_id").alias("component_id"), F.col("first.text_hash").alias("first_hash")
         )))
-    joined = rows.drop("bands").join(ids, "set_id", "left")
-    joined = joined.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return joined.select("doc_id", "text_hash", "n_shingles", "component_id", "first_hash")
+    narrow = rows.drop("bands")
+    found = join_unique(narrow.filter("n_shingles > 0").withColumn("row", F.struct("doc_id", "text_hash")), ids, "set_id", "row", slices)
+    empty = narrow.filter("n_shingles = 0").select(
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("first_hash")
+    )
+    return found.select(*empty.columns).unionByName(empty)
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
