@@ -205,8 +205,12 @@ EXPECTED: dict[str, str] = {
     "s2_payments_csv": f"select {_PAYMENTS} from raw_payments",
     "s3_reviews_csv": """select * replace ('he said "' || review_comment_message || '",' || chr(10) || 'then left' as review_comment_message)
         from raw_reviews""",
+    "s3_reviews_split": """select * replace ('he said "' || review_comment_message || '",' || chr(10) || chr(10) || 'then left' as review_comment_message)
+        from raw_reviews""",
     "s4_write_silver": "select * from silver_customers",
     "s5_silver_scan": _counts(_SILVER),
+    "s5_saved_sellers": "select * from silver_sellers",
+    "s6_landed_sellers": "select raw_sellers.*, run_date from raw_sellers, (values (date '2024-01-01'), (date '2024-01-02')) as days(run_date)",
     "s6_land_snapshot": _counts({**_RAW, "orders of the day": "raw_orders"}),
     "s7_latest_snapshot": "select *, date '2024-01-02' as run_date from raw_sellers",
     "s8_load_table": """select order_id as ORDER_ID, customer_id as CUSTOMER_ID, order_status as ORDER_STATUS,
@@ -251,6 +255,7 @@ EXPECTED: dict[str, str] = {
     "v11_declared_tests_of_raw": f"""select *, max(failing) over (partition by "table") > 0 as stops from ({_declared(_TESTED_RAW)})""",
     "v12_negative_delivery_days": f"select order_id, delivery_days from ({_MEASURES}) where delivery_days < 0",
     "v13_negative_payments": "select order_id, cast(payment_amount as double) as payment_amount from fact_orders where payment_amount < 0",
+    "v13_negative_after_refund": "select order_id, cast(payment_amount - 50000 as double) as payment_amount from fact_orders where payment_amount < 50000",
     "v14_silver_checks": " union all ".join(
         f"select '{name}' as \"check\", count(*) as failing_rows from ({rows})" for name, rows in _SILVER_CHECKS.items()
     ),

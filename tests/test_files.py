@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tradewinds.ml import score, train
 from tradewinds.operators.quality import CriticalTables
 from tradewinds.plans.run import run_snapshot
 from tradewinds.schemas import RAW
-from tradewinds.sources import artifacts, csv_tables, tables as saved
+from tradewinds.sources import artifacts, csv_tables, quoted_csv, tables as saved
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +142,44 @@ def test_feature_without_any_value_is_left_out_by_name(spark, tables):
     rows = ft.delivery_training(tables.features).withColumn("distance_km", F.lit(None).cast("double"))
     _, used = train.preparation(rows, train.DELIVERY)
     assert "distance_km" not in used and len(used) == 14
+
+
+@pytest.mark.parametrize("block", [7, 23, 64, 1000])
+def test_quoted_records_across_every_border(spark, tmp_path, block):
+    """Blocks of a few bytes, so that quotes, records and blank lines stand across their borders."""
+    draw = random.Random(block)
+    names = RAW["order_reviews"].names
+    for part in range(2):
+        lines = [",".join(names)]
+        for i in range(60):
+            words = draw.choices(["a", '""', "\n", "\n\n", ",", "é🙂", " ", "\r\n"], k=draw.randint(1, 12))
+            comment = '"' + "".join(words) + '"' if draw.random() < 0.7 else draw.choice(["", "plain"])
+            lines.append(f"r{part}-{i},o{i},{draw.choice(['5', 'x', ''])},,{comment},2018-01-01 00:00:00," + draw.choice(["", "soon"]))
+            lines += [""] * draw.choice([0, 0, 1])
+        (tmp_path / f"{part}.csv").write_bytes(("\n".join(lines) + draw.choice(["", "\n"])).encode())
+    plain = csv_tables.read_table(spark, str(tmp_path), "order_reviews")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        assert block == 1000 or quoted_csv.quoted_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+        split = csv_tables.read_table(spark, str(tmp_path), "order_reviews", split=True)
+        text = csv_tables.read_as_text(spark, str(tmp_path), "order_reviews", split=True)
+        assert split.schema.simpleString() == plain.schema.simpleString()
+        key = lambda r: repr(tuple(r))
+        assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
+        assert text.columns == names and text.count() == plain.count() == 120
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quoted_records_defined_cases(spark, tmp_path):
+    header = ",".join(RAW["category_translation"].names)
+    read = lambda: sorted(map(tuple, quoted_csv.read_quoted(spark, str(tmp_path / "t.csv"), RAW["category_translation"]).collect()))
+    (tmp_path / "t.csv").write_bytes(f"﻿{header}\r\na,b\r\n\r\nc\r\n\"d\r\ne\",f".encode())
+    assert read() == [("a", "b"), ("c", None), ("d\r\ne", "f")]
+    (tmp_path / "t.csv").write_text(f"{header}\n")
+    assert read() == []
+    (tmp_path / "t.csv").write_text("")
+    assert read() == []
+    (tmp_path / "t.csv").write_text("one,two\na,b\n")
+    with pytest.raises(quoted_csv.WrongHeader, match="one,two"):
+        read()

@@ -97,3 +97,19 @@ def test_places_follow_the_frame(spark):
         placed = places(frame.orderBy(order)).orderBy("place").collect()
         assert [r.place for r in placed] == list(range(1000))
         assert [r.id for r in placed] == [r.id for r in frame.orderBy(order).collect()]
+
+
+def test_the_wide_order_moves_by_order_only(spark, tables):
+    """Without broadcasts, no exchange by another key carries the order's own columns."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.maxToStringFields", 200)
+    try:
+        frame = dash.enriched_orders(tables.silver_tables())
+        lines = frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxToStringFields")
+    exchanges = [i for i, line in enumerate(lines) if line.startswith("(") and "Exchange" in line]
+    by_key = {key: [lines[i + 1] for i in exchanges if f"hashpartitioning({key}#" in lines[i + 2]] for key in ("customer_id", "seller_id", "product_id")}
+    assert all(by_key.values())
+    assert not [line for found in by_key.values() for line in found if "order_purchase_timestamp" in line or "review_score" in line]

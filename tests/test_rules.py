@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,6 +287,28 @@ def test_validation_statuses(spark):
     assert report["checks_failed"] == ["date_columns_parseable"] and report["details"]["unparseable_dates"] == "d (1 unparseable)"
 
 
+def test_validation_compares_rows_of_one_hash(spark, monkeypatch):
+    df = spark.createDataFrame([("a", "b")] * 3 + [("a", None)] * 2 + [("c", "d")], RAW["category_translation"])
+    args = {"name": "t", "required": RAW["category_translation"].names}
+    assert quality.validate_table(df, **args).first()["details"]["duplicate_rows"] == "3"
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: F.lit(1).cast("bigint"))  # all rows collide
+    report = quality.validate_table(df, **args, not_null=["product_category_name_english"]).first()
+    assert report["details"]["duplicate_rows"] == "3" and report["row_count"] == 6
+    assert report["details"]["null_counts"] == "product_category_name_english (2 null)"
+
+
+def test_quarters_without_joins(spark):
+    values = [None, 1, 1, 1, 1, 1, 2, 3, 4, 5, 6, 7, 8]
+    df = spark.createDataFrame([(i, v, None) for i, v in enumerate(values)], "id int, v int, nothing int")
+    got = dash.quartile_scores(df, {"q": ("v", False), "r": ("v", True), "n": ("nothing", False)})
+    ranks = pd.Series(values).rank(pct=True, method="average")
+    expected = [4 if pd.isna(p) else 1 + (p > 0.25) + (p > 0.5) + (p > 0.75) for p in ranks]
+    rows = got.orderBy("id").collect()
+    assert [r["q"] for r in rows] == expected and [r["r"] for r in rows] == [5 - q for q in expected]
+    assert {r["n"] for r in rows} == {4}
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gate_stops_on_critical_only_when_strict(spark):
     reports = quality.validate_all(spark, {})
     assert column(quality.summary_line(reports), "summary")[0] == "[CRITICAL] orders | rows=0 | passed=0 | failed=1"

@@ -10,7 +10,9 @@ from tradewinds.functions import comment_length, flag_to_int, freight_ratio, hav
 from tradewinds.operators.materialise import materialise
 from tradewinds.operators.ordered import group_medians, running_totals
 from tradewinds.operators.relational import top_k
-from tradewinds.plans.dashboard import first_item_places, first_item_values, item_place
+from tradewinds.plans.dashboard import (
+    customer_of_order, first_item_places, first_item_values, item_place, with_sellers_and_products,
+)
 
 BOUGHT = "order_purchase_timestamp"
 
@@ -80,7 +82,10 @@ def with_centroid(df: DataFrame, zip_column: str, centroids: DataFrame, prefix:
 
 
 def joined_orders(silver: Mapping[str, DataFrame], lines: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Orders with payment, review, items, customer, seller, product and both zip centroids."""
+    """Orders with payment, review, items, customer, seller, product and both zip centroids.
+
+    Lookups by other keys are attached to narrow rows first: review texts move once, by order.
+    """
     review = silver["reviews"].select(
         "order_id", "review_score", "review_comment_message", "review_comment_title"
     )
@@ -99,10 +104,8 @@ def joined_orders(silver: Mapping[str, DataFrame], lines: DataFrame, centroids:
         silver["orders"]
         .join(silver["payments"], "order_id", "left")
         .join(review, "order_id", "left")
-        .join(lines, "order_id", "left")
-        .join(customer, "customer_id", "left")
-        .join(seller, "seller_id", "left")
-        .join(product, "product_id", "left")
+        .join(with_sellers_and_products(lines, seller, product), "order_id", "left")
+        .join(customer_of_order(silver["orders"], customer), "order_id", "left")
     )
 
 

@@ -202,6 +202,12 @@ def value_ranks(df: DataFrame, metrics: Sequence[str], *, descending: bool) -> D
     )
 
 
+def rank_borders(ranks: DataFrame, shares: Sequence[float]) -> dict[str, list]:
+    """Per metric, the greatest value whose mean rank is within each share of the rows; None if there is none."""
+    within = [F.max(F.when(F.col("mean_rank_pct") <= share, F.col("value"))) for share in shares]
+    return {row[0]: list(row[1:]) for row in ranks.groupBy("metric").agg(*within).collect()}  # one row a metric
+
+
 def join_ranks(df: DataFrame, ranks: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Attach rank columns: new name -> (metric, kind of rank)."""
     for name, (metric, kind) in columns.items():

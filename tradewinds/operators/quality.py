@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds.functions import parse_timestamp
@@ -103,97 +105,85 @@ def validate_table(
 ) -> DataFrame:
     """Report of one raw table: a single row with status, passed and failed checks and details.
 
-    Missing columns and an empty table are CRITICAL, any other failed check is FAIL. Equal rows
-    are counted first and every other count is weighted with them, so the table is read once.
+    Missing columns and an empty table are CRITICAL, any other failed check is FAIL.
     """
-    spark = df.sparkSession
+    return df.sparkSession.createDataFrame([_report(df, name, required, not_null, dates)], REPORT)
+
+
+def _outcomes(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
+    """One row: `rows`, `alike` (rows beyond the first of each row hash) and `n0`, `n1`, ... where a condition holds.
+
+    One scan; rows are added up by hash and by the bits of the conditions they meet before the shuffle,
+    so it carries a few bytes a row, however wide the table is.
+    """
+    bits = [F.when(condition, 1 << i).otherwise(0).cast("bigint") for i, condition in enumerate(conditions)]
+    narrow = df.select(F.xxhash64(*_columns(df)).alias("_hash"), sum(bits, F.lit(0).cast("bigint")).alias("_bits"))
+    copies = F.col("_copies")
+    held = [F.sum(F.when(F.getbit("_bits", F.lit(i)) == 1, copies)) for i in range(len(bits))]
+    return narrow.groupBy("_hash", "_bits").agg(F.count(F.lit(1)).alias("_copies")).agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("alike"),
+        *[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, n in enumerate(held)],
+    )
+
+
+def _report(df: DataFrame, name: str, required: Sequence[str], not_null: Sequence[str], dates: Sequence[str]) -> tuple:
     missing, extra = column_difference(df, required)
     if missing:
-        return critical_report(spark, name, f"{name}: missing expected columns {', '.join(missing)}")
+        return _critical(name, f"{name}: missing expected columns {', '.join(missing)}")
 
     df = trimmed_names(df)
     keys = [c for c in not_null if c in df.columns]
     parsed = [c for c in dates if c in df.columns]
-    groups = df.groupBy(*_columns(df)).agg(F.count(F.lit(1)).alias("_copies"))
-
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
-
-    counted = groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("copies"),
-        *[rows_where(F.col(c).isNull()).alias(f"null_{c}") for c in keys],
-        *[rows_where(F.col(c).isNotNull() & parse_timestamp(c).isNull()).alias(f"bad_{c}") for c in parsed],
-    )
-
-    def listing(columns: Sequence[str], prefix: str, note: str) -> Column:
-        parts = [
-            F.when(F.col(f"{prefix}_{c}") > 0, F.concat(F.lit(c), F.lit(" ("), F.col(f"{prefix}_{c}"), F.lit(note)))
-            for c in columns
-        ]
-        return F.concat_ws(", ", *parts) if parts else F.lit("")
-
-    nulls = listing(keys, "null", " null)")
-    unparseable = listing(parsed, "bad", " unparseable)")
-    checks = [
-        ("file_exists", F.lit(True)),
-        ("csv_readable", F.lit(True)),
-        ("row_count_gt_zero", F.col("rows") > 0),
-        ("column_names_match", F.lit(True)),
-        ("no_key_nulls", nulls == ""),
-        ("no_full_duplicates", F.col("copies") == 0),
-        ("date_columns_parseable", unparseable == ""),
-    ]
-    outcome = F.array(*[F.struct(F.lit(check).alias("name"), ok.alias("ok")) for check, ok in checks])
-    passed = F.transform(F.filter(outcome, lambda c: c["ok"]), lambda c: c["name"])
-    failed = F.transform(F.filter(outcome, lambda c: ~c["ok"]), lambda c: c["name"])
-    empty = F.col("rows") == 0
+    conditions = [F.col(c).isNull() for c in keys]
+    conditions += [F.col(c).isNotNull() & parse_timestamp(c).isNull() for c in parsed]
+    counted = _outcomes(df, conditions).first()
+    rows, found = counted["rows"], counted[2:]
+    if not rows:
+        return _critical(name, f"Empty file: {name}")
+    # equal rows have equal hashes; whether rows of one hash are equal is looked up only if there are any
+    copies = duplicate_rows(df).first()[0] if counted["alike"] else 0
+
+    def listing(columns: Sequence[str], counts: Sequence[int], note: str) -> str:
+        return ", ".join(f"{c} ({n} {note})" for c, n in zip(columns, counts) if n)
+
+    nulls = listing(keys, found[:len(keys)], "null")
+    unparseable = listing(parsed, found[len(keys):], "unparseable")
+    checks = {
+        "file_exists": True, "csv_readable": True, "row_count_gt_zero": True, "column_names_match": True,
+        "no_key_nulls": not nulls, "no_full_duplicates": not copies, "date_columns_parseable": not unparseable,
+    }
     details = {
-        "row_count": F.col("rows").cast("string"),
-        "extra_columns": F.lit(", ".join(extra)),
-        "null_counts": nulls,
-        "duplicate_rows": F.col("copies").cast("string"),
-        "unparseable_dates": unparseable,
+        "row_count": str(rows), "extra_columns": ", ".join(extra), "null_counts": nulls,
+        "duplicate_rows": str(copies), "unparseable_dates": unparseable,
     }
-    noted = F.map_filter(
-        F.create_map(*[x for key, value in details.items() for x in (F.lit(key), value)]),
-        lambda _key, value: value != "",
-    )
-    return counted.select(
-        F.lit(name).alias("file_name"),
-        F.when(empty, "CRITICAL").when(F.size(failed) > 0, "FAIL").otherwise("PASS").alias("status"),
-        F.col("rows").alias("row_count"),
-        F.when(empty, F.array().cast("array<string>")).otherwise(passed).alias("checks_passed"),
-        F.when(empty, F.array(F.lit("critical_error"))).otherwise(failed).alias("checks_failed"),
-        F.when(empty, F.create_map(F.lit("error"), F.lit(f"Empty file: {name}")))
-        .otherwise(noted).alias("details"),
+    return (
+        name, "PASS" if all(checks.values()) else "FAIL", rows,
+        [check for check, ok in checks.items() if ok], [check for check, ok in checks.items() if not ok],
+        {key: value for key, value in details.items() if value},
     )
 
 
-def critical_report(spark: SparkSession, name: str, error: str) -> DataFrame:
-    row = (name, "CRITICAL", 0, [], ["critical_error"], {"error": error})
-    return spark.createDataFrame([row], REPORT)
+def _critical(name: str, error: str) -> tuple:
+    return (name, "CRITICAL", 0, [], ["critical_error"], {"error": error})
 
 
-def validate_all(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+def validate_all(spark: SparkSession, tables: Mapping[str, DataFrame | None], *, at_a_time: int = 4) -> DataFrame:
     """Reports of every raw table; a table that is absent or cannot be read is CRITICAL.
 
-    Each report is one row and is taken on its own, so a table that fails leaves the others alone.
+    Tables are checked beside each other, and a table that fails leaves the others alone.
     """
-    reports = []
-    for name, schema in RAW.items():
-        df = tables.get(name)
+    def report(name: str) -> tuple:
+        df, schema = tables.get(name), RAW[name]
         if df is None:
-            report = critical_report(spark, name, f"Expected table not found: {name}")
-        else:
-            report = validate_table(
-                df, name=name, required=schema.names,
-                not_null=NOT_NULL.get(name, []), dates=DATES.get(name, []),
-            )
+            return _critical(name, f"Expected table not found: {name}")
         try:
-            reports.append(report.first())
+            return _report(df, name, schema.names, NOT_NULL.get(name, []), DATES.get(name, []))
         except Exception as error:  # whatever keeps Spark from reading it is the finding
-            reports.append(critical_report(spark, name, f"Cannot read {name}: {error}").first())
+            return _critical(name, f"Cannot read {name}: {error}")
+
+    with ThreadPoolExecutor(at_a_time) as pool:
+        reports = list(pool.map(inheritable_thread_target(spark)(report), RAW))
     return spark.createDataFrame(reports, REPORT)
 
 

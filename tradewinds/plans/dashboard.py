@@ -13,7 +13,7 @@ from tradewinds.functions import (
     is_good_review, late_label, mean, month_label, plain_mean, ratio, short_id, state_name, state_region,
 )
 from tradewinds.operators.materialise import materialise
-from tradewinds.operators.ordered import join_ranks, value_ranks
+from tradewinds.operators.ordered import rank_borders, value_ranks
 from tradewinds.operators.relational import keep_listed, top_k
 
 BOUGHT = "order_purchase_timestamp"
@@ -45,10 +45,23 @@ def first_items(items: DataFrame) -> DataFrame:
     return placed.groupBy("order_id").agg(*first_item_places()).select("order_id", *first_item_values())
 
 
+def with_sellers_and_products(lines: DataFrame, sellers: DataFrame, products: DataFrame) -> DataFrame:
+    """Seller and product columns next to each order's first item: rows without orders' other columns,
+    and without orders that have no item, so no null key gathers them in one task."""
+    return lines.join(sellers, "seller_id", "left").join(products, "product_id", "left")
+
+
+def customer_of_order(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customer columns by order, from rows of two keys. An order without id is not in it, as it is in
+    no other table of orders either."""
+    keys = orders.filter("order_id is not null").select("order_id", "customer_id")
+    return keys.join(customers, "customer_id").drop("customer_id")
+
+
 def enriched_orders(silver: Mapping[str, DataFrame]) -> DataFrame:
     """One row per order with payment, review, customer state, first item, its seller and product.
 
-    The four tables keyed by order are joined first, so orders are shuffled by order once.
+    Lookups by other keys are attached to narrow rows first, so the wide order moves once, by order.
     """
     customer = silver["customers"].select("customer_id", "customer_state")
     seller = silver["sellers"].select("seller_id", "seller_state")
@@ -59,10 +72,8 @@ def enriched_orders(silver: Mapping[str, DataFrame]) -> DataFrame:
         silver["orders"]
         .join(silver["payments"], "order_id", "left")
         .join(silver["reviews"].select("order_id", "review_score"), "order_id", "left")
-        .join(first_items(silver["items"]), "order_id", "left")
-        .join(customer, "customer_id", "left")
-        .join(seller, "seller_id", "left")
-        .join(product, "product_id", "left")
+        .join(with_sellers_and_products(first_items(silver["items"]), seller, product), "order_id", "left")
+        .join(customer_of_order(silver["orders"], customer), "order_id", "left")
         .withColumn("is_good_review", is_good_review("review_score"))
     )
 
@@ -242,22 +253,26 @@ def with_elapsed_recency(people: DataFrame) -> DataFrame:
     return people.withColumn("recency", F.floor(seconds / 86400).cast("bigint"))
 
 
-def quartile(pct: str, *, inverted: bool = False) -> Column:
-    """Quarter 1 to 4 of a percentile rank."""
-    p = F.col(pct)
-    score = F.when(p <= 0.25, 1).when(p <= 0.5, 2).when(p <= 0.75, 3).otherwise(4)
-    return 5 - score if inverted else score
-
-
 def quartile_scores(df: DataFrame, metrics: Mapping[str, tuple[str, bool]]) -> DataFrame:
-    """Add quarter scores by average percentile rank: new name -> (metric, inverted)."""
+    """Add quarter scores by average percentile rank: new name -> (metric, inverted).
+
+    A quarter ends at the greatest value whose mean rank is within it. These borders are all a row is
+    compared with, so rows are not joined with ranks and no frequent value gathers them. A null has no
+    rank and the greatest score.
+    """
     ranks = value_ranks(df, [metric for metric, _ in metrics.values()], descending=False)
-    pcts = {f"_pct_{name}": (metric, "mean_rank_pct") for name, (metric, _) in metrics.items()}
-    ranked = join_ranks(df, ranks, pcts)
-    scored = ranked.withColumns({
-        name: quartile(f"_pct_{name}", inverted=inverted) for name, (_, inverted) in metrics.items()
-    })
-    return scored.drop(*pcts)
+    kind = ranks.schema["value"].dataType
+    borders = rank_borders(ranks, [0.25, 0.5, 0.75])
+
+    def score(metric: str, inverted: bool) -> Column:
+        value = F.col(metric).cast(kind)
+        quarter = F.lit(1)
+        for border in borders.get(metric, []):
+            quarter = quarter + (F.lit(1) if border is None else F.when(value > F.lit(border).cast(kind), 1).otherwise(0))
+        quarter = F.when(value.isNull(), 4).otherwise(quarter)
+        return 5 - quarter if inverted else quarter
+
+    return df.withColumns({name: score(metric, inverted) for name, (metric, inverted) in metrics.items()})
 
 
 def segment_by_total(column: str) -> Column:

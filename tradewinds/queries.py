@@ -192,6 +192,15 @@ def s3_reviews_csv(c):
     return csv_tables.read_table(c.spark, path, "order_reviews")
 
 
+@query
+def s3_reviews_split(c):
+    """Files with line breaks inside quotes, each read by as many tasks as it has blocks."""
+    quoted = F.concat(F.lit('he said "'), F.col("review_comment_message"), F.lit('",\n\nthen left'))
+    path = c.scratch("reviews")
+    csv_tables.write_csv(c.raw["order_reviews"].withColumn("review_comment_message", quoted), path)
+    return csv_tables.read_table(c.spark, path, "order_reviews", split=True)
+
+
 @query
 def s4_write_silver(c):
     folder = c.scratch("silver")
@@ -214,6 +223,25 @@ def s6_land_snapshot(c):
     return counts
 
 
+@query
+def s5_saved_sellers(c):
+    folder = c.scratch("silver")
+    tables.write_silver(c.silver("sellers"), folder, "sellers")
+    return tables.read_silver(c.spark, folder, "sellers")
+
+
+@query
+def s6_landed_sellers(c):
+    """Every row of every landed date."""
+    folder = c.scratch("bronze")
+    for day in (1, 2):
+        csv_tables.land_snapshot(
+            c.spark, c.delivered_csv("sellers"), folder, run_date=dt.date(2024, 1, day), tables=["sellers"]
+        )
+    landed = csv_tables.read_snapshot(c.spark, folder, "sellers")
+    return landed.withColumn("run_date", F.col("run_date").cast("date"))
+
+
 @query
 def s7_latest_snapshot(c):
     folder = c.scratch("bronze")
@@ -363,6 +391,13 @@ def v13_negative_payments(c):
     return quality.negative_rows(c.fact_orders(), "payment_amount").select("order_id", "payment_amount")
 
 
+@query
+def v13_negative_after_refund(c):
+    """Payments from which more is taken back than was paid."""
+    refunded = c.fact_orders().withColumn("payment_amount", F.col("payment_amount") - 50_000)
+    return quality.negative_rows(refunded, "payment_amount").select("order_id", "payment_amount")
+
+
 @query
 def v14_silver_checks(c):
     return quality.silver_checks(c.silver_tables())

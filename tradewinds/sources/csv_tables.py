@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds.schemas import RAW
+from tradewinds.sources.quoted_csv import read_quoted
 
 _MULTI_LINE = {"order_reviews"}  # comments may hold line breaks
 
@@ -30,19 +31,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def _reader(spark: SparkSession, table: str):
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if table in _MULTI_LINE:
-        # a file with line breaks inside quotes is read by one task: deliver it as many files
+        # a file with line breaks inside quotes is read by one task here, and by many with `split`
         reader = reader.option("multiLine", True)
     return reader.option("escape", '"')
 
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A raw CSV table with its declared types; a value that does not parse becomes null."""
+def read_table(spark: SparkSession, path: str, table: str, *, split: bool = False) -> DataFrame:
+    """A raw CSV table with its declared types; a value that does not parse becomes null.
+
+    With `split`, large files with line breaks inside quotes are read by many tasks.
+    """
+    if split and table in _MULTI_LINE:
+        return read_quoted(spark, path, RAW[table])
     return _reader(spark, table).schema(RAW[table]).option("enforceSchema", False).csv(path)
 
 
-def read_as_text(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The table as it was delivered: its own header, every column text."""
-    return _reader(spark, table).option("inferSchema", False).csv(path)
+def read_as_text(spark: SparkSession, path: str, table: str, *, split: bool = False) -> DataFrame:
+    """The table as it was delivered: its own header, every column text. `split` as in `read_table`."""
+    rows = _reader(spark, table).option("inferSchema", False).csv(path)
+    return read_quoted(spark, path, rows.schema) if split and table in _MULTI_LINE else rows
 
 
 def malformed_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -77,8 +84,9 @@ def land_snapshot(
     *,
     run_date: dt.date | None = None,
     tables: Sequence[str] = tuple(RAW),
+    split: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write one dated snapshot of every table as it was delivered, text only.
+    """Write one dated snapshot of every table as it was delivered, text only. `split` as in `read_table`.
 
     Nothing is written unless all tables are there. A table that already holds the date is kept,
     so a run that stopped half-way can be repeated.
@@ -92,7 +100,7 @@ def land_snapshot(
     if missing:
         raise MissingTables(f"missing {len(missing)} expected tables in {source}: {', '.join(missing)}")
     for table in wanted:
-        rows = read_as_text(spark, f"{source}/{table}.csv", table)
+        rows = read_as_text(spark, f"{source}/{table}.csv", table, split=split)
         rows.write.mode("overwrite").parquet(f"{_snapshot_path(target, table)}/run_date={date}")
     return {t: read_snapshot(spark, target, t) for t in tables}
 
