@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -48,6 +49,62 @@ def test_no_labels(spark):
     assert {r.lang_pred for r in langid.identify(frame(spark, [(1, "some text", None), (2, "more", None)])).collect()} == {"und"}
 
 
+def plain_grams(text, buckets):
+    """Counts of hashed n-grams, one at a time."""
+    runs = re.sub(r"[\W\d_]+", " ", text).lower()
+    codes = [32, 32, *map(ord, runs.strip()), 32] if runs.strip() else []
+    shift, mask, counts = 32 - (buckets.bit_length() - 1), (1 << 32) - 1, Counter()
+    for i in range(2, len(codes)):
+        first = codes[i] * 2654435761 & mask
+        second = (first ^ (codes[i - 1] * 2246822519 & mask)) * 3266489917 & mask
+        third = (second ^ (codes[i - 2] * 668265263 & mask)) * 374761393 & mask
+        grams = [first] if codes[i] != 32 else []
+        if codes[i] != 32 or codes[i - 1] != 32:
+            grams += [second, third]
+        counts.update(g >> shift for g in grams)
+    return counts
+
+
+def test_language_against_plain_naive_bayes(spark):
+    buckets = 1 << 10
+    docs = given(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    sums, texts = defaultdict(Counter), [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 0 for d, _, _ in texts}
+    for d, text, lang in texts:
+        if lang is not None and text is not None and not held[d]:
+            sums[lang].update(plain_grams(text, buckets))
+    got = {r.doc_id: r for r in langid.identify(docs, buckets=buckets).collect()}
+    for d, text, _ in texts:
+        grams = plain_grams(text or "", buckets)
+        if not grams:
+            assert got[d].lang_pred == "und"
+            continue
+        score = {}
+        for lang in sorted(sums):
+            total = sum(sums[lang].values()) + 0.1 * buckets
+            score[lang] = math.fsum(n * math.log((sums[lang][g] + 0.1) / total) for g, n in grams.items())
+        best = max(sorted(score), key=score.get)
+        assert got[d].lang_pred == best and got[d].held_out == held[d]
+        assert math.isclose(got[d].score, 1 / sum(math.exp(s - score[best]) for s in score.values()), rel_tol=1e-6)
+
+
+def test_many_labels(spark, monkeypatch):
+    own = ["".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=12)) for k in range(300)]
+    rows = [(i, f"{own[i % 300]} common", f"l{i % 300:03d}") for i in range(900)]
+    guessed = langid.identify(frame(spark, rows), buckets=1 << 15).collect()
+    assert len(guessed) == 900 and len({r.lang_pred for r in guessed}) > 250
+    assert len(quality.assess(frame(spark, rows[:60])).collect()) == 60
+    monkeypatch.setattr(langid, "_MAX_CELLS", 10 * langid._LEAST_BUCKETS)
+    monkeypatch.setattr(quality, "_MAX_LANGUAGES", 10)
+    more = frame(spark, rows + [(1000 + i, "some more words", "l299") for i in range(9)])
+    few = langid.identify(more).collect()
+    assert len(few) == 909 and len({r.lang_pred for r in few}) == 10 and "l299" in {r.lang_pred for r in few}
+    assert langid.keep_identified(more).count() > 0
+    words = quality.common_words(more)
+    assert len(words) == 10 and "l299" in words
+    assert len(quality.assess(more).collect()) == 909
+
+
 def test_grams_do_not_depend_on_blocks(monkeypatch):
     text = "Ein Satz, noch ein Satz!  Ende  " * 9
     whole = langid.gram_counts(text, 1 << 12)

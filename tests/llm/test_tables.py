@@ -289,3 +289,19 @@ def test_pipeline_on_awkward_rows(spark):
     kept.collect()
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, empty(spark), SMALL).collect()
+
+
+def test_mix_with_repeated_rows(spark):
+    """Of rows with one id and text as many are taken as the target asks for."""
+    rows = [(1, "ten words " * 5, "en", "a")] * 300 + [(2 + i, "w " * (i % 7 + 1), "en", "b") for i in range(200)]
+    docs = frame(spark, rows + [(900, "x y", "en", "c")] * 3 + [(901, None, None, None)] * 2)
+    taken = mixing.mix(docs, weights=(5, 2, 1)).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    assert sum(r.n for r in taken) == 505
+    for r in taken:
+        assert abs(r.taken - r.target) <= (5 if r.source == "a" else 4 if r.source == "b" else 1), r
+    mixed = mixing.mix_documents(docs, weights=(5, 2, 1))
+    assert mixed.columns == docs.columns
+    words = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert {s: n for s, n in words.items() if n} == {r.source: r.taken for r in taken if r.taken}

@@ -30,6 +30,7 @@ from tradewinds.llm.common import ship_package
 UNKNOWN = "und"
 _BLOCK = 1 << 20  # characters counted at once
 _MAX_CELLS = 1 << 23  # languages x buckets that are broadcast
+_LEAST_BUCKETS = 1 << 12
 _LOW, _FAR, _SHORT = 0.01, 0.5, 6.0  # quantile, nats below it, and standard errors of n-grams taken singly
 
 
@@ -114,20 +115,27 @@ def train(
     """Fit on rows (doc_id, text, lang); with `fit` the model also tells what texts of a language show.
 
     `documents_a_language` bounds the fit: of a language with more labelled documents, that many are
-    expected to be drawn, by a hash of id and text.
+    expected to be drawn, by a hash of id and text. With more than 256 languages the buckets are halved until
+    the matrix fits, down to 4,096; of more than 2,048 languages those with most labelled texts are learned,
+    ties by code point.
     """
     rows = labelled.filter("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)).alias("draw")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(_MAX_CELLS // buckets + 1).collect()}
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(_MAX_CELLS // _LEAST_BUCKETS).collect()
+    sizes = {r["lang"]: r["count"] for r in most}
     languages = sorted(sizes)
-    if len(languages) * buckets > _MAX_CELLS:
-        raise ValueError(f"more than {_MAX_CELLS // buckets} languages for {buckets} buckets")
+    while len(languages) * buckets > _MAX_CELLS:
+        buckets //= 2
     if not languages:
         return Model([], np.zeros((buckets, 0)))
     number = {language: i for i, language in enumerate(languages)}
-    limits = F.create_map(*[F.lit(x) for n, s in sizes.items() for x in (n, min(1 << 20, -(-(documents_a_language << 20) // s)))])
-    drawn = rows.filter(F.col("draw") < limits[F.col("lang")]).select("lang", "text")
+    many = {n: -(-(documents_a_language << 20) // s) for n, s in sizes.items() if s > documents_a_language}
+    drawn = rows.select("lang", "text", "draw")
+    if many:
+        limits = F.create_map(*[F.lit(x) for item in many.items() for x in item])
+        drawn = drawn.filter(F.col("draw") < F.coalesce(limits[F.col("lang")], F.lit(1 << 20)))
+    drawn = drawn.select("lang", "text")
 
     ship_package(labelled.sparkSession)
 
@@ -135,7 +143,7 @@ def train(
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = gram_counts(text, buckets)
+                counts = gram_counts(text, buckets) if language in number else None
                 if counts is not None:
                     n = number[language]
                     sums[n] = sums[n] + counts if n in sums else counts
@@ -167,7 +175,7 @@ def train(
         for batch in batches:
             names, found = [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = gram_counts(text, buckets)
+                own = gram_counts(text, buckets) if name in column else None
                 if own is not None:
                     used, k, n = np.flatnonzero(own), column[name], own.sum()
                     rest = np.maximum(shared.value[used, k] - own[used], smoothing) / (totals[k] - n)

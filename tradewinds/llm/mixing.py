@@ -7,8 +7,9 @@ split by the next bits, and so on until it holds one hash value. Buckets before
 round reads only rows of boundary buckets.
 
 Defined cases: a null text has size 0; a null source is a source of its own and comes last; rows with
-equal id and text have equal hashes and are taken or left together; a source without words has
-target 0 and takes nothing; an empty table gives an empty result.
+equal id and text have equal hashes, and if the threshold falls on them, they are numbered and as many
+are taken as fit; a source without words has target 0 and takes nothing; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -93,49 +94,61 @@ def mix(
             inside &= F.shiftright("place", _BITS - known) == F.col("in_prefix")
         bucket = F.shiftright("place", _BITS - known - _STEP).alias("bucket")
         sums = slim.join(bound, inside).groupBy("source", "rest", "before", bucket).agg(
-            F.sum("size").alias("size"), F.min("place").alias("low"), F.max("place").alias("high"),
+            F.sum("size").alias("size"), F.min("place").alias("low"), F.max("place").alias("high"), F.max("size").alias("one"),
         )
         ordered = Window.partitionBy("source").orderBy("bucket")  # at most 2 ** _STEP rows a source
         summed = sums.withColumn("after", F.col("before") + F.sum("size").over(ordered))
         # the first bucket in which the budget runs out; the last one if it never does
         first = summed.groupBy("source").agg(F.min_by(
-            F.struct("bucket", "low", "high", (F.col("after") - F.col("size")).alias("before"), "after"),
+            F.struct("bucket", "low", "high", "one", (F.col("after") - F.col("size")).alias("before"), "after"),
             F.struct(F.col("after") <= F.col("rest"), F.when(F.col("after") > F.col("rest"), F.col("bucket"))
                      .otherwise(-F.col("bucket"))),
         ).alias("b")).select(F.col("source").alias("in_source"), "b.*")
-        joined = state.drop("prefix", "before", "low", "high", "after").join(
+        joined = state.drop("prefix", "before", "low", "high", "one", "after").join(
             first, F.col("source").eqNullSafe(F.col("in_source")), "left"
         )
         state = materialise(joined.withColumnRenamed("bucket", "prefix").drop("in_source"))
         if state.filter("low < high").isEmpty():
             break
 
-    # Of the rows not before the threshold, the one that comes nearest to what is left joins, if it helps.
-    bound = state.select(
-        F.col("source").alias("in_source"), F.col("low").alias("limit"), (F.col("rest") - F.col("before")).alias("gap")
-    ).filter("limit is not null")
+    # Rows at the threshold have one id, text and size: those that fit join. Of the rows beyond, the one that
+    # comes nearest to what is then left joins, if it helps.
+    left = F.col("rest") - F.col("before")
+    fit = F.when((F.col("one") > 0) & (left > 0), F.floor(left / F.col("one"))).otherwise(0).cast("bigint")
+    state = materialise(state.select("source", "source_size", "target", "whole", "low", fit.alias("fit"), (left - fit * F.col("one")).alias("gap")))
+    bound = state.select(F.col("source").alias("in_source"), F.col("low").alias("limit"), "gap").filter("limit is not null")
     off = F.abs(F.col("size") - F.col("gap"))
     beyond = F.col("source").eqNullSafe(F.col("in_source")) & (F.col("place") >= F.col("limit")) & (off < F.col("gap"))
     filler = materialise(slim.join(bound, beyond).groupBy(F.col("source").alias("fill_source")).agg(
         F.min_by("place", F.struct(off, "place")).alias("fill")
     ))
     cuts = state.select(
-        F.col("source").alias("in_source"), "source_size", "target", "whole", F.coalesce("low", F.lit(0)).alias("limit")
+        F.col("source").alias("in_source"), "source_size", "target", "whole", "fit", F.col("low").alias("limit")
     ).join(filler, F.col("in_source").eqNullSafe(F.col("fill_source")), "left").drop("fill_source")
-    again = (F.col("place") < F.col("limit")) | F.col("place").eqNullSafe(F.col("fill"))
-    times = F.col("whole") + again.cast("bigint")
-    return slim.join(cuts, F.col("source").eqNullSafe(F.col("in_source"))).select(
+    rows = slim.join(cuts, F.col("source").eqNullSafe(F.col("in_source")))
+    at, filling = F.col("place").eqNullSafe(F.col("limit")), F.col("place").eqNullSafe(F.col("fill"))
+    earlier = rows.filter(~at & ~filling).withColumn("again", F.coalesce(F.col("place") < F.col("limit"), F.lit(False)))
+    # The row number breaks ties, so that many equal rows are cut into slices.
+    tied = rows.filter(at | filling).withColumn("tie", F.monotonically_increasing_id())
+    numbered = positions(tied, [F.col("tie").asc()], by=["source", "place"], name="number")
+    wanted = F.when(at, F.col("fit")).otherwise(0) + F.when(filling, 1).otherwise(0)
+    taken = earlier.unionByName(numbered.withColumn("again", F.col("number") < wanted).select(earlier.columns))
+    times = F.col("whole") + F.col("again").cast("bigint")
+    return taken.select(
         "doc_id", "source", "text_hash", "size", "source_size", "target", (F.col("size") * times).alias("taken"),
         times.alias("times"),
     )
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns of the input."""
+    """The mix itself: each document as often as it is taken, with the columns of the input.
+
+    Of rows with equal id, text and source, each is taken equally often, or once more if its turn comes first.
+    """
     columns = docs.columns
-    taken = mix(docs, **settings).filter("times > 0").select(
-        F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), F.col("source").alias("mix_source"), "times"
-    ).distinct()
+    taken = materialise(mix(docs, **settings).groupBy(
+        F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), F.col("source").alias("mix_source")
+    ).agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("alike")).filter("times > 0"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("key_id"),
         F.xxhash64(text_of()).alias("key_hash"), F.col("source").alias("key_source"),
@@ -144,5 +157,11 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
         F.col("key_id").eqNullSafe(F.col("mix_id")) & (F.col("key_hash") == F.col("mix_hash"))
         & F.col("key_source").eqNullSafe(F.col("mix_source"))
     )
-    kept = rows.hint("merge").join(taken, equal).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
-    return kept.select("row.*")
+    each, over = F.expr("times div alike"), F.col("times") % F.col("alike")
+    kept = rows.hint("merge").join(taken.withColumn("each", each).filter("each > 0"), equal)
+    kept = kept.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("each"))).alias("copy"))
+    # Only rows at a threshold can be taken unequally: at most two groups of equal rows a source.
+    uneven = taken.withColumn("over", over).filter("over > 0")
+    some = rows.join(uneven, equal).select("row", "key_id", "key_hash", "key_source", "over", F.monotonically_increasing_id().alias("tie"))
+    turns = positions(some, [F.col("tie").asc()], by=["key_source", "key_id", "key_hash"], name="turn")
+    return kept.select("row.*").unionByName(turns.filter(F.col("turn") < F.col("over")).select("row.*"))

@@ -54,15 +54,17 @@ class References:
 
 
 def common_words(docs: DataFrame, *, common: int = 40) -> dict[str, dict[str, float]]:
-    """By language label, the shares of its most common words; at most `common` for each of 200 languages."""
+    """By language label, the shares of its most common words; at most `common` for each of 200 languages.
+
+    Of more languages, those with most words make references, ties by code point.
+    """
     labelled = docs.filter("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "text")
     counts = materialise(labelled.select("lang", F.explode(words_of(F.lower("text"))).alias("word")).groupBy("lang", "word").count())
-    totals = counts.groupBy("lang").agg(F.sum("count").alias("n")).limit(_MAX_LANGUAGES + 1).collect()
-    if len(totals) > _MAX_LANGUAGES:
-        raise ValueError(f"more than {_MAX_LANGUAGES} languages")
-    whole = {r["lang"]: r["n"] for r in totals}
+    totals = counts.groupBy("lang").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "lang").limit(_MAX_LANGUAGES)
+    whole = {r["lang"]: r["n"] for r in totals.collect()}
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    top = counts.filter(~F.col("word").contains(",")).select("*", place.alias("place")).filter(F.col("place") <= common)
+    known = counts.filter(F.col("lang").isin(*whole))
+    top = known.filter(~F.col("word").contains(",")).select("*", place.alias("place")).filter(F.col("place") <= common)
     words: dict[str, dict[str, float]] = {}
     for r in sorted(top.collect()):
         words.setdefault(r["lang"], {})[r["word"]] = r["count"] / whole[r["lang"]]
@@ -71,7 +73,7 @@ def common_words(docs: DataFrame, *, common: int = 40) -> dict[str, dict[str, fl
 
 def references(rows: DataFrame, words: dict[str, dict[str, float]]) -> References:
     """Class shares by language of measured rows, together with its common words."""
-    sums = rows.filter("lang is not null").groupBy("lang").agg(
+    sums = rows.filter(F.col("lang").isin(*words)).groupBy("lang").agg(
         F.sum("chars").alias("all"), *[F.sum(F.col("classes")[i]).alias(f"n{i}") for i in range(len(CLASSES))]
     ).collect()  # one row a language
     kept = sorted((r for r in sums if r["all"] and r["lang"] in words), key=lambda r: r["lang"])
