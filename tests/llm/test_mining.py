@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,21 @@ def test_scores_beyond_64_bits(spark):
     assert phrases.scored(counts).first().score == 2000000 * (big - 1) // (2 * big + 1)
 
 
+def test_phrase_rows_and_batches_stay_small():
+    words = [f"w{i}" for i in range(300_000)]
+    texts = [" ".join(words[i:i + 500]).encode() for i in range(0, len(words), 500)] * 2
+    given = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    rows = list(phrases._occurrences(iter([given])))
+    assert max(row.nbytes for row in rows) < 6 << 20
+    assert sum(row.column(1)[0].as_py() for row in rows) == 2 * len(words)
+    counted = list(phrases._group_counts(1)(iter(rows)))
+    assert max(batch.num_rows for batch in counted) <= 1 << 16
+    assert sum(n for batch in counted for n in batch.column(1).to_pylist()) == 2 * len(words)
+    found = list(phrases._phrase_counts(1)(iter(rows)))
+    assert max(batch.num_rows for batch in found) <= 1 << 16
+    assert sum(n for batch in found for n in batch.column(2).to_pylist()) == 2 * len(words)
+
+
 # ---- secrets ----------------------------------------------------------------------------------
 
 def brute_spans(text, rules=secretscan.RULES):

@@ -33,8 +33,9 @@ from tradewinds.operators.materialise import discard, materialise
 # number (both 32 bits) and whether a frequent phrase begins there (8 bits).
 RELATION = "lang string, n long, words binary, gaps binary, ids binary, starts binary"
 _ARROW = pa.schema([("lang", pa.string()), ("n", pa.int64()), *[(name, pa.binary()) for name in ("words", "gaps", "ids", "starts")]])
-_BLOCK_BYTES = 4 << 20  # text in one row of the first relation, but for a longer text
-_MOST_KEYS = 1 << 20  # keys that a task holds before it counts them
+_BLOCK_BYTES = 1 << 20  # text in one row of the first relation, but for a longer text
+_MOST_KEYS = 1 << 19  # keys that a task holds before it counts them
+_BATCH_ROWS = 1 << 16  # counted keys or phrases that are handed to Spark at once
 _LEAST_BITS, _MOST_BITS = 16, 27  # logarithm of the size of the bit map: 16 MB at most
 _SLICES = 64  # of a language's phrases, ranked apart before they are ranked together
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"  # fixed: ends of pieces
@@ -148,6 +149,11 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return distinct, sums
 
 
+def _in_batches(rows: pa.RecordBatch) -> Batches:
+    for begin in range(0, rows.num_rows, _BATCH_ROWS):
+        yield rows.slice(begin, _BATCH_ROWS)
+
+
 def _group_counts(size: int) -> Callable[[Batches], Batches]:
     """(key, n) of the phrases of `size` words, added up within a task as far as its memory goes."""
     def run(batches: Batches) -> Batches:
@@ -163,10 +169,10 @@ def _group_counts(size: int) -> Callable[[Batches], Batches]:
             counts.append(n.astype(np.int64))
             held += len(distinct)
             if held > _MOST_KEYS:
-                yield out()
+                yield from _in_batches(out())
                 keys, counts, held = [], [], 0
         if held:
-            yield out()
+            yield from _in_batches(out())
 
     return run
 
@@ -190,10 +196,10 @@ def _phrase_counts(size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for block in _blocks(batches):
             phrases, n = block.phrases(np.flatnonzero(block.starts), size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block.lang] * len(phrases)), phrases, pa.array(n.astype(np.int64))],
+            yield from _in_batches(pa.RecordBatch.from_arrays(
+                [pa.array([block.lang] * len(phrases), pa.string()), phrases, pa.array(n.astype(np.int64))],
                 ["lang", "phrase", "n"],
-            )
+            ))
 
     return run
 
