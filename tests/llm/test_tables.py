@@ -211,6 +211,31 @@ def test_join_unique_deals_a_hot_key(spark):
     assert sorted(map(tuple, got.select("key", "by", "m").collect())) == sorted((1 if i < 900 else i, i, 2 if i < 900 else 2 * i) for i in range(1000))
 
 
+def _shuffles(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange")
+
+
+def test_stars_take_few_shuffles(spark):
+    key = neardup.materialise(spark.createDataFrame([(u, v) for u in range(2, 60) for v in range(u) if u % (v + 1) == 0], "u long, v long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large, small = (neardup._star(key, 7, large=large) for large in (True, False))
+        joined = neardup.join_unique(key, neardup.materialise(key.groupBy("u").agg(F.max("v").alias("m"))), "u", "v", 7)
+        assert [_shuffles(df) for df in (large, small, joined)] == [3, 4, 4]
+        edges = [(r.u, r.v) for r in key.collect()]
+        near = defaultdict(set)
+        for u, v in edges:
+            near[u].add(v)
+            near[v].add(u)
+        assert {(r.u, r.v) for r in large.collect()} == {(v, min(u, *near[u])) for u in near for v in near[u] if v > u}
+        low = {u: {v for v in near[u] if v < u} for u in near}
+        wanted = {(x, min(low[u])) for u in low if low[u] for x in low[u] | {u}}
+        assert sorted((r.u, r.v) for r in small.collect()) == sorted((u, v) for u, v in wanted if u != v)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_connected_components(spark):
     draw = random.Random(9)
     edges = [(draw.randint(0, 400), draw.randint(0, 400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2200)]

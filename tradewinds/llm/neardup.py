@@ -175,14 +175,24 @@ def confirm(pairs: DataFrame, texts: DataFrame, *, words: int, percent: int) ->
     return ordered.mapInArrow(compare, "a binary, b binary, both long, linked boolean")
 
 
+def _dealt(rows: DataFrame, by: str, slices: int) -> DataFrame:
+    return rows.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)))
+
+
+def _join_slices(dealt: DataFrame, unique: DataFrame, key: str) -> DataFrame:
+    """Inner join of dealt rows with a table that has one row per key and, in `_in`, the slices in use."""
+    used = unique.withColumn("_slice", F.explode("_in")).drop("_in")
+    return dealt.join(used, [key, "_slice"]).drop("_slice")
+
+
 def join_unique(rows: DataFrame, unique: DataFrame, key: str, by: str, slices: int) -> DataFrame:
     """Inner join of rows, many of which may have one key, with a table that has one row per key.
 
     A key's rows are dealt into slices by the hash of column `by`; the table's row goes to the slices in use.
     """
-    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)))
-    used = dealt.select(key, "_slice").distinct().join(unique, key)
-    return dealt.join(used, [key, "_slice"]).drop("_slice")
+    dealt = _dealt(rows, by, slices)
+    used = dealt.groupBy(key).agg(F.collect_set("_slice").alias("_in")).join(unique, key)
+    return _join_slices(dealt, used, key)
 
 
 def _slices(rows: int) -> int:
@@ -190,24 +200,28 @@ def _slices(rows: int) -> int:
     return math.isqrt(rows) + 1
 
 
+def _star(edges: DataFrame, slices: int, *, large: bool) -> DataFrame:
+    """One step on edges (u, v) with u > v. A node's least neighbour and the slices its edges are in come from one aggregate.
+
+    The large step may repeat an edge; the small one leaves out what is repeated.
+    """
+    near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
+    dealt = _dealt(near, "v", slices)
+    least = dealt.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.collect_set("_slice").alias("_in"))
+    joined = _join_slices(dealt, least, "u")
+    if large:
+        return joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    # the edge to the least neighbour stays, the others go from the neighbour to it
+    return joined.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root, the least node of its component, by alternating large and small stars. Written."""
-    def star(edges: DataFrame, *, large: bool) -> DataFrame:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = both if large else both.filter("v < u")
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        joined = join_unique(near, least, "u", "v", slices)
-        if large:
-            out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        return out.filter("u <> v").distinct()
-
     with Scope(links.sparkSession) as scope:
         edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
         slices = _slices(2 * edges.count())
         while True:
-            edges = materialise(star(materialise(star(edges, large=True)), large=False))
+            edges = materialise(_star(materialise(_star(edges, slices, large=True)), slices, large=False))
             # done when it is a forest of stars: every node has one centre, and no centre has one
             ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("centre"))
             centres = edges.select(F.col("v").alias("x"), F.lit(0).alias("n"), F.lit(1).alias("centre"))
