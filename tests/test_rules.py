@@ -14,6 +14,7 @@ from tradewinds.ml import evaluate, features as ft, score
 from tradewinds.operators import quality, relational as rel
 from tradewinds.plans import cohort, dashboard as dash, gold, revenue, rfm, sellers, silver
 from tradewinds.schemas import RAW, STATES
+from tradewinds.sources import testdata
 
 
 def column(df, name):
@@ -355,3 +356,8 @@ def test_history_uses_earlier_orders_of_the_same_seller_only(spark):
     lines = spark.createDataFrame([("1", "s"), ("2", "s"), ("3", "s"), ("4", "t"), ("5", "s")], "order_id string, seller_id string")
     got = {r["order_id"]: (r["seller_avg_delivery"], r["seller_avg_review"]) for r in ft.seller_history(orders, reviews, lines).collect()}
     assert got == {"1": (None, None), "2": (4.0, 5.0), "3": (4.0, 3.5), "4": (None, None), "5": (6.0, 3.5)}
+
+
+def test_nations_beyond_the_list_have_no_state(spark):
+    nations = spark.createDataFrame([(i, n) for i, n in enumerate([0, 24, 25, 1499, -1, -27])], "i int, n int")
+    assert column(nations.withColumn("s", testdata._state("n")).orderBy("i"), "s") == ["AC", "XX", None, None, None, None]
