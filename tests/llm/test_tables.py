@@ -254,6 +254,17 @@ def test_connected_components(spark):
     assert got == {x: find(x) for x in root if find(x) != x}
 
 
+def test_components_write_a_table_a_round(spark, monkeypatch):
+    written, steps = [], []
+    materialise, star = neardup.materialise, neardup._star
+    monkeypatch.setattr(neardup, "materialise", lambda df: written.append(1) or materialise(df))
+    monkeypatch.setattr(neardup, "_star", lambda *args, **how: steps.append(1) or star(*args, **how))
+    links = materialise(spark.createDataFrame([(f"{i:05}".encode(), f"{i + 1:05}".encode()) for i in range(40)] * 2, "a binary, b binary"))
+    got = {(r.node, r.root) for r in neardup.components(links).collect()}
+    assert got == {(f"{i:05}".encode(), b"00000") for i in range(1, 41)}
+    assert 2 * len(written) == len(steps)  # a large and a small step
+
+
 def test_one_row_stays_of_each_group(spark):
     draw = random.Random(12)
     base = [[f"w{draw.randint(0, 900)}" for _ in range(120)] for _ in range(4)]

@@ -29,12 +29,13 @@ the rows that repeat it; documents without words all stay. An empty table gives
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tradewinds.llm.common import ship_package, text_of
@@ -216,19 +217,24 @@ def _star(edges: DataFrame, slices: int, *, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node and root, the least node of its component, by alternating large and small stars. Written."""
+    """node and root, the least node of its component, by alternating large and small stars. Written.
+
+    `links` are read twice: pass written ones.
+    """
     with Scope(links.sparkSession) as scope:
-        edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+        edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
         slices = _slices(2 * edges.count())
         while True:
-            edges = materialise(_star(materialise(_star(edges, slices, large=True)), slices, large=False))
+            # only the small step reads it: it stays on the executors' disks, and a lost part is made again
+            large = _star(edges, slices, large=True).persist(StorageLevel.DISK_ONLY)
+            edges = materialise(_star(large, slices, large=False))
+            large.unpersist()
             # done when it is a forest of stars: every node has one centre, and no centre has one
             ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("centre"))
             centres = edges.select(F.col("v").alias("x"), F.lit(0).alias("n"), F.lit(1).alias("centre"))
             nodes = ends.unionByName(centres).groupBy("x").agg(F.sum("n").alias("n"), F.max("centre").alias("centre"))
             if nodes.filter("n + centre > 1").isEmpty():
-                break
-        return scope.keep(materialise(edges.select(F.col("u").alias("node"), F.col("v").alias("root"))))
+                return scope.keep(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -314,7 +320,7 @@ def linked_classes(classes: DataFrame, texts_of, *, words: int, percent: int) ->
     least = members.groupBy("bucket").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     members = materialise(members.join(least.select("bucket", "least"), "bucket").filter(_possible(percent, n, own, F.col("least"))).drop("least"))
 
-    links, roots, poor, first = None, None, False, None
+    roots, poor, first = None, False, None
     for turn in range(_ROUNDS + 1):
         # A bucket's centre is from its largest component: first the class with the fewest shingles of
         # its own, which is most like an original, later one by hash.
@@ -357,9 +363,12 @@ def linked_classes(classes: DataFrame, texts_of, *, words: int, percent: int) ->
         if first is None:
             first = unsettled.select("bucket", F.col("a").alias("c"), F.col("na").alias("nc")), checked
         found = checked.filter("linked").select("a", "b")
-        poor = _POOR * found.count() < pairs.count()
-        links = found if links is None else materialise(links.unionByName(found))
-        roots = components(links)
+        n_found = found.count()
+        poor = _POOR * n_found < pairs.count()
+        if n_found:
+            # what was joined before goes on as stars
+            stars = [] if roots is None else [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+            roots = components(reduce(DataFrame.unionByName, stars, found))
         if last:
             break
     return roots
