@@ -183,3 +183,18 @@ def test_quoted_records_defined_cases(spark, tmp_path):
     (tmp_path / "t.csv").write_text("one,two\na,b\n")
     with pytest.raises(quoted_csv.WrongHeader, match="one,two"):
         read()
+
+
+def test_a_query_builds_again_what_has_gone(spark, monkeypatch):
+    """Another may empty the folder of written tables between two queries of a session."""
+    from tests.conftest import SMALL
+    from tradewinds import queries
+    from tradewinds.operators import materialise as written
+
+    for module, name in ((queries, "_contexts"), (written, "_written"), (written, "_losses")):
+        monkeypatch.setattr(module, name, {})
+    tables = queries.context(spark, SMALL)
+    sellers = sorted(tables.silver("sellers").collect())
+    assert queries.context(spark, SMALL) is tables
+    written._delete(spark, written._written[spark.sparkContext.applicationId][-1])
+    assert sorted(queries.context(spark, SMALL).silver("sellers").collect()) == sellers
