@@ -30,6 +30,7 @@ TABLES = {
 NAMES = [
     "a12_seller_states",
     "a11_seller_metrics_by_order",
+    "a13_kpis",
 ]
 
 
