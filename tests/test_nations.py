@@ -31,6 +31,7 @@ NAMES = [
     "a12_seller_states",
     "a11_seller_metrics_by_order",
     "a13_kpis",
+    "a14_orders_per_month",
 ]
 
 
