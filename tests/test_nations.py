@@ -32,6 +32,7 @@ NAMES = [
     "a11_seller_metrics_by_order",
     "a13_kpis",
     "a14_orders_per_month",
+    "a14_orders_per_week",
 ]
 
 
