@@ -33,6 +33,7 @@ NAMES = [
     "a13_kpis",
     "a14_orders_per_month",
     "a14_orders_per_week",
+    "a14_orders_per_quarter",
 ]
 
 
