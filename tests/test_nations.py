@@ -34,6 +34,7 @@ NAMES = [
     "a14_orders_per_month",
     "a14_orders_per_week",
     "a14_orders_per_quarter",
+    "a16_payment_types",
 ]
 
 
