@@ -35,6 +35,7 @@ NAMES = [
     "a14_orders_per_week",
     "a14_orders_per_quarter",
     "a16_payment_types",
+    "a15_revenue_by_month",
 ]
 
 
