@@ -36,6 +36,7 @@ NAMES = [
     "a14_orders_per_quarter",
     "a16_payment_types",
     "a15_revenue_by_month",
+    "a17_review_scores",
 ]
 
 
