@@ -37,6 +37,7 @@ NAMES = [
     "a16_payment_types",
     "a15_revenue_by_month",
     "a17_review_scores",
+    "a18_statuses",
 ]
 
 
