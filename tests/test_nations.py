@@ -38,6 +38,7 @@ NAMES = [
     "a15_revenue_by_month",
     "a17_review_scores",
     "a18_statuses",
+    "a19_delivery_histogram",
 ]
 
 
