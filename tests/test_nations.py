@@ -39,6 +39,7 @@ NAMES = [
     "a17_review_scores",
     "a18_statuses",
     "a19_delivery_histogram",
+    "a20_customer_state_table",
 ]
 
 
