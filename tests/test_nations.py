@@ -40,6 +40,7 @@ NAMES = [
     "a18_statuses",
     "a19_delivery_histogram",
     "a20_customer_state_table",
+    "a20_customer_states",
 ]
 
 
