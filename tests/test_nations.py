@@ -41,6 +41,7 @@ NAMES = [
     "a19_delivery_histogram",
     "a20_customer_state_table",
     "a20_customer_states",
+    "a22_regions",
 ]
 
 
