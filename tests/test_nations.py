@@ -42,6 +42,7 @@ NAMES = [
     "a20_customer_state_table",
     "a20_customer_states",
     "a22_regions",
+    "a21_seller_states",
 ]
 
 
