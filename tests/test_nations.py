@@ -43,6 +43,7 @@ NAMES = [
     "a20_customer_states",
     "a22_regions",
     "a21_seller_states",
+    "a23_delivery_heat",
 ]
 
 
