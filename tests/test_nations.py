@@ -44,6 +44,7 @@ NAMES = [
     "a22_regions",
     "a21_seller_states",
     "a23_delivery_heat",
+    "a23_delivery_heat_matrix",
 ]
 
 
