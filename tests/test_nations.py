@@ -45,6 +45,7 @@ NAMES = [
     "a21_seller_states",
     "a23_delivery_heat",
     "a23_delivery_heat_matrix",
+    "a24_customer_rfm_base",
 ]
 
 
