@@ -47,6 +47,7 @@ NAMES = [
     "a23_delivery_heat_matrix",
     "a24_customer_rfm_base",
     "a25_segment_summary",
+    "a25_segment_spend",
 ]
 
 
