@@ -202,6 +202,21 @@ def test_base_counts(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base_counts(text), text
 
 
+def test_texts_are_gone_over_once_for_the_counts(spark):
+    """Characters are counted in what the commonest class leaves of a text, and windows are joined from halves."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(draw.choices("ab", k=i % 20))) for i in range(200)]
+    rows += [(200, "a b c d e f g h " * 2), (201, "a b c d e f g h a b c d e f g"), (202, "ABC def\u00a0\u00c9\u00e9 \u0130\U0001f642\x0b%9.\x1c")]
+    measured = quality.measure(frame(spark, rows), ["a", "def"])
+    got = {r.doc_id: r for r in measured.collect()}
+    for doc_id, text in rows:
+        r = got[doc_id]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base_counts(text)[:5], text
+        assert r.classes == [len(re.sub(rest, "", text)) for rest in quality.CLASSES.values()]
+    plan = measured._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(_text#") == 1
+
+
 def js(p, q):
     out = 0.0
     for key in set(p) | set(q):

@@ -81,10 +81,19 @@ class WordTable:
                     return
             self.bits += 1
 
-    def number(self, word: Column) -> Column:
-        """1 for the first word and so on; 0 for a word that is not listed."""
+    def slot(self, word: Column) -> Column:
+        """What stands in the word's slot: the number of one word that it may be, or 0."""
+        if not self.words:
+            return F.lit(0)
+        place = F.shiftrightunsigned(F.xxhash64(word), self.shift).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
+        return F.get(literal_array(self.slots, "int"), place)
+
+    def number_in(self, slot: Column, word: Column) -> Column:
+        """The number in the slot if it is the word's; 0 for a word that is not listed."""
         if not self.words:
             return F.lit(0)
-        slot = F.shiftrightunsigned(F.xxhash64(word), self.shift).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
-        found = F.get(literal_array(self.slots, "int"), slot)
-        return F.when((found > 0) & (F.get(literal_array(self.words, "string"), found - 1) == word), found).otherwise(0)
+        return F.when((slot > 0) & (F.get(literal_array(self.words, "string"), slot - 1) == word), slot).otherwise(0)
+
+    def number(self, word: Column) -> Column:
+        """1 for the first word and so on; 0 for a word that is not listed."""
+        return self.number_in(self.slot(word), word)

@@ -28,7 +28,7 @@ CLASSES = {
     "stop": r"[^.,;:!?'\"()\-]+", "other": r"[\x00-\x7F]+",
 }
 SYMBOLS = r"[^#*$%&|<>]+"
-_WINDOW = 8
+_WINDOW = 8  # a power of two
 _MAX_LANGUAGES = 200
 
 
@@ -99,14 +99,10 @@ def _rest_part(q: float) -> float:
     return q * math.log2(2 * q / (1 + q)) if q > 0 else 0.0
 
 
-def repeated_words(hashes: Column) -> Column:
-    """Words inside windows of eight words that occur twice or more, the first occurrence included.
-
-    `hashes` must be a column of the frame: it is read several times.
-    """
-    last = F.size(hashes) - _WINDOW
-    windows = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice(hashes, i + 1, _WINDOW)))
-    return F.when(last >= 1, windows)
+def _with_next(hashes: Column, step: int) -> Column:
+    """Hash of each item and the one `step` places after it; null if there is none. `hashes` must be a column of the frame."""
+    n = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.when(n >= 1, F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, step + 1, n), lambda a, b: F.xxhash64(a, b)))
 
 
 def _repeated(pair: Column, j: Column) -> Column:
@@ -120,16 +116,20 @@ def measure(docs: DataFrame, listed: list[str]) -> DataFrame:
     table = WordTable(listed)
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of().alias("_text"))
     rows = rows.withColumn("_words", words_of(F.col("_text")))
-    rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("_windows", F.transform("_words", lambda w: F.xxhash64(w)))
+    for step in [1 << k for k in range(_WINDOW.bit_length() - 1)]:  # windows of 2, 4 and 8 words
+        rows = rows.withColumn("_windows", _with_next(F.col("_windows"), step))
+    rows = rows.withColumn("_slots", F.transform("_words", lambda w: table.slot(F.lower(w))))
+    rows = rows.withColumn("_unlike", F.regexp_replace("_text", "[a-z]+", ""))  # a short text for the other counts
+    chars, left = F.length("_text"), lambda rest: F.length(F.regexp_replace("_unlike", rest, ""))
+    numbers = F.zip_with("_words", "_slots", lambda w, slot: table.number_in(slot, F.lower(w)))
     lines = F.filter(F.split("_text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select(
-        "doc_id", "lang", F.length("_text").alias("chars"), F.size("_words").alias("_n"),
-        F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", "")).alias("_word_chars"),
-        F.length(F.regexp_replace("_text", SYMBOLS, "")).alias("_symbols"),
-        lines.alias("_lines"), repeated_words(F.col("_hashes")).alias("_windows"),
-        F.array(*[F.length(F.regexp_replace("_text", rest, "")) for rest in CLASSES.values()]).alias("classes"),
-        F.sort_array(F.filter(F.transform("_words", lambda w: table.number(F.lower(w))), lambda x: x > 0)).alias("_common"),
+        "doc_id", "lang", chars.alias("chars"), F.size("_words").alias("_n"), left(SYMBOLS).alias("_symbols"), lines.alias("_lines"), "_windows",
+        F.array(*[chars - F.length("_unlike") if name == "lower" else left(rest) for name, rest in CLASSES.items()]).alias("classes"),
+        F.sort_array(F.filter(numbers, lambda x: x > 0)).alias("_common"),
     )
+    rows = rows.withColumn("_word_chars", F.col("chars") - F.col("classes")[list(CLASSES).index("space")])
     several = F.size(F.array_distinct("_windows")) < F.size("_windows")
     pairs = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
     rows = rows.withColumn("_pairs", F.when(several, pairs)).drop("_windows")
