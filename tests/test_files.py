@@ -198,3 +198,40 @@ def test_a_query_builds_again_what_has_gone(spark, monkeypatch):
     assert queries.context(spark, SMALL) is tables
     written._delete(spark, written._written[spark.sparkContext.applicationId][-1])
     assert sorted(queries.context(spark, SMALL).silver("sellers").collect()) == sellers
+
+
+def test_warehouse_tables_leave_no_shuffle_files(spark, tmp_path):
+    """The shuffles of all tables together would fill the disks; items are a projection and not written at all."""
+    import glob
+    import tempfile
+    import time
+
+    from tradewinds.operators import materialise as written
+    from tradewinds.plans.warehouse import Warehouse
+
+    def shuffles():
+        return set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*.data"))
+
+    def folders():
+        return len(written._written.get(spark.sparkContext.applicationId, []))
+
+    people = [(f"c{i % 50}", f"p{i % 50}", "00001", f" City {i % 3} ", "SP") for i in range(400)]
+    spark.createDataFrame(people, RAW["customers"]).write.parquet(f"{tmp_path}/customers")
+    lines = [(f"o{i % 30}", i, "p1", "s1", "2018-01-02 00:00:00", None, None) for i in range(90)]
+    spark.createDataFrame(lines, RAW["order_items"]).write.parquet(f"{tmp_path}/items")
+    warehouse = Warehouse({
+        "customers": spark.read.parquet(f"{tmp_path}/customers"), "order_items": spark.read.parquet(f"{tmp_path}/items"),
+    })
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    before, tables_before = shuffles(), folders()
+    customers = warehouse.silver("customers")
+    for _ in range(20):  # files go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.5)
+    assert not shuffles() - before
+    assert spark.conf.get(name, None) == setting
+    assert customers.count() == 50 and customers.filter("customer_city = 'city 0'").count() == 50
+    assert warehouse.silver("items").filter("shipping_limit_date = timestamp_ntz '2018-01-02 00:00:00'").count() == 90
+    assert folders() == tables_before + 1
