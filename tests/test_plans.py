@@ -113,3 +113,30 @@ def test_the_wide_order_moves_by_order_only(spark, tables):
     by_key = {key: [lines[i + 1] for i in exchanges if f"hashpartitioning({key}#" in lines[i + 2]] for key in ("customer_id", "seller_id", "product_id")}
     assert all(by_key.values())
     assert not [line for found in by_key.values() for line in found if "order_purchase_timestamp" in line or "review_score" in line]
+
+
+def test_seller_lines_are_written_before_they_are_joined(spark, monkeypatch):
+    """Else the shuffles of lines by seller and order, and by order, lie on the disks at the same time."""
+    from tradewinds.operators import materialise as written
+
+    fact = spark.createDataFrame(
+        [(f"o{i}", "delivered", 1 + i % 5, i % 9, i % 4 == 0) for i in range(40)],
+        "order_id string, order_status string, review_score int, delivery_days int, is_late boolean",
+    )
+    items = spark.createDataFrame(
+        [(f"s{i % 7}", f"o{i % 45}", f"{i}.25", "1.50") for i in range(120)],
+        "seller_id string, order_id string, price string, freight_value string",
+    ).withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("price", "freight_value")})
+    shops = spark.createDataFrame(
+        [(f"s{i}", "town", "SP", "Southeast") for i in range(7)],
+        "seller_id string, seller_city string, seller_state string, seller_region string",
+    )
+    frames, write = [], written.materialise
+    monkeypatch.setattr(sellers, "materialise", lambda df, **how: frames.append(df) or write(df, **how))
+    here = written._written.setdefault(spark.sparkContext.applicationId, [])
+    before = len(here)
+    scored = sellers.scored_sellers(fact, items, shops)
+    assert not any("Join" in plan(df) and "partial_sum(freight_value" in plan(df) for df in frames)
+    assert len(here) == before + 1  # the lines have gone
+    metrics = sellers.seller_metrics(fact, items, shops)
+    assert sorted(scored.select(metrics.columns).collect()) == sorted(metrics.collect())
