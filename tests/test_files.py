@@ -235,3 +235,55 @@ def test_warehouse_tables_leave_no_shuffle_files(spark, tmp_path):
     assert customers.count() == 50 and customers.filter("customer_city = 'city 0'").count() == 50
     assert warehouse.silver("items").filter("shipping_limit_date = timestamp_ntz '2018-01-02 00:00:00'").count() == 90
     assert folders() == tables_before + 1
+
+
+def test_a_session_without_a_checkpoint_folder_writes_to_its_warehouse(spark, tmp_path):
+    """Spark does not let a running session name one: every query that writes a table ended there."""
+    import os
+    import subprocess
+    import sys
+
+    spark.createDataFrame([(1, "All rights reserved.", "en", "a", 20)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/given/documents.parquet")
+    (tmp_path / "conf").mkdir()  # without the machine's own settings
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config(map={{"spark.ui.enabled": "false", "spark.sql.warehouse.dir": "{tmp_path}/warehouse", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "2"}}).getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+from tradewinds.operators.materialise import materialise, release
+from tradewinds.plans.warehouse import Warehouse
+from tradewinds.schemas import RAW
+from tradewinds.llm.queries import QUERIES
+assert materialise(spark.range(9)).count() == 9
+shops = spark.createDataFrame([("s1", "00001", " Town ", "SP")], RAW["sellers"])
+assert [r["seller_city"] for r in Warehouse({{"sellers": shops}}).silver("sellers").collect()] == ["town"]
+assert [r["base_labels"] for r in QUERIES["op4_license_scan"](spark, "{tmp_path}/given").collect()] == ["reserved"]
+release(spark)
+"""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_GATEWAY_PORT"} | {"SPARK_CONF_DIR": f"{tmp_path}/conf", "PYTHONPATH": here}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert os.listdir(tmp_path / "warehouse" / "checkpoints") == []
+
+
+def test_on_a_cluster_a_plain_folder_is_tried(spark, monkeypatch, tmp_path):
+    """It may be mounted by all machines; one that cannot hold what executors write is left for the warehouse."""
+    from tradewinds.operators import materialise as written
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    monkeypatch.setattr(written, "_tried", {}, raising=False)
+    for name in ("_written", "_losses"):
+        monkeypatch.setattr(written, name, {})
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert ":" not in named
+    table = written.materialise(spark.range(9))
+    assert table.count() == 9 and f"{named}/tradewinds-" in table.inputFiles()[0]
+    monkeypatch.setattr(written, "_SETTING", "spark.tradewinds.folder")
+    (tmp_path / "taken").write_text("a file, not a folder")
+    spark.conf.set("spark.tradewinds.folder", f"{tmp_path}/taken")
+    try:
+        table = written.materialise(spark.range(9))
+        assert table.count() == 9 and "/warehouse" in table.inputFiles()[0]
+    finally:
+        spark.conf.unset("spark.tradewinds.folder")
