@@ -114,6 +114,23 @@ def test_scores_beyond_64_bits(spark):
     assert phrases.scored(counts).first().score == 2000000 * (big - 1) // (2 * big + 1)
 
 
+def test_counts_of_phrases_leave_no_shuffle_files(spark, monkeypatch):
+    """The shuffles of all lengths together would fill the disks: each goes when its counts are written."""
+    moved, write = [], phrases.materialise
+
+    def written(df, **how):
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            moved.append(how)
+        return write(df, **how)
+
+    monkeypatch.setattr(phrases, "materialise", written)
+    texts = [(i, f"one two three four five w{i % 7}", "en") for i in range(300)]
+    counts, totals = phrases.frequent_phrases(spark.createDataFrame(texts, "doc_id long, text string, lang string"), least=200)
+    assert len(moved) == 9 and all(how.get("lean") for how in moved)
+    assert [tuple(r) for r in totals.collect()] == [("en", 1800)]
+    assert {(r["phrase"], r["n"]) for r in counts.filter("size = 4").collect()} == {("one two three four", 300), ("two three four five", 300)}
+
+
 def test_phrase_rows_and_batches_stay_small():
     words = [f"w{i}" for i in range(300_000)]
     texts = [" ".join(words[i:i + 500]).encode() for i in range(0, len(words), 500)] * 2

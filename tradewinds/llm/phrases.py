@@ -218,23 +218,26 @@ def _bit_map(groups: DataFrame) -> tuple[int, np.ndarray]:
 
 def frequent_phrases(docs: DataFrame, *, longest: int = 4, least: int = 30) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, n) of all phrases of up to `longest` words found at least `least` times in a
-    language, and (lang, n) with the number of all words."""
+    language, and (lang, n) with the number of all words.
+
+    The shuffles of one count at a time lie on the disks.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     relation = materialise(texts.mapInArrow(_occurrences, RELATION))
-    totals = materialise(relation.groupBy("lang").agg(F.sum("n").alias("n")))
+    totals = materialise(relation.groupBy("lang").agg(F.sum("n").alias("n")), lean=True)
     counts = None
     for size in range(1, longest + 1):
         groups = relation.mapInArrow(_group_counts(size), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        keys = materialise(groups.filter(F.col("n") >= least).select("key"))
+        keys = materialise(groups.filter(F.col("n") >= least).select("key"), lean=True)
         bits = spark.sparkContext.broadcast(_bit_map(keys))
         shorter, relation = relation, materialise(relation.mapInArrow(_semi_join(size, bits), RELATION))
         for done in (shorter, keys):
             discard(done)
         found = relation.mapInArrow(_phrase_counts(size), "lang string, phrase binary, n long")
         exact = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        of_size = materialise(exact.select("lang", F.col("phrase").cast("string").alias("phrase"), F.lit(size).alias("size"), "n"))
+        of_size = materialise(exact.select("lang", F.col("phrase").cast("string").alias("phrase"), F.lit(size).alias("size"), "n"), lean=True)
         counts = of_size if counts is None else counts.unionByName(of_size)
     discard(relation)
     return counts, totals
